@@ -261,6 +261,5 @@ def period_label(period: ColumnOrName) -> Column:
 
 def rank_points(rank: ColumnOrName, points: Sequence[int]) -> Column:
     """Rank 1..len(points) → points[rank-1]; any other rank → NULL."""
-    arr = F.array(*[F.lit(p) for p in points])
     r = _c(rank)
-    return F.when(r.between(1, len(points)), F.element_at(arr, r.cast("int")))
+    return F.when(r >= 1, F.try_element_at(F.lit(list(points)), r.cast("int")))

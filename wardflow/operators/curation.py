@@ -150,9 +150,9 @@ def decision_status(register: DataFrame, decided_ids: DataFrame) -> DataFrame:
              .drop("__d"))
 
 
-def validate_decisions(decisions: DataFrame) -> DataFrame:
-    """Problems of decision rows: author required; a confirmed conversion
-    needs admission, bed, unit and type.  Returns ``(id_decisao, problema)``."""
+def _decision_checks(decisions: DataFrame) -> Column:
+    """Array of the problems of a decision row (empty when valid): author
+    required; a confirmed conversion needs admission, bed, unit and type."""
     def blank(c: str) -> Column:
         return F.col(c).isNull() | (F.trim(F.col(c)) == "")
     checks = [("autor_ausente", blank("decidido_por"))]
@@ -161,23 +161,35 @@ def validate_decisions(decisions: DataFrame) -> DataFrame:
         checks.append((f"{c}_ausente", conv & blank(c)))
     arr = F.array(*[F.struct(F.lit(n).alias("problema"), F.coalesce(cond, F.lit(False)).alias("__hit"))
                     for n, cond in checks])
-    return (decisions.select("id_decisao", F.inline(F.filter(arr, lambda x: x["__hit"])))
-                     .select("id_decisao", "problema"))
+    return F.transform(F.filter(arr, lambda x: x["__hit"]), lambda x: x["problema"])
 
 
-def route_decisions(decisions: DataFrame, targets: Mapping[str, str] = DECISION_TARGETS) -> dict:
-    """Split decision rows by class into their target tables; unknown classes
-    and invalid rows go to ``rejeitadas``.  A blank imputed value falls back
-    to the original one."""
-    bad = validate_decisions(decisions).select("id_decisao").distinct()
-    ok = decisions.join(bad, "id_decisao", "left_anti")
-    out = {}
+def validate_decisions(decisions: DataFrame) -> DataFrame:
+    """Problems of decision rows as ``(id_decisao, problema)``."""
+    return (decisions.select("id_decisao", F.explode(_decision_checks(decisions)).alias("problema")))
+
+
+REJECTED = "rejeitadas"
+
+
+def tag_decisions(decisions: DataFrame, targets: Mapping[str, str] = DECISION_TARGETS) -> DataFrame:
+    """One pass: each decision row gets its destination table (``destino``)
+    — the target of its class, or ``rejeitadas`` for an unknown class or an
+    invalid row — and the list of its problems.  A blank imputed value falls
+    back to the original one."""
+    dest = None
     for cls, table in targets.items():
-        part = ok.where(F.col("tipo") == cls)
-        if cls == "integridade" and "valor_imputado" in decisions.columns:
-            part = part.withColumn("valor_imputado", blank_to("valor_imputado", "valor_original"))
-        out[table] = part
-    known = F.col("tipo").isin(list(targets))
-    out["rejeitadas"] = decisions.where(~known | F.col("tipo").isNull()).unionByName(
-        decisions.join(bad, "id_decisao", "left_semi"))
+        dest = (F.when(F.col("tipo") == cls, F.lit(table)) if dest is None
+                else dest.when(F.col("tipo") == cls, F.lit(table)))
+    out = decisions.withColumn("problemas", _decision_checks(decisions))
+    out = out.withColumn("destino", F.when(F.size("problemas") > 0, F.lit(REJECTED))
+                                      .otherwise(F.coalesce(dest.otherwise(F.lit(None)), F.lit(REJECTED))))
+    if "valor_imputado" in decisions.columns and "valor_original" in decisions.columns:
+        out = out.withColumn("valor_imputado", blank_to("valor_imputado", "valor_original"))
     return out
+
+
+def route_decisions(decisions: DataFrame, targets: Mapping[str, str] = DECISION_TARGETS) -> dict:
+    """Decision rows split by destination table (views of one tagged pass)."""
+    tagged = tag_decisions(decisions, targets)
+    return {t: tagged.where(F.col("destino") == t) for t in [*targets.values(), REJECTED]}

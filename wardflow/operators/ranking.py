@@ -97,13 +97,13 @@ def weighted_ranking(ind: DataFrame, period: str, metrics: Sequence[Metric] = DE
     if round_to is not None:
         out = out.withColumns({m.column: F.round(F.col(m.column).cast("double"), round_to)
                                for m in metrics})
+    ranks = {}
     for m in metrics:
         order = F.col(m.column).asc_nulls_first() if m.ascending else F.col(m.column).desc_nulls_last()
-        out = out.withColumn(m.rank_name,
-                             F.dense_rank().over(Window.partitionBy(period).orderBy(order)).cast("long"))
-    for m in metrics:
-        out = out.withColumn(m.points_name,
-                             rank_points(m.rank_name, points).cast("double") * F.lit(float(m.weight)))
+        ranks[m.rank_name] = F.dense_rank().over(Window.partitionBy(period).orderBy(order)).cast("long")
+    out = out.withColumns(ranks)
+    out = out.withColumns({m.points_name: rank_points(m.rank_name, points).cast("double") * F.lit(float(m.weight))
+                           for m in metrics})
     total = None
     for m in metrics:
         total = F.col(m.points_name) if total is None else total + F.col(m.points_name)

@@ -31,8 +31,18 @@ from wardflow.sources import reports
 DETECTED_AT = "2026-01-01 00:00:00"   # fixed detection time of a register run
 
 
+_READERS: dict = {}
+
+
 def T(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
+    """The table as a lazy DataFrame.  The reader (file listing and footer
+    schema) is built once per session and path; the data is never cached."""
+    key = (id(spark), os.path.abspath(os.path.join(sf, f"{name}.parquet")))
+    df = _READERS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(key[1])
+        _READERS[key] = df
+    return df
 
 
 def _ts(c) -> Column:
@@ -353,24 +363,15 @@ def _decisions(reg: DataFrame) -> DataFrame:
 
 def decision_status(spark, sf):
     reg = _register_batch(spark, sf)
-    routed = curation.route_decisions(_decisions(reg))
-    accepted = None
-    for name, df in routed.items():
-        if name == "rejeitadas":
-            continue
-        part = df.select("id_inconsistencia")
-        accepted = part if accepted is None else accepted.unionByName(part)
+    tagged = curation.tag_decisions(_decisions(reg))
+    accepted = tagged.where(F.col("destino") != curation.REJECTED).select("id_inconsistencia")
     return curation.decision_status(reg, accepted)
 
 
 def decision_routing(spark, sf):
     reg = _register_batch(spark, sf)
-    routed = curation.route_decisions(_decisions(reg))
-    out = None
-    for name, df in routed.items():
-        part = df.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("destino"), "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+    tagged = curation.tag_decisions(_decisions(reg))
+    return tagged.groupBy("destino").agg(F.count(F.lit(1)).alias("n"))
 
 
 # ----------------------------------------------------------------- binding O
