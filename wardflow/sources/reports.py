@@ -76,13 +76,18 @@ def all_string(df: DataFrame) -> DataFrame:
 def read_report(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                 sep: str = ",") -> DataFrame:
     """Tabular report with a header row; every column read as text; the
-    period comes from the file name."""
+    period comes from the file name; ``__row`` orders the rows of a file
+    (split start, then position inside the split) for keep-first dedup."""
     if columns:
         schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
         df = spark.read.csv(path, header=True, sep=sep, schema=schema, enforceSchema=False)
     else:
         df = spark.read.csv(path, header=True, sep=sep, inferSchema=False)
-    return df.withColumn(PERIOD, period_from_path(F.col("_metadata.file_path")))
+    return df.withColumns({
+        PERIOD: period_from_path(F.col("_metadata.file_path")),
+        "__row": F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
+                          F.monotonically_increasing_id().alias("i")),
+    })
 
 
 def read_cells(spark: SparkSession, path: str, ncols: int = 20, sep: str = ",") -> DataFrame:
