@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PERIOD = "competencia"
-PERIOD_FROM_NAME = r"_([0-9]{4})_([0-9]{2})(?:[./]|$)"
+PERIOD_FROM_NAME = r"_([0-9]{4})_([0-9]{2})(?:[^0-9]|$)"
 # fixed values: file-name substrings → dataset, in precedence order
 ROUTES = (("atendimentos", "atendimentos"), ("internacoes", "internacoes"),
           ("movimentacoes", "movimentacoes"))
