@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import columns as C
 from wardflow.operators import curation, journey, layouts, link, quality, ranking, scan, tables
-from wardflow.session import scratch_path
+from wardflow.session import cut_lineage, scratch_path
 from wardflow.sources import reports
 
 DETECTED_AT = "2026-01-01 00:00:00"   # fixed detection time of a register run
@@ -327,8 +327,11 @@ def _register_batch(spark, sf) -> DataFrame:
         F.lit("fl_suspeito_conversao").alias("teste"), F.col("visit_id").alias("nr_atendimento"),
         week("adm_ts").alias("competencia"), F.lit(None).cast("string").alias("servico"))
     batch = vy.unionByName(vo).unionByName(sus)
-    return curation.register_rows(batch, F.lit(DETECTED_AT), period_lookup=om,
-                                  lookup_id="atend_PA", lookup_period="competencia")
+    reg = curation.register_rows(batch, F.lit(DETECTED_AT), period_lookup=om,
+                                 lookup_id="atend_PA", lookup_period="competencia")
+    # the register is a stored table: materialise it once (reliable
+    # checkpoint in the shared checkpoint folder) for the branches built on it
+    return cut_lineage(reg)
 
 
 def register_new(spark, sf):

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.functions import columns as C
@@ -157,14 +157,29 @@ def assemble_visit_mart(visits: DataFrame, logic: DataFrame | None, links: DataF
         v = v.join(lg, v["atend_PA"] == lg["__lid"], "left").drop("__lid")
     elif "flag_prevalece" not in v.columns:
         v = v.withColumn("flag_prevalece", F.lit(None).cast("string"))
-    valid = links.where(F.col(link_origin).isin(list(valid_origins))).select(
-        F.col(link_visit).alias("__vv"), F.col(link_adm).alias("atend_internacao"),
-        F.col(link_origin).alias("ORIGEM_ATEND"), *[F.col(a).alias(b) for a, b in link_extra])
-    suspects = (links.where(~F.col(link_origin).isin(list(valid_origins)))
-                     .select(F.col(link_visit).alias("__sv")).distinct())
-    v = v.join(valid, v["atend_PA"] == valid["__vv"], "left").drop("__vv")
-    v = v.join(suspects, v["atend_PA"] == suspects["__sv"], "left")
-    v = v.withColumn("fl_suspeito_conversao", F.when(F.col("__sv").isNotNull(), 1).otherwise(0)).drop("__sv")
+    # One join with all links (valid and suspect origins alike), then windows
+    # on the visit id — they reuse the join's partitioning, so the links are
+    # computed once and no further shuffle is added.  ``atend_PA`` must be
+    # unique in ``visits`` (staging keeps the first row per visit).
+    lk = links.select(F.col(link_visit).alias("__lv"), F.col(link_adm).alias("__adm"),
+                      F.col(link_origin).alias("__org"), *[F.col(a).alias(f"__x_{b}") for a, b in link_extra])
+    v = v.join(lk, v["atend_PA"] == lk["__lv"], "left")
+    valid = F.coalesce(F.col("__org").isin(list(valid_origins)), F.lit(False))
+    v = v.withColumn("__valid", valid)
+    wv = Window.partitionBy("atend_PA")
+    v = v.withColumns({
+        "fl_suspeito_conversao": F.coalesce(
+            F.max(F.when(F.col("__lv").isNotNull() & ~F.col("__valid"), 1)).over(wv), F.lit(0)),
+        "__nvalid": F.sum(F.col("__valid").cast("int")).over(wv),
+        "__rn": F.row_number().over(wv.orderBy(F.col("__valid").desc(), F.col("__adm").asc_nulls_first())),
+    })
+    # Q2 grain: one row per valid admission, else one row for the visit
+    v = v.where(F.col("__valid") | ((F.col("__nvalid") == 0) & (F.col("__rn") == 1)))
+    v = v.withColumns({
+        "atend_internacao": F.when(F.col("__valid"), F.col("__adm")),
+        "ORIGEM_ATEND": F.when(F.col("__valid"), F.col("__org")),
+        **{b: F.when(F.col("__valid"), F.col(f"__x_{b}")) for _, b in link_extra},
+    }).drop("__lv", "__adm", "__org", "__valid", "__nvalid", "__rn", *[f"__x_{b}" for _, b in link_extra])
     if curated is not None:
         cur = curated.select(C.safe_long("CD_ATENDIMENTO").alias("__cid"), "decisao",
                              *(["decidido_em"] if "decidido_em" in curated.columns else []))
