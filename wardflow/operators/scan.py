@@ -20,6 +20,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def range_blocks(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
+                 num_blocks: int | None = None, name: str = "__blk") -> DataFrame:
+    """Size-bounded blocks that are monotone in ``(partition_by, order_by)``:
+    range-partition on that order and use the partition index as the block.
+    A key holding a third of all rows is spread over many ordered blocks."""
+    n = num_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.repartitionByRange(n, *partition_by, *order_by)
+              .withColumn(name, F.spark_partition_id()))
+
+
 def forward_fill(df: DataFrame, values: Sequence[str], *, partition_by: Sequence[str],
                  order_by: Sequence[str], block_by: str | None = None,
                  suffix: str = "") -> DataFrame:

@@ -147,16 +147,18 @@ def visit_mart(spark, sf):
 def forward_fill(spark, sf):
     ev = T(spark, sf, "events").withColumn(
         "signup_value", F.when(F.col("event_type") == "signup", F.col("value")))
-    ev = ev.withColumn("dia", F.to_date("ts"))
+    ev = scan.range_blocks(ev, ["user_id"], ["ts", "event_id"])
     out = scan.forward_fill(ev, ["signup_value"], partition_by=["user_id"],
-                            order_by=["ts", "event_id"], block_by="dia", suffix="_ff")
+                            order_by=["ts", "event_id"], block_by="__blk", suffix="_ff")
     return out.select("event_id", "user_id", "ts", F.col("signup_value_ff").alias("ultimo_signup"))
 
 
 def _cells_from_events(ev: DataFrame) -> DataFrame:
-    """Positional report rows built from events: the time cell moves by
-    event type (view/purchase → cell 10, click → 7, signup → 8, error → none)."""
+    """Positional report rows built from events: the cells move by event type
+    (view/purchase → layout A, click → B, signup → C, error → no time cell).
+    Each field is computed once and placed through a position → value map."""
     atend = F.when(F.col("value") < 1, F.lit("x")).otherwise(F.col("event_id").cast("string"))
+    names = list(layouts.MOVEMENT_LAYOUTS[0][1])
     fields = {
         "ATEND": atend, "NM_PACIENTE": F.concat(F.lit("PAC"), F.col("user_id").cast("string")),
         "HORA": F.date_format("ts", "HH:mm:ss"), "TIPO": F.col("event_type"),
@@ -165,23 +167,14 @@ def _cells_from_events(ev: DataFrame) -> DataFrame:
         "TIP_ACOM": F.col("props"), "CID": F.col("event_type"),
         "CONVENIO": F.concat(F.lit("C"), F.col("event_id").cast("string")), "MOTIVO_ALTA": F.lit("M"),
     }
-    by_type = {"view": 0, "purchase": 0, "click": 1, "signup": 2}
-
-    def row_for(mapping):
-        arr = [F.lit(None).cast("string")] * 20
-        for name, pos in mapping.items():
-            arr[pos] = fields[name]
-        return F.array(*arr)
-
-    no_time = dict(layouts.MOVEMENT_LAYOUTS[0][1])
-    cells = F.when(F.col("event_type") == "view", row_for(layouts.MOVEMENT_LAYOUTS[by_type["view"]][1]))
-    for t in ("purchase", "click", "signup"):
-        cells = cells.when(F.col("event_type") == t, row_for(layouts.MOVEMENT_LAYOUTS[by_type[t]][1]))
-    no_time_row = [F.lit(None).cast("string")] * 20
-    for name, pos in no_time.items():
-        if name != "HORA":
-            no_time_row[pos] = fields[name]
-    cells = cells.otherwise(F.array(*no_time_row))
+    pos = {t: [m[n] for n in names] for t, m in zip(("A", "B", "C"), (m for _, m in layouts.MOVEMENT_LAYOUTS))}
+    no_time = [p if n != "HORA" else 99 for n, p in zip(names, pos["A"])]
+    positions = (F.when(F.col("event_type").isin("view", "purchase"), F.lit(pos["A"]))
+                  .when(F.col("event_type") == "click", F.lit(pos["B"]))
+                  .when(F.col("event_type") == "signup", F.lit(pos["C"]))
+                  .otherwise(F.lit(no_time)))
+    cellmap = F.map_from_arrays(positions, F.array(*[fields[n] for n in names]))
+    cells = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: F.try_element_at(cellmap, i))
     return ev.select(cells.alias("cells"))
 
 
