@@ -19,12 +19,13 @@ def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFram
 
 
 def row_loss(before: DataFrame, after: DataFrame, label: str) -> DataFrame:
-    """Rows in, rows out and rows lost by a step, as one small row."""
-    b = before.agg(F.count(F.lit(1)).alias("linhas_antes"))
-    a = after.agg(F.count(F.lit(1)).alias("linhas_depois"))
-    return (b.crossJoin(a)  # both sides are single-row aggregates
-             .select(F.lit(label).alias("etapa"), "linhas_antes", "linhas_depois",
-                     (F.col("linhas_antes") - F.col("linhas_depois")).alias("linhas_removidas")))
+    """Rows in, rows out and rows lost by a step, as one small row (one
+    aggregate over both inputs, tagged by side)."""
+    both = (before.select(F.lit(1).alias("__antes")).unionByName(after.select(F.lit(0).alias("__antes"))))
+    return (both.agg(F.sum("__antes").cast("long").alias("linhas_antes"),
+                     F.count(F.when(F.col("__antes") == 0, F.lit(1))).alias("linhas_depois"))
+                .select(F.lit(label).alias("etapa"), "linhas_antes", "linhas_depois",
+                        (F.col("linhas_antes") - F.col("linhas_depois")).alias("linhas_removidas")))
 
 
 def calendar_dim(df: DataFrame, period: str = "competencia") -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.functions import columns as C
-from wardflow.operators import curation, journey, layouts, link, quality, ranking, scan, tables
+from wardflow.operators import curation, journey, kpis, layouts, link, quality, ranking, scan, tables
 from wardflow.session import cut_lineage, scratch_path
 from wardflow.sources import reports
 
@@ -62,9 +62,8 @@ def month(c) -> Column:
 
 def share_by_shift(spark, sf):
     ev = T(spark, sf, "events")
-    g = (ev.select(week("ts").alias("competencia"), C.shift_of_day("ts").alias("turno"))
-           .groupBy("competencia", "turno").agg(F.count(F.lit(1)).alias("visitas")))
-    g = tables.share_of_total(g, "visitas", ["competencia"], "participacao")
+    g = kpis.shift_share(ev.select(week("ts").alias("competencia"), C.shift_of_day("ts").alias("turno")),
+                         "competencia")
     return g.withColumn("participacao", F.round("participacao", 6))
 
 
@@ -156,7 +155,7 @@ def forward_fill(spark, sf):
 def _cells_from_events(ev: DataFrame) -> DataFrame:
     """Positional report rows built from events: the cells move by event type
     (view/purchase → layout A, click → B, signup → C, error → no time cell).
-    Each field is computed once and placed through a position → value map."""
+    Fields are computed once; each cell is then a small CASE over them."""
     atend = F.when(F.col("value") < 1, F.lit("x")).otherwise(F.col("event_id").cast("string"))
     names = list(layouts.MOVEMENT_LAYOUTS[0][1])
     fields = {
@@ -167,15 +166,23 @@ def _cells_from_events(ev: DataFrame) -> DataFrame:
         "TIP_ACOM": F.col("props"), "CID": F.col("event_type"),
         "CONVENIO": F.concat(F.lit("C"), F.col("event_id").cast("string")), "MOTIVO_ALTA": F.lit("M"),
     }
-    pos = {t: [m[n] for n in names] for t, m in zip(("A", "B", "C"), (m for _, m in layouts.MOVEMENT_LAYOUTS))}
-    no_time = [p if n != "HORA" else 99 for n, p in zip(names, pos["A"])]
-    positions = (F.when(F.col("event_type").isin("view", "purchase"), F.lit(pos["A"]))
-                  .when(F.col("event_type") == "click", F.lit(pos["B"]))
-                  .when(F.col("event_type") == "signup", F.lit(pos["C"]))
-                  .otherwise(F.lit(no_time)))
-    cellmap = F.map_from_arrays(positions, F.array(*[fields[n] for n in names]))
-    cells = F.transform(F.sequence(F.lit(0), F.lit(19)), lambda i: F.try_element_at(cellmap, i))
-    return ev.select(cells.alias("cells"))
+    kind = (F.when(F.col("event_type").isin("view", "purchase"), F.lit("A"))
+             .when(F.col("event_type") == "click", F.lit("B"))
+             .when(F.col("event_type") == "signup", F.lit("C"))
+             .otherwise(F.lit("N")))
+    base = ev.select(kind.alias("__k"), *[f.alias(f"__f_{n}") for n, f in fields.items()])
+    where = {k: {p: n for n, p in m.items()} for k, (_, m) in zip("ABC", layouts.MOVEMENT_LAYOUTS)}
+    where["N"] = {p: n for p, n in where["A"].items() if n != "HORA"}
+    cells = []
+    for i in range(20):
+        cell = None
+        for k, posmap in where.items():
+            if i in posmap:
+                hit = F.col("__k") == k
+                val = F.col(f"__f_{posmap[i]}")
+                cell = F.when(hit, val) if cell is None else cell.when(hit, val)
+        cells.append(cell if cell is not None else F.lit(None).cast("string"))
+    return base.select(F.array(*cells).alias("cells"))
 
 
 def layout_normalise(spark, sf):
@@ -383,30 +390,27 @@ def ranking_by_segment(spark, sf):
 
 
 def rate_kpis_by_period(spark, sf):
-    m = _orders_mart(spark, sf)
-    wait = C.minutes_between("DT_HR_TOTEM_RECEP", "INI_ATD_MEDICO")
-    g = m.groupBy("competencia").agg(
-        F.count(F.lit(1)).alias("visitas"),
-        ranking.rate("fl_conversao").alias("tx_conversao"),
-        ranking.rate("fl_retorno_48h").alias("tx_retorno48h"),
-        ranking.rate("fl_evasao").alias("tx_evasao"),
-        (F.avg(C.in_target_flag("DT_HR_TOTEM_RECEP", "DT_HR_ALTA", 43200)) * F.lit(100.0)).alias("tx_alta_na_meta"),
-        F.avg(F.when(wait >= 0, wait)).alias("espera_media"),
-        F.stddev_samp(F.when(wait >= 0, wait)).alias("espera_desvio"))
+    g = kpis.period_kpis(_orders_mart(spark, sf), ["competencia"], target_minutes=43200)
     return g.withColumns({c: F.round(c, 6) for c in
                           ["tx_conversao", "tx_retorno48h", "tx_evasao", "tx_alta_na_meta",
                            "espera_media", "espera_desvio"]})
 
 
 def kpi_month_over_month(spark, sf):
-    m = _orders_mart(spark, sf)
-    g = m.groupBy("competencia").agg(F.count(F.lit(1)).alias("visitas"),
-                                     ranking.rate("fl_conversao").alias("tx_conversao"))
-    g = tables.variation_vs_previous(g, "visitas", "competencia", name="var_visitas")
+    g = kpis.monthly_trend(_orders_mart(spark, sf), "competencia")
     return g.withColumns({"tx_conversao": F.round("tx_conversao", 6), "var_visitas": F.round("var_visitas", 6),
                           "visitas_anterior": F.col("visitas_anterior").cast("double")})
 
 
+# binding targets per order priority (minutes); "4-NOT SPECIFIED" has none
+ORDER_WAIT_TARGETS = {"1-URGENT": 0, "2-HIGH": 14400, "3-MEDIUM": 43200, "5-LOW": 172800}
+
+
+def wait_target_share(spark, sf):
+    g = kpis.wait_target_share(_orders_mart(spark, sf), ["SERVICO"], targets=ORDER_WAIT_TARGETS)
+    return g.withColumn("tx_na_meta", F.round("tx_na_meta", 6))
+
+
 def percentile_cont(spark, sf):
     m = _orders_mart(spark, sf)
     return (m.groupBy("SERVICO").agg(
@@ -588,6 +592,7 @@ QUERIES = {
     "ranking_by_segment": ranking_by_segment,
     "rate_kpis_by_period": rate_kpis_by_period,
     "kpi_month_over_month": kpi_month_over_month,
+    "wait_target_share": wait_target_share,
     "share_by_shift": share_by_shift,
     "percentiles_exact": percentiles_exact,
     "percentiles_approx": percentiles_approx,
