@@ -43,3 +43,20 @@ def test_normalise_layouts(spark):
     df = spark.createDataFrame(rows, "cells array<string>")
     got = sorted((r.ATEND, r.DESTINO) for r in layouts.normalise_layouts(df).collect())
     assert got == [("1", "L1"), ("2", "L2"), ("3", "L3")]
+
+
+def test_next_in_order_hot_key_against_brute_force(spark):
+    rnd = random.Random(11)
+    # patient 0 holds about a third of all rows
+    rows = [(0 if rnd.random() < 0.34 else rnd.randrange(1, 20), i, rnd.randrange(1000)) for i in range(900)]
+    df = spark.createDataFrame(rows, "p long, id long, t long")
+    b = scan.range_blocks(df, ["p"], ["t", "id"], num_blocks=12)
+    assert b.where(F.col("p") == 0).select("__blk").distinct().count() > 1      # hot key spread out
+    got = {r.id: r.prox_id for r in scan.next_in_order(b, ["id"], partition_by=["p"], order_by=["t", "id"],
+                                                        block_by="__blk").collect()}
+    exp = {}
+    for p in {r[0] for r in rows}:
+        seq = sorted((t, i) for pp, i, t in rows if pp == p)
+        for (t, i), nxt in zip(seq, seq[1:] + [None]):
+            exp[i] = nxt[1] if nxt else None
+    assert got == exp

@@ -57,3 +57,24 @@ def forward_fill(df: DataFrame, values: Sequence[str], *, partition_by: Sequence
         target = v + suffix
         out = out.withColumn(target, F.col(f"__ff_{v}")).drop(f"__ff_{v}")
     return out
+
+
+def next_in_order(df: DataFrame, values: Sequence[str], *, partition_by: Sequence[str],
+                  order_by: Sequence[str], block_by: str, prefix: str = "prox_") -> DataFrame:
+    """``lead`` by one row per ``partition_by`` in ``order_by`` order, computed
+    per bounded block: inside a block the next row is a window ``lead``; the
+    last row of a block takes the first row of the next non-empty block of the
+    same partition (block heads are aggregated, then a window runs over the
+    heads only).  ``block_by`` must be non-decreasing along ``order_by``."""
+    keys = list(partition_by) + [block_by]
+    w = Window.partitionBy(*keys).orderBy(*order_by)
+    out = df.withColumns({f"__ld_{v}": F.lead(F.col(v)).over(w) for v in values})
+    out = out.withColumn("__last", F.lead(F.lit(1)).over(w).isNull())
+    heads = df.groupBy(*keys).agg(
+        F.min(F.struct(*[F.col(o) for o in order_by], *[F.col(v).alias(f"__h_{v}") for v in values])).alias("__h"))
+    wb = Window.partitionBy(*partition_by).orderBy(block_by)
+    nxt = heads.select(*keys, *[F.lead(F.col("__h").getField(f"__h_{v}")).over(wb).alias(f"__nb_{v}") for v in values])
+    out = out.join(nxt, keys, "left")
+    out = out.withColumns({prefix + v: F.when(F.col("__last"), F.col(f"__nb_{v}")).otherwise(F.col(f"__ld_{v}"))
+                           for v in values})
+    return out.drop("__last", *[f"__ld_{v}" for v in values], *[f"__nb_{v}" for v in values])

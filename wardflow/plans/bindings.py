@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.functions import columns as C
-from wardflow.operators import curation, journey, kpis, layouts, link, quality, ranking, scan, tables
+from wardflow.operators import curation, insights, journey, kpis, layouts, link, quality, ranking, scan, tables
 from wardflow.session import cut_lineage, scratch_path
 from wardflow.sources import reports
 
@@ -588,6 +588,59 @@ def ingest_stream(spark, sf):
         "event_type", F.col("value").cast("double"), "props", F.col("competencia").cast("string"))
 
 
+# ------------------------------------------------- planned analyses (§2.17)
+
+def age_pyramid(spark, sf):
+    m = _orders_mart(spark, sf).select(
+        "competencia", C.age_band(F.col("c_nationkey").cast("long") * 4 - 3).alias("faixa_etaria"),
+        F.col("o_orderstatus").alias("SEXO"))
+    return insights.pyramid(m)
+
+
+def top_codes(spark, sf):
+    ev = T(spark, sf, "events").select(week("ts").alias("competencia"), F.col("props").alias("CID"))
+    return insights.top_codes(ev, "competencia", "CID", k=5)
+
+
+def demand_by_locality(spark, sf):
+    o, c, n, r = (T(spark, sf, x) for x in ("orders", "customer", "nation", "region"))
+    m = (o.join(c, o["o_custkey"] == c["c_custkey"], "inner")
+          .join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+          .join(r, n["n_regionkey"] == r["r_regionkey"], "left")
+          .select(month("o_orderdate").alias("competencia"), F.col("r_name").alias("UF"),
+                  F.col("n_name").alias("CIDADE")))
+    return insights.demand_by_locality(m)
+
+
+def hour_weekday(spark, sf):
+    return insights.hour_weekday(T(spark, sf, "events"), "ts")
+
+
+def destination_by_severity(spark, sf):
+    lm = last_movement(spark, sf).select("o_orderkey", F.col("r_name").alias("Tipo"))
+    o = T(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("COR_CLASSIF"),
+                                      F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("fl_conversao"))
+    return insights.destination_by_severity(o.join(lm, "o_orderkey", "left"))
+
+
+def load_health(spark, sf):
+    o = T(spark, sf, "orders").withColumn("competencia", month("o_orderdate"))
+    srcs = {s: o.where(F.col("o_orderstatus") == s) for s in ("F", "O", "P")}
+    out = insights.load_health(srcs, "competencia", F.lit("2002-01-01").cast("date"))
+    return out.withColumns({"media_anterior": F.round("media_anterior", 6),
+                            "desvio_anterior": F.round("desvio_anterior", 6)})
+
+
+def return_analysis(spark, sf):
+    ev = T(spark, sf, "events").select("user_id", "event_id", "ts", "event_type")
+    out = insights.return_analysis(ev, patient="user_id", visit_id="event_id", arrival="ts", code="event_type")
+    # nullable integers leave as DOUBLE, so every engine hands pandas one dtype
+    return out.select("user_id", "event_id", "ts", "event_type",
+                      *[F.col(c).cast("double").alias(c) for c in
+                        ("proxima_visita", "minutos_ate_retorno", "mesmo_codigo", "dentro_janela")],
+                      "proximo_codigo")
+
+
 QUERIES = {
     "ranking_by_segment": ranking_by_segment,
     "rate_kpis_by_period": rate_kpis_by_period,
@@ -630,4 +683,11 @@ QUERIES = {
     "raw_overwrite": raw_overwrite,
     "ingest_stream": ingest_stream,
     "seed_join": seed_join,
+    "age_pyramid": age_pyramid,
+    "top_codes": top_codes,
+    "demand_by_locality": demand_by_locality,
+    "hour_weekday": hour_weekday,
+    "destination_by_severity": destination_by_severity,
+    "load_health": load_health,
+    "return_analysis": return_analysis,
 }
