@@ -70,6 +70,19 @@ def interval_link(visits: DataFrame, admissions: DataFrame, *,
                 .drop("__vday", "__vpat", "__vd", "__vts"))
 
 
+def returning_ids(df: DataFrame, *, id_col: str, patient: str, code: str, day: str | Column,
+                  min_days: int = 1, max_days: int = 2) -> DataFrame:
+    """Distinct ``id_col`` of the rows that ``flag_returns`` flags, computed on
+    a narrow projection (id, patient, code, day): joining this back by id
+    keeps every shuffle of the wide table on the id."""
+    day_col = (F.col(day) if isinstance(day, str) else day).cast("date")
+    narrow = df.select(F.col(id_col).alias("__id"), F.col(patient).alias("__pp"), F.col(code).alias("__cc"),
+                       day_col.alias("__dd"))
+    flagged = flag_returns(narrow, patient="__pp", code="__cc", day="__dd", flag="__f",
+                           min_days=min_days, max_days=max_days)
+    return flagged.where(F.col("__f") == 1).select(F.col("__id").alias(id_col)).distinct()
+
+
 def flag_returns(df: DataFrame, *, patient: str, code: str, day: str | Column,
                  flag: str = "fl_retorno_48h", min_days: int = 1, max_days: int = 2) -> DataFrame:
     """Flag each row for which another row of the same patient and the same

@@ -150,8 +150,12 @@ def assemble_visit_mart(visits: DataFrame, logic: DataFrame | None, links: DataF
     ``atend_PA, CD_PACIENTE, DT_ATENDIMENTO, DT_HR_TOTEM_RECEP, CID,
     MOTIVO_ALTA``."""
     v = visits
-    # 48h return: shuffles on (patient, code, day) — done first
-    v = link.flag_returns(v, patient="CD_PACIENTE", code="CID", day="DT_ATENDIMENTO")
+    # 48h return: the (patient, code, day) shuffles run on a narrow projection;
+    # the wide table only ever shuffles on the visit id (shared by all joins)
+    ret = (link.returning_ids(v, id_col="atend_PA", patient="CD_PACIENTE", code="CID", day="DT_ATENDIMENTO")
+               .select(F.col("atend_PA").alias("__rid")))
+    v = (v.join(ret, v["atend_PA"] == ret["__rid"], "left")
+          .withColumn("fl_retorno_48h", F.when(F.col("__rid").isNotNull(), 1).otherwise(0)).drop("__rid"))
     if logic is not None and "flag_prevalece" not in v.columns:
         lg = logic.select(F.col("nr_atendimento").alias("__lid"), "flag_prevalece")
         v = v.join(lg, v["atend_PA"] == lg["__lid"], "left").drop("__lid")
@@ -191,7 +195,8 @@ def assemble_visit_mart(visits: DataFrame, logic: DataFrame | None, links: DataF
     else:
         v = v.withColumn("decisao", F.lit(None).cast("string"))
     if cid_seed is not None:
-        seed = cid_seed.select(F.col("codigo_cid").alias("__code"), "capitulo_cid").dropDuplicates(["__code"])
+        seed = tables.broadcast_if_small(
+            cid_seed.select(F.col("codigo_cid").alias("__code"), "capitulo_cid").dropDuplicates(["__code"]))
         v = v.join(seed, C.token("CID", " - ", 0) == seed["__code"], "left").drop("__code")
         v = v.withColumn("grupo_cid", F.trim(F.initcap("capitulo_cid"))).drop("capitulo_cid")
     else:
@@ -236,7 +241,7 @@ def build_visit_mart(stg_visits: DataFrame, stg_adm: DataFrame, stg_mov: DataFra
         v = curation.apply_corrections(v, corrections, id_col="CD_ATENDIMENTO")
     else:
         v = v.withColumn("flag_prevalece", F.lit(None).cast("string"))
-    beds = beds.dropDuplicates(["Leito"])
+    beds = tables.broadcast_if_small(beds.dropDuplicates(["Leito"]))
     last = last_movement(stg_mov, beds, movement_order)
     adm = admissions_with_bed(stg_adm, last, beds)
     links = link_admissions(v, adm)
