@@ -60,3 +60,18 @@ def test_next_in_order_hot_key_against_brute_force(spark):
         for (t, i), nxt in zip(seq, seq[1:] + [None]):
             exp[i] = nxt[1] if nxt else None
     assert got == exp
+
+
+def test_approx_percentiles_close_to_exact(spark):
+    from wardflow.operators import journey
+    rnd = random.Random(5)
+    rows = [(g, p, rnd.randrange(0, 600)) for g in ("a", "b") for p in ("x", "y") for _ in range(400)]
+    df = spark.createDataFrame(rows, "g string, p string, m long")
+    steps = (("s", "m", 1),)
+    ex = {(r.p, r.g): (r.p50, r.p90) for r in journey.step_percentiles(df, ["p", "g"], "p", steps).collect()}
+    ap = {(r.p, r.g): (r.p50, r.p90) for r in
+          journey.step_percentiles(df, ["p", "g"], "p", steps, method="approx").collect()}
+    assert ex.keys() == ap.keys() and len(ex) == 4 + 2 + 1          # detail, per period, overall
+    for k in ex:
+        assert abs(ex[k][0] - ap[k][0]) <= 6 and abs(ex[k][1] - ap[k][1]) <= 6    # ~1% of the range
+        assert ap[k][1] >= ap[k][0]

@@ -152,7 +152,7 @@ def forward_fill(spark, sf):
     return out.select("event_id", "user_id", "ts", F.col("signup_value_ff").alias("ultimo_signup"))
 
 
-def _cells_from_events(ev: DataFrame) -> DataFrame:
+def _cells_from_events(ev: DataFrame, keep=()) -> DataFrame:
     """Positional report rows built from events: the cells move by event type
     (view/purchase → layout A, click → B, signup → C, error → no time cell).
     Fields are computed once; each cell is then a small CASE over them."""
@@ -170,7 +170,7 @@ def _cells_from_events(ev: DataFrame) -> DataFrame:
              .when(F.col("event_type") == "click", F.lit("B"))
              .when(F.col("event_type") == "signup", F.lit("C"))
              .otherwise(F.lit("N")))
-    base = ev.select(kind.alias("__k"), *[f.alias(f"__f_{n}") for n, f in fields.items()])
+    base = ev.select(*keep, kind.alias("__k"), *[f.alias(f"__f_{n}") for n, f in fields.items()])
     where = {k: {p: n for n, p in m.items()} for k, (_, m) in zip("ABC", layouts.MOVEMENT_LAYOUTS)}
     where["N"] = {p: n for p, n in where["A"].items() if n != "HORA"}
     cells = []
@@ -182,7 +182,7 @@ def _cells_from_events(ev: DataFrame) -> DataFrame:
                 val = F.col(f"__f_{posmap[i]}")
                 cell = F.when(hit, val) if cell is None else cell.when(hit, val)
         cells.append(cell if cell is not None else F.lit(None).cast("string"))
-    return base.select(F.array(*cells).alias("cells"))
+    return base.select(*keep, F.array(*cells).alias("cells"))
 
 
 def layout_normalise(spark, sf):
@@ -191,6 +191,42 @@ def layout_normalise(spark, sf):
     return reports.drop_pii(out, ["NM_PACIENTE"])
 
 
+def movement_report(spark, sf):
+    """Events rendered as a headerless movements report (a unit header per
+    user, a date header per user-day, data rows in three layouts), written as
+    text files, then read back: positional cells → carried headers → layouts."""
+    ev = T(spark, sf, "events").where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
+    day = F.date_format("ts", "yyyy-MM-dd")
+    blank = [F.lit("")] * 20
+
+    def line(cells):
+        return F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in cells])
+
+    unit = blank.copy()
+    unit[0] = F.concat(F.lit(reports.UNIT_MARKER + ": U"), F.col("user_id").cast("string"))
+    unit[reports.UNIT_CELL] = F.concat(F.lit("U"), F.col("user_id").cast("string"))
+    date = blank.copy()
+    date[0], date[reports.DATE_CELL] = F.lit(reports.DATE_MARKER), F.col("__day")
+    data = _cells_from_events(ev.withColumn("props", F.col("event_type")), keep=["user_id", "ts", "event_id"])
+    # headers are repeated per user-day, so files can be cut between user-days
+    # (range partitioning): a user with a third of all rows spans many files
+    days = ev.select("user_id", day.alias("__day")).distinct()
+    rows = (days.select("user_id", "__day", F.lit(0).alias("__kind"), F.lit(None).cast("timestamp_ntz").alias("ts"),
+                        F.lit(None).cast("long").alias("event_id"), line(unit).alias("value"))
+            .unionByName(days.select("user_id", "__day", F.lit(1).alias("__kind"),
+                                     F.lit(None).cast("timestamp_ntz").alias("ts"),
+                                     F.lit(None).cast("long").alias("event_id"), line(date).alias("value")))
+            .unionByName(data.select("user_id", F.date_format("ts", "yyyy-MM-dd").alias("__day"),
+                                     F.lit(2).alias("__kind"), "ts", "event_id",
+                                     line([F.get(F.col("cells"), i) for i in range(20)]).alias("value"))))
+    path = os.path.join(scratch_path(spark, "reports"), "movimentacoes_2024_01")
+    (rows.repartitionByRange("user_id", "__day")
+         .sortWithinPartitions("user_id", "__day", "__kind", "ts", "event_id")
+         .select("value").write.text(path))
+    from wardflow.plans.domain import movements_from_cells
+    return movements_from_cells(reports.read_cells(spark, path))
+
+
 def ready_periods(spark, sf):
     ev = T(spark, sf, "events")
     srcs = {t: ev.where(F.col("event_type") == t).select(_ts(F.date_trunc("hour", "ts")).alias("competencia"))
@@ -667,6 +703,7 @@ QUERIES = {
     "excel_datetime": excel_datetime,
     "forward_fill": forward_fill,
     "layout_normalise": layout_normalise,
+    "movement_report": movement_report,
     "dedup_first": dedup_first,
     "duplicate_finder": duplicate_finder,
     "deidentify": deidentify,
