@@ -52,20 +52,18 @@ def apply_defaults(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
-    Reads ``spark.checkpoint.dir`` from the session; sets a local one only
-    when it is unset (as in local tests).
+    Reads ``spark.checkpoint.dir`` (or the context's checkpoint folder) from
+    the session; only when neither is set (local tests) is a local folder
+    chosen and registered with the context.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="wardflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # pragma: no cover - Spark Connect has no SparkContext
-        pass
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root
 
 
