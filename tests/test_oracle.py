@@ -59,4 +59,4 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert len(df.columns) == 11 and df.count() >= 0
+    assert len(df.columns) == 27 and df.count() >= 0

@@ -677,6 +677,106 @@ def return_analysis(spark, sf):
                       "proximo_codigo")
 
 
+# ------------------------------------------- the domain pipeline end to end
+
+def _plus_minutes(ts: str, minutes: Column) -> Column:
+    return F.col(ts) + F.make_dt_interval(F.lit(0), F.lit(0), minutes.cast("int"), F.lit(0))
+
+
+def _text_ts(c: Column) -> Column:
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
+def ed_raw_tables(spark, sf):
+    """The three monthly reports (all text) and the bed seed, rendered from the
+    driver tables: non-purchase events are ED visits, purchase events are
+    admissions and their bed movements, suppliers are beds."""
+    ev = T(spark, sf, "events")
+    vis = ev.where(F.col("event_type") != "purchase")
+    val = F.col("value")
+    visits = vis.select(
+        F.lit("HSR").alias("EMPRESA"), F.col("event_id").cast("string").alias("CD_ATENDIMENTO"),
+        F.col("user_id").cast("string").alias("CD_PACIENTE"),
+        (F.floor(val / 5).cast("long") - 2).cast("string").alias("IDADE"),
+        F.when(val < 250, "F").otherwise("M").alias("SEXO"), F.lit("0").alias("CEP"),
+        F.lit("CIDADE").alias("CIDADE"), F.lit("SP").alias("UF"), F.col("props").alias("CONVENIO"),
+        F.when(F.col("event_type") == "view", "CLINICA MEDICA").when(F.col("event_type") == "click", "CIRURGIA GERAL")
+         .when(F.col("event_type") == "signup", "ORTOPEDIA/TRAUMATOLOGIA").otherwise("MEDICO CARDIOLOGISTA")
+         .alias("ESPECIALIDADE"),
+        F.date_format("ts", "yyyy-MM-dd").alias("DT_ATENDIMENTO"),
+        _text_ts(F.col("ts")).alias("DT_HR_TOTEM_RECEP"),
+        _text_ts(_plus_minutes("ts", F.lit(1))).alias("CHAMADA_CLASSIFICACAO"),
+        _text_ts(_plus_minutes("ts", F.lit(2))).alias("INICIO_CLASSIFICACAO"),
+        _text_ts(_plus_minutes("ts", F.floor(val / 10))).alias("DT_HR_CLASSIF_RISCO"),
+        _text_ts(_plus_minutes("ts", F.lit(3))).alias("CHAMADA_CAD_RECEP"),
+        _text_ts(_plus_minutes("ts", F.lit(20))).alias("DH_CADASTRO_RECEPCAO"),
+        _text_ts(_plus_minutes("ts", F.lit(25))).alias("FIM_CAD_RECEP"),
+        _text_ts(_plus_minutes("ts", F.lit(26))).alias("DH_ATEND_MEDICO"),
+        _text_ts(_plus_minutes("ts", F.floor(val / 4))).alias("INI_ATD_MEDICO"),
+        _text_ts(_plus_minutes("ts", F.floor(val / 4) + 15)).alias("FIM_ATD_MEDICO"),
+        # discharge as an Excel serial (day count + a fraction from the value), missing for low values
+        F.when(val >= 30, F.concat(F.datediff(F.to_date("ts"), F.lit("1899-12-30").cast("date")).cast("string"),
+                                   F.lit("."), F.substring(F.lpad((val * 100).cast("long").cast("string"), 8, "0"), 5, 4)))
+         .alias("DT_HR_ALTA"),
+        F.lit("x").alias("CLASSIFICACAO"),
+        F.when(val < 50, "VERMELHO").when(val < 150, "LARANJA").when(val < 250, "AMARELO1").when(val < 350, "VERDE")
+         .when(val < 450, "AZUL").otherwise("").alias("COR_CLASSIF"),
+        F.when(val < 10, F.lit("SEM SEPARADOR")).otherwise(F.concat(F.lit("12 - DR "), F.col("user_id").cast("string")))
+         .alias("PRESTADOR"),
+        F.concat(F.col("event_type"), F.lit(" - DESCRICAO")).alias("CID"),
+        F.when(val < 20, "EVASAO").otherwise("ALTA").alias("MOTIVO_ALTA"),
+        F.lit("2024-01").alias("competencia"))
+    pur = ev.where(F.col("event_type") == "purchase")
+    admissions = pur.select(
+        F.col("user_id").cast("string").alias("COD_PACIENTE"), F.col("event_id").cast("string").alias("ATENDIMENTO"),
+        F.when(val >= 250, "EMERGENCIA ADULTO").when(val >= 100, "EMERGENCIA INFANTIL").otherwise("AMBULATORIO")
+         .alias("ORIGEM_ATEND"),
+        _text_ts(F.col("ts")).alias("DT_HR_ATENDIMENTO"),
+        F.concat(F.lit("L"), F.floor(val / 5).cast("long").cast("string")).alias("LEITO"),
+        F.lit("U-OLD").alias("UNIDADE"), F.lit("2024-01").alias("competencia"))
+
+    def mov(minutes: int, divisor: int, cond: Column) -> DataFrame:
+        return pur.where(cond).select(
+            F.col("event_id").cast("string").alias("ATEND"),
+            F.date_format(_plus_minutes("ts", F.lit(minutes)), "HH:mm:ss").alias("HORA"),
+            F.lit("TRF").alias("TIPO"), F.lit("PA").alias("ORIGEM"),
+            F.concat(F.lit("L"), F.floor(val / divisor).cast("long").cast("string")).alias("DESTINO"),
+            F.lit("x").alias("TIP_ACOM"), F.lit("x").alias("CID"), F.lit("x").alias("CONVENIO"),
+            F.lit("x").alias("MOTIVO_ALTA"), F.lit("U").alias("UNIDADE"),
+            F.when(val < 50, F.lit("NaT")).otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("DATA"),
+            F.lit("2024-01").alias("competencia"))
+    movements = mov(30, 7, F.lit(True)).unionByName(mov(90, 3, val > 200))
+    s, n, r = T(spark, sf, "supplier"), T(spark, sf, "nation"), T(spark, sf, "region")
+    beds = (s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").join(r, F.col("n_regionkey") == r["r_regionkey"], "left")
+             .select(F.concat(F.lit("L"), F.col("s_suppkey").cast("string")).alias("Leito"),
+                     F.col("n_name").alias("Unidade"), F.col("r_name").alias("Tipo")))
+    cid = vis.select(F.col("event_type").alias("codigo_cid")).distinct().withColumn(
+        "capitulo_cid", F.concat(F.lit("CAPITULO "), F.upper("codigo_cid")))
+    return visits, admissions, movements, beds, cid
+
+
+ED_MART_COLS = ("atend_PA", "CD_PACIENTE", "IDADE", "SERVICO", "COR_CLASSIF", "PRESTADOR", "DT_HR_TOTEM_RECEP",
+                "DT_HR_ALTA", "atend_internacao", "ORIGEM_ATEND", "Destino", "Unidade", "Tipo", "grupo_cid",
+                "turno", "faixa_etaria", "fl_conversao", "fl_retorno_48h", "fl_evasao", "fl_suspeito_conversao",
+                "fl_alta_na_meta", "faixa_sla", "minutos_espera_medica", "minutos_duracao_classificacao",
+                "minutos_duracao_atendimento_medico", "minutos_permanencia_total")
+
+
+def ed_visit_mart(spark, sf):
+    """The domain pipeline end to end: staging of the three reports, last
+    movement with the bed dimension, admission link, returns, flags, bands
+    and durations."""
+    from wardflow.plans import domain
+    visits, admissions, movements, beds, cid = ed_raw_tables(spark, sf)
+    mart = domain.build_visit_mart(domain.stage_visits(visits), domain.stage_admissions(admissions),
+                                   domain.stage_movements(movements), beds, cid_seed=cid)
+    nullable_ints = {"atend_internacao", "minutos_espera_medica", "minutos_duracao_classificacao",
+                     "minutos_duracao_atendimento_medico", "minutos_permanencia_total", "IDADE"}
+    # nullable integers leave as DOUBLE, so every engine hands pandas one dtype
+    return mart.select(*[F.col(c).cast("double").alias(c) if c in nullable_ints else F.col(c) for c in ED_MART_COLS],
+                       F.col("competencia").cast("timestamp_ntz").alias("competencia"))
+
+
 QUERIES = {
     "ranking_by_segment": ranking_by_segment,
     "rate_kpis_by_period": rate_kpis_by_period,
@@ -698,6 +798,7 @@ QUERIES = {
     "link_suspect": link_suspect,
     "return_48h": return_48h,
     "visit_mart": visit_mart,
+    "ed_visit_mart": ed_visit_mart,
     "corrections_wide": corrections_wide,
     "apply_corrections": apply_corrections,
     "excel_datetime": excel_datetime,
