@@ -762,14 +762,24 @@ ED_MART_COLS = ("atend_PA", "CD_PACIENTE", "IDADE", "SERVICO", "COR_CLASSIF", "P
                 "minutos_duracao_atendimento_medico", "minutos_permanencia_total")
 
 
+def _ed_mart(spark, sf):
+    from wardflow.plans import domain
+    visits, admissions, movements, beds, cid = ed_raw_tables(spark, sf)
+    stg_m = domain.stage_movements(movements)
+    mart = domain.build_visit_mart(domain.stage_visits(visits), domain.stage_admissions(admissions),
+                                   stg_m, beds, cid_seed=cid)
+    return mart, stg_m
+
+
+def _period_ts(df: DataFrame) -> DataFrame:
+    return df.withColumn("competencia", F.col("competencia").cast("timestamp_ntz"))
+
+
 def ed_visit_mart(spark, sf):
     """The domain pipeline end to end: staging of the three reports, last
     movement with the bed dimension, admission link, returns, flags, bands
     and durations."""
-    from wardflow.plans import domain
-    visits, admissions, movements, beds, cid = ed_raw_tables(spark, sf)
-    mart = domain.build_visit_mart(domain.stage_visits(visits), domain.stage_admissions(admissions),
-                                   domain.stage_movements(movements), beds, cid_seed=cid)
+    mart, _ = _ed_mart(spark, sf)
     nullable_ints = {"atend_internacao", "minutos_espera_medica", "minutos_duracao_classificacao",
                      "minutos_duracao_atendimento_medico", "minutos_permanencia_total", "IDADE"}
     # nullable integers leave as DOUBLE, so every engine hands pandas one dtype
@@ -777,6 +787,35 @@ def ed_visit_mart(spark, sf):
                        F.col("competencia").cast("timestamp_ntz").alias("competencia"))
 
 
+def ed_volumes(spark, sf):
+    """Funnel volumes of the domain mart: 7 keys × 8 milestones."""
+    from wardflow.plans import domain
+    return _period_ts(domain.volumes_mart(_ed_mart(spark, sf)[0]))
+
+
+def ed_percentiles(spark, sf):
+    """P50/P90 of the 7 steps per 6 keys, per period ('Todas') and overall."""
+    from wardflow.plans import domain
+    return _period_ts(domain.percentiles_mart(_ed_mart(spark, sf)[0], method="exact"))
+
+
+def ed_ranking(spark, sf):
+    """The specialty ranking of the domain mart."""
+    from wardflow.plans import domain
+    out = domain.ranking_mart(_ed_mart(spark, sf)[0])
+    return _period_ts(out.withColumns({c: F.round(c, 6) for c in
+                                       ["pontos_conversao", "pontos_alta_meta", "pontos_atend_medico",
+                                        "pontos_evasao", "pontos_retorno48h", "total_pontos"]}))
+
+
+def ed_rules(spark, sf):
+    """Row rules of the domain mart plus the movement rule."""
+    from wardflow.plans import domain
+    mart, stg_m = _ed_mart(spark, sf)
+    v = domain.run_mart_rules(mart).unionByName(domain.movement_rule(stg_m))
+    return _period_ts(v)
+
+
 QUERIES = {
     "ranking_by_segment": ranking_by_segment,
     "rate_kpis_by_period": rate_kpis_by_period,
@@ -799,6 +838,10 @@ QUERIES = {
     "return_48h": return_48h,
     "visit_mart": visit_mart,
     "ed_visit_mart": ed_visit_mart,
+    "ed_volumes": ed_volumes,
+    "ed_percentiles": ed_percentiles,
+    "ed_ranking": ed_ranking,
+    "ed_rules": ed_rules,
     "corrections_wide": corrections_wide,
     "apply_corrections": apply_corrections,
     "excel_datetime": excel_datetime,

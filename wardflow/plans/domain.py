@@ -264,7 +264,7 @@ def volumes_mart(mart: DataFrame) -> DataFrame:
 
 def ranking_mart(mart: DataFrame) -> DataFrame:
     ind = ranking.service_indicators(mart, "SERVICO", "competencia")
-    return ranking.weighted_ranking(ind, "competencia", round_to=None)
+    return ranking.weighted_ranking(ind, "competencia", round_to=6)
 
 
 def calendar_mart(mart: DataFrame) -> DataFrame:
