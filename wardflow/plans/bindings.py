@@ -765,9 +765,12 @@ ED_MART_COLS = ("atend_PA", "CD_PACIENTE", "IDADE", "SERVICO", "COR_CLASSIF", "P
 def _ed_mart(spark, sf):
     from wardflow.plans import domain
     visits, admissions, movements, beds, cid = ed_raw_tables(spark, sf)
-    stg_m = domain.stage_movements(movements)
-    mart = domain.build_visit_mart(domain.stage_visits(visits), domain.stage_admissions(admissions),
-                                   stg_m, beds, cid_seed=cid)
+    # staged tables are materialised (as the original's staging layer is),
+    # so the mart's branches read them instead of re-running the staging
+    stg_v = cut_lineage(domain.stage_visits(visits))
+    stg_a = cut_lineage(domain.stage_admissions(admissions))
+    stg_m = cut_lineage(domain.stage_movements(movements))
+    mart = domain.build_visit_mart(stg_v, stg_a, stg_m, beds, cid_seed=cid)
     return mart, stg_m
 
 

@@ -44,21 +44,27 @@ VOLUME_KEYS = PERCENTILE_KEYS + ("faixa_sla",)
 
 def stage_visits(raw: DataFrame, company: str | None = "HSR") -> DataFrame:
     """Raw visits (all text) → typed visits, first row kept per visit id
-    (row order = ``__row`` when present), service and colour cleaned."""
+    (row order = ``__row`` when present), service and colour cleaned.
+
+    The dedup keys on the typed id, so the staged table comes out
+    hash-partitioned by the visit id that every later join uses; materialise
+    it (``session.cut_lineage`` or a written table) before building marts."""
     df = raw
     if company is not None and "EMPRESA" in df.columns:
         df = df.where(F.col("EMPRESA") == company)
-    order = ["__row"] if "__row" in df.columns else ["CD_ATENDIMENTO"]
-    df = tables.dedup_first(df, ["CD_ATENDIMENTO"], order)
+    order = ["__row"] if "__row" in df.columns else ["__raw_id"]
     typed = df.select(
         C.strict_long("CD_PACIENTE").alias("CD_PACIENTE"),
         C.strict_long("CD_ATENDIMENTO").alias("CD_ATENDIMENTO"),
+        F.col("CD_ATENDIMENTO").alias("__raw_id"),
         C.strict_long("IDADE").alias("IDADE"),
         "SEXO", "CEP", "CIDADE", "UF", "CONVENIO", "ESPECIALIDADE", "CLASSIFICACAO", "COR_CLASSIF",
         "PRESTADOR", "CID", "MOTIVO_ALTA",
         C.strict_date("DT_ATENDIMENTO").alias("DT_ATENDIMENTO"),
         *[C.excel_or_datetime(c).alias(c) for c in JOURNEY_TS],
-        C.period_date("competencia").alias("competencia"))
+        C.period_date("competencia").alias("competencia"),
+        *(["__row"] if "__row" in df.columns else []))
+    typed = tables.dedup_first(typed, ["CD_ATENDIMENTO"], order)
     return typed.select(
         "CD_PACIENTE", "CD_ATENDIMENTO", "IDADE", "SEXO", "CEP", "CIDADE", "UF", "CONVENIO",
         C.service_category("IDADE", "ESPECIALIDADE").alias("SERVICO"),
@@ -72,15 +78,17 @@ def stage_visits(raw: DataFrame, company: str | None = "HSR") -> DataFrame:
 
 
 def stage_admissions(raw: DataFrame) -> DataFrame:
-    order = ["__row"] if "__row" in raw.columns else ["ATENDIMENTO"]
-    df = tables.dedup_first(raw, ["ATENDIMENTO"], order)
-    return df.select(
+    order = ["__row"] if "__row" in raw.columns else ["__raw_id"]
+    typed = raw.select(
         C.strict_long("COD_PACIENTE").alias("COD_PACIENTE"),
         C.strict_long("ATENDIMENTO").alias("ATENDIMENTO"),
+        F.col("ATENDIMENTO").alias("__raw_id"),
         "ORIGEM_ATEND",
         C.excel_or_datetime("DT_HR_ATENDIMENTO").alias("DT_HR_ATENDIMENTO"),
         "LEITO", "UNIDADE",
-        C.period_date("competencia").alias("competencia"))
+        C.period_date("competencia").alias("competencia"),
+        *(["__row"] if "__row" in raw.columns else []))
+    return tables.dedup_first(typed, ["ATENDIMENTO"], order).drop("__raw_id", "__row")
 
 
 def stage_movements(raw: DataFrame) -> DataFrame:
