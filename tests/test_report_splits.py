@@ -2,7 +2,6 @@
 boundaries (no task holds the whole file)."""
 import os
 
-from pyspark.sql import functions as F
 
 from wardflow.plans import domain
 from wardflow.sources import reports

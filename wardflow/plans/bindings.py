@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from wardflow.functions import columns as C
 from wardflow.operators import curation, insights, journey, kpis, layouts, link, quality, ranking, scan, tables
-from wardflow.session import cut_lineage, scratch_path
+from wardflow.session import materialize, scratch_path
 from wardflow.sources import reports
 
 DETECTED_AT = "2026-01-01 00:00:00"   # fixed detection time of a register run
@@ -365,9 +365,9 @@ def _register_batch(spark, sf) -> DataFrame:
     batch = vy.unionByName(vo).unionByName(sus)
     reg = curation.register_rows(batch, F.lit(DETECTED_AT), period_lookup=om,
                                  lookup_id="atend_PA", lookup_period="competencia")
-    # the register is a stored table: materialise it once (reliable
-    # checkpoint in the shared checkpoint folder) for the branches built on it
-    return cut_lineage(reg)
+    # the register is a stored table: write it once (Parquet in the shared
+    # checkpoint folder) for the branches built on it
+    return materialize(reg, "register")
 
 
 def register_new(spark, sf):
@@ -767,9 +767,9 @@ def _ed_mart(spark, sf):
     visits, admissions, movements, beds, cid = ed_raw_tables(spark, sf)
     # staged tables are materialised (as the original's staging layer is),
     # so the mart's branches read them instead of re-running the staging
-    stg_v = cut_lineage(domain.stage_visits(visits))
-    stg_a = cut_lineage(domain.stage_admissions(admissions))
-    stg_m = cut_lineage(domain.stage_movements(movements))
+    stg_v = materialize(domain.stage_visits(visits), "stg_atendimentos")
+    stg_a = materialize(domain.stage_admissions(admissions), "stg_internacoes")
+    stg_m = materialize(domain.stage_movements(movements), "stg_movimentacoes")
     mart = domain.build_visit_mart(stg_v, stg_a, stg_m, beds, cid_seed=cid)
     return mart, stg_m
 
