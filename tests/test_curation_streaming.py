@@ -71,6 +71,7 @@ def test_ingest_stream_is_incremental(spark, tmp_dir):
     v = spark.read.parquet(f"{sink}/atendimentos")
     assert sorted(r.id for r in v.collect()) == ["1", "2"] and {r.competencia for r in v.collect()} == {"2025-03"}
     rejected = {r["__path"].split("/")[-2] for r in spark.read.parquet(f"{sink}/_rejeitados").collect()}
+    assert spark.read.parquet(f"{sink}/_rejeitados").select("lote").distinct().count() == 1
     assert rejected == {"atendimentos_2025_03", "relatorio_2025_03"}   # lock file and unknown name
     # a corrected file for the same period replaces the period; old files are not read again
     spark.createDataFrame([(7, "z")], schema).write.parquet(f"{landing}/atendimentos_2025_03_v2")
@@ -79,3 +80,29 @@ def test_ingest_stream_is_incremental(spark, tmp_dir):
     assert sorted(r.id for r in v.collect()) == ["7"]
     ready = ready_from_raw(spark, sink).collect()
     assert [(r.competencia, r.pronto) for r in ready] == [("2025-03", 0)]    # movements missing
+
+
+def test_ingest_csv_reports(spark, tmp_dir):
+    landing, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "raw", "ckpt"))
+    os.makedirs(landing)
+    with open(os.path.join(landing, "atendimentos_2025_05.csv"), "w") as f:
+        f.write("CD_ATENDIMENTO,CD_PACIENTE\n1,10\n2,20\n")
+    with open(os.path.join(landing, "movimentacoes_2025_05.csv"), "w") as f:
+        f.write("CD_ATENDIMENTO,CD_PACIENTE\n3,30\n")
+    schema = spark.createDataFrame([], "CD_ATENDIMENTO string, CD_PACIENTE string").schema
+    ingest_available(spark, landing, sink, ckpt, schema, fmt="csv", options={"header": "true"})
+    v = spark.read.parquet(f"{sink}/atendimentos").collect()
+    assert sorted((r.CD_ATENDIMENTO, r.competencia) for r in v) == [("1", "2025-05"), ("2", "2025-05")]
+    ready = {r.competencia: r.pronto for r in ready_from_raw(spark, sink).collect()}
+    assert ready == {"2025-05": 0}
+
+
+def test_newest_file_of_a_period_wins_within_a_batch(spark, tmp_dir):
+    import time
+    landing, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "raw", "ckpt"))
+    schema = "id long"
+    spark.createDataFrame([(1,), (2,)], schema).write.parquet(f"{landing}/atendimentos_2025_06")
+    time.sleep(1.1)
+    spark.createDataFrame([(9,)], schema).write.parquet(f"{landing}/atendimentos_2025_06_corrigido")
+    ingest_available(spark, landing, sink, ckpt, spark.createDataFrame([], schema).schema)
+    assert [r.id for r in spark.read.parquet(f"{sink}/atendimentos").collect()] == ["9"]

@@ -24,6 +24,20 @@ def _load_batch(sink: str):
     def run(batch: DataFrame, epoch: int) -> None:
         routed = batch.withColumns({"__dataset": route_source("__path"),
                                     PERIOD: period_from_path("__path")})
+        # as with one load per report, the newest report of a (dataset,
+        # period) wins.  A report is a file, or the folder of ``part-*`` files
+        # a writer such as Spark produces.  Chosen by aggregates (one row per
+        # report, then per group) joined back, never a window over a period.
+        name = F.element_at(F.split("__path", "/"), -1)
+        routed = routed.withColumn("__report", F.when(name.startswith("part-"),
+                                                      F.regexp_replace("__path", "/[^/]*$", ""))
+                                                .otherwise(F.col("__path")))
+        reports_t = (routed.groupBy("__dataset", PERIOD, "__report").agg(F.max("__mtime").alias("__mtime"))
+                           .groupBy("__dataset", PERIOD)
+                           .agg(F.max(F.struct("__mtime", "__report")).getField("__report").alias("__newest")))
+        routed = (routed.join(reports_t, ["__dataset", PERIOD], "left")
+                        .where(F.col("__newest").isNull() | (F.col("__report") == F.col("__newest")))
+                        .drop("__newest", "__mtime", "__report"))
         for name in ("atendimentos", "internacoes", "movimentacoes"):
             part = routed.where((F.col("__dataset") == name) & F.col(PERIOD).isNotNull())
             part = part.drop("__dataset", "__path")
@@ -31,17 +45,23 @@ def _load_batch(sink: str):
                 overwrite_period(part, os.path.join(sink, name))
         rejected = routed.where(F.col("__dataset").isNull() | F.col(PERIOD).isNull())
         if rejected.take(1):
-            rejected.select("__path").distinct().write.mode("append").parquet(os.path.join(sink, "_rejeitados"))
+            # one folder per micro-batch, overwritten on a retry: idempotent
+            (rejected.select("__path").distinct().write.mode("overwrite")
+             .parquet(os.path.join(sink, "_rejeitados", f"lote={epoch}")))
     return run
 
 
 def ingest_available(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                     schema: T.StructType, fmt: str = "parquet") -> None:
-    """Process every file that arrived since the last run, then stop."""
+                     schema: T.StructType, fmt: str = "parquet", options: dict | None = None) -> None:
+    """Process every file that arrived since the last run, then stop.
+    ``options`` go to the file reader (e.g. ``{"header": "true"}`` for CSV
+    reports read with an all-string schema)."""
     stream = (spark.readStream.format(fmt).schema(schema)
               .option("recursiveFileLookup", "true")
+              .options(**(options or {}))
               .load(landing)
-              .withColumn("__path", F.col("_metadata.file_path")))
+              .withColumns({"__path": F.col("_metadata.file_path"),
+                            "__mtime": F.col("_metadata.file_modification_time")}))
     q = (stream.writeStream.foreachBatch(_load_batch(sink))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
