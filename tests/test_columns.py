@@ -72,3 +72,16 @@ def test_text_helpers(spark):
     df = spark.createDataFrame([(1,), (6,), (7,), (None,)], "r long")
     assert [r.x for r in df.select(C.rank_points("r", (100, 90, 70, 50, 30, 10)).alias("x")).collect()] == [
         100, 10, None, None]
+
+
+def test_time_text_lookup_and_ids(spark):
+    df = spark.createDataFrame([("07:30",), ("7:30",), (None,)], "h string")
+    assert [r.x for r in df.select(C.hhmm_to_time_text("h").alias("x")).collect()] == ["07:30:00", None, None]
+    df = spark.createDataFrame([("a",), ("z",), (None,)], "k string")
+    got = [r.x for r in df.select(C.lookup("k", {"a": "A"}, "nao_mapeado").alias("x")).collect()]
+    assert got == ["A", "nao_mapeado", "nao_mapeado"]
+    df = spark.createDataFrame([("r", 1, "2025-01")], "t string, n long, p string")
+    import hashlib
+    assert df.select(C.stable_id("t", "n", "p").alias("x")).collect()[0].x == hashlib.sha256(b"r|1|2025-01").hexdigest()
+    df = spark.createDataFrame([(" ", "orig"), ("novo", "orig"), (None, "orig")], "a string, b string")
+    assert [r.x for r in df.select(C.blank_to("a", "b").alias("x")).collect()] == ["orig", "novo", "orig"]

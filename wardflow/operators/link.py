@@ -56,6 +56,10 @@ def interval_link(visits: DataFrame, admissions: DataFrame, *,
 
     Returns visit columns ``visit_id`` plus every admission column and
     ``link_minutes``.
+
+    ``visits`` must hold one visit per (patient, day) — the last one, as the
+    model does with ``top1`` first — so that no (patient, day) key pairs many
+    visits with many admissions.
     """
     cand = admissions.withColumn(
         "__vday", F.explode(F.sequence(F.lit(0), F.lit(max_days))))
