@@ -774,6 +774,25 @@ def _ed_mart(spark, sf):
     return mart, stg_m
 
 
+_STORED: dict = {}
+
+
+def _stored_ed_mart(spark, sf, rebuild: bool = False):
+    """The visit mart as a stored table (Parquet in the shared folder), as the
+    dependent marts of the original read it.  Built once per session and data
+    folder; ``rebuild`` forces a new build."""
+    key = (id(spark), os.path.abspath(sf))
+    hit = _STORED.get(key)
+    if rebuild or hit is None or hit[0] is not spark or not os.path.exists(hit[1]):
+        mart, stg_m = _ed_mart(spark, sf)
+        mpath, spath = scratch_path(spark, "atendimentos_pa"), scratch_path(spark, "stg_movimentacoes")
+        mart.write.parquet(mpath)
+        stg_m.write.parquet(spath)
+        hit = (spark, mpath, spath)
+        _STORED[key] = hit
+    return spark.read.parquet(hit[1]), spark.read.parquet(hit[2])
+
+
 def _period_ts(df: DataFrame) -> DataFrame:
     return df.withColumn("competencia", F.col("competencia").cast("timestamp_ntz"))
 
@@ -782,7 +801,7 @@ def ed_visit_mart(spark, sf):
     """The domain pipeline end to end: staging of the three reports, last
     movement with the bed dimension, admission link, returns, flags, bands
     and durations."""
-    mart, _ = _ed_mart(spark, sf)
+    mart, _ = _stored_ed_mart(spark, sf, rebuild=True)
     nullable_ints = {"atend_internacao", "minutos_espera_medica", "minutos_duracao_classificacao",
                      "minutos_duracao_atendimento_medico", "minutos_permanencia_total", "IDADE"}
     # nullable integers leave as DOUBLE, so every engine hands pandas one dtype
@@ -791,21 +810,21 @@ def ed_visit_mart(spark, sf):
 
 
 def ed_volumes(spark, sf):
-    """Funnel volumes of the domain mart: 7 keys × 8 milestones."""
+    """Funnel volumes of the stored domain mart: 7 keys × 8 milestones."""
     from wardflow.plans import domain
-    return _period_ts(domain.volumes_mart(_ed_mart(spark, sf)[0]))
+    return _period_ts(domain.volumes_mart(_stored_ed_mart(spark, sf)[0]))
 
 
 def ed_percentiles(spark, sf):
     """P50/P90 of the 7 steps per 6 keys, per period ('Todas') and overall."""
     from wardflow.plans import domain
-    return _period_ts(domain.percentiles_mart(_ed_mart(spark, sf)[0], method="exact"))
+    return _period_ts(domain.percentiles_mart(_stored_ed_mart(spark, sf)[0], method="exact"))
 
 
 def ed_ranking(spark, sf):
     """The specialty ranking of the domain mart."""
     from wardflow.plans import domain
-    out = domain.ranking_mart(_ed_mart(spark, sf)[0])
+    out = domain.ranking_mart(_stored_ed_mart(spark, sf)[0])
     return _period_ts(out.withColumns({c: F.round(c, 6) for c in
                                        ["pontos_conversao", "pontos_alta_meta", "pontos_atend_medico",
                                         "pontos_evasao", "pontos_retorno48h", "total_pontos"]}))
@@ -814,7 +833,7 @@ def ed_ranking(spark, sf):
 def ed_rules(spark, sf):
     """Row rules of the domain mart plus the movement rule."""
     from wardflow.plans import domain
-    mart, stg_m = _ed_mart(spark, sf)
+    mart, stg_m = _stored_ed_mart(spark, sf)
     v = domain.run_mart_rules(mart).unionByName(domain.movement_rule(stg_m))
     return _period_ts(v)
 
