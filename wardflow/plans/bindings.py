@@ -762,14 +762,14 @@ ED_MART_COLS = ("atend_PA", "CD_PACIENTE", "IDADE", "SERVICO", "COR_CLASSIF", "P
                 "minutos_duracao_atendimento_medico", "minutos_permanencia_total")
 
 
-def _ed_mart(spark, sf):
+def _ed_mart(spark, sf, stg_m_path: str | None = None):
     from wardflow.plans import domain
     visits, admissions, movements, beds, cid = ed_raw_tables(spark, sf)
     # staged tables are materialised (as the original's staging layer is),
     # so the mart's branches read them instead of re-running the staging
     stg_v = materialize(domain.stage_visits(visits), "stg_atendimentos")
     stg_a = materialize(domain.stage_admissions(admissions), "stg_internacoes")
-    stg_m = materialize(domain.stage_movements(movements), "stg_movimentacoes")
+    stg_m = materialize(domain.stage_movements(movements), "stg_movimentacoes", stg_m_path)
     mart = domain.build_visit_mart(stg_v, stg_a, stg_m, beds, cid_seed=cid)
     return mart, stg_m
 
@@ -784,10 +784,9 @@ def _stored_ed_mart(spark, sf, rebuild: bool = False):
     key = (id(spark), os.path.abspath(sf))
     hit = _STORED.get(key)
     if rebuild or hit is None or hit[0] is not spark or not os.path.exists(hit[1]):
-        mart, stg_m = _ed_mart(spark, sf)
         mpath, spath = scratch_path(spark, "atendimentos_pa"), scratch_path(spark, "stg_movimentacoes")
+        mart, _ = _ed_mart(spark, sf, spath)
         mart.write.parquet(mpath)
-        stg_m.write.parquet(spath)
         hit = (spark, mpath, spath)
         _STORED[key] = hit
     return spark.read.parquet(hit[1]), spark.read.parquet(hit[2])

@@ -78,11 +78,11 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared checkpoint folder and
-    read it back: cuts the lineage like ``checkpoint()`` (the data survives
-    executor loss) with a columnar, compressed copy."""
+def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder (or at
+    ``path``) and read it back: cuts the lineage like ``checkpoint()`` (the
+    data survives executor loss) with a columnar, compressed copy."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,16 +39,23 @@ def _load_batch(sink: str):
         routed = (routed.join(reports_t, ["__dataset", PERIOD], "left")
                         .where(F.col("__newest").isNull() | (F.col("__report") == F.col("__newest")))
                         .drop("__newest", "__mtime", "__report"))
-        for name in ("atendimentos", "internacoes", "movimentacoes"):
-            part = routed.where((F.col("__dataset") == name) & F.col(PERIOD).isNotNull())
-            part = part.drop("__dataset", "__path")
-            if part.take(1):    # an empty batch must not touch the table
-                overwrite_period(part, os.path.join(sink, name))
-        rejected = routed.where(F.col("__dataset").isNull() | F.col(PERIOD).isNull())
-        if rejected.take(1):
-            # one folder per micro-batch, overwritten on a retry: idempotent
-            (rejected.select("__path").distinct().write.mode("overwrite")
-             .parquet(os.path.join(sink, "_rejeitados", f"lote={epoch}")))
+        # several writes read this batch: keep it (spills to disk; lost blocks
+        # are recomputed from the source files)
+        routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            # which datasets this batch holds: at most a handful of names
+            present = {r[0] for r in routed.select("__dataset").distinct().collect()}
+            for name in ("atendimentos", "internacoes", "movimentacoes"):
+                if name in present:
+                    part = routed.where((F.col("__dataset") == name) & F.col(PERIOD).isNotNull())
+                    overwrite_period(part.drop("__dataset", "__path"), os.path.join(sink, name))
+            rejected = routed.where(F.col("__dataset").isNull() | F.col(PERIOD).isNull())
+            if None in present or not rejected.isEmpty():
+                # one folder per micro-batch, overwritten on a retry: idempotent
+                (rejected.select("__path").distinct().write.mode("overwrite")
+                 .parquet(os.path.join(sink, "_rejeitados", f"lote={epoch}")))
+        finally:
+            routed.unpersist()
     return run
 
 
