@@ -106,3 +106,32 @@ def test_newest_file_of_a_period_wins_within_a_batch(spark, tmp_dir):
     spark.createDataFrame([(9,)], schema).write.parquet(f"{landing}/atendimentos_2025_06_corrigido")
     ingest_available(spark, landing, sink, ckpt, spark.createDataFrame([], schema).schema)
     assert [r.id for r in spark.read.parquet(f"{sink}/atendimentos").collect()] == ["9"]
+
+
+def test_pii_never_stored_and_movement_reports_stream(spark, tmp_dir):
+    from wardflow.streaming.ingest import ingest_movement_reports
+    landing, sink = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "raw")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "atendimentos_2025_07.csv"), "w") as f:
+        f.write("EMPRESA,CD_ATENDIMENTO,NM_PACIENTE,DT_NASC\nHSR,1,ANA,2000-01-01\nOUTRA,2,BIA,2001-01-01\n")
+    schema = spark.createDataFrame([], "EMPRESA string, CD_ATENDIMENTO string, NM_PACIENTE string, "
+                                       "DT_NASC string").schema
+    ingest_available(spark, landing, sink, os.path.join(tmp_dir, "ck1"), schema, fmt="csv",
+                     options={"header": "true", "pathGlobFilter": "atendimentos_*"})
+    v = spark.read.parquet(f"{sink}/atendimentos")
+    assert "NM_PACIENTE" not in v.columns and "DT_NASC" not in v.columns
+    assert [r.CD_ATENDIMENTO for r in v.collect()] == ["1"]
+    def cells(**kv):
+        c = [""] * 20
+        for k, x in kv.items():
+            c[int(k[1:])] = x
+        return ",".join(c)
+    with open(os.path.join(landing, "movimentacoes_2025_07.csv"), "w") as f:
+        f.write("\n".join([cells(c0="Unidade de Internação: A", c6="UTI"), cells(c0="Data:", c2="2025-07-01"),
+                           cells(c1="77", c3="NOME", c10="08:00:00", c15="L1"),
+                           cells(c1="78", c3="NOME", c7="09:00:00", c12="L2")]) + "\n")
+    ingest_movement_reports(spark, landing, sink, os.path.join(tmp_dir, "ck2"))
+    m = {r.ATEND: r for r in spark.read.parquet(f"{sink}/movimentacoes").collect()}
+    assert set(m) == {"77", "78"} and m["78"].DESTINO == "L2" and m["77"].UNIDADE == "UTI"
+    assert m["78"].DATA == "2025-07-01" and m["77"].competencia == "2025-07"
+    assert "NM_PACIENTE" not in spark.read.parquet(f"{sink}/movimentacoes").columns

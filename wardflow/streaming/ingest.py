@@ -18,10 +18,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.sources.reports import PERIOD, overwrite_period, period_from_path, route_source
+from wardflow.sources.reports import (ADMISSION_PII, MOVEMENT_PII, PERIOD, VISIT_PII, drop_pii,
+                                     overwrite_period, period_from_path, route_source)
 
+COMPANY = "HSR"   # fixed value: the only company whose visits are loaded
+
+
+def _visits_loader(df: DataFrame) -> DataFrame:
+    if "EMPRESA" in df.columns:
+        df = df.where(F.col("EMPRESA") == COMPANY)
+    return drop_pii(df, [c for c in VISIT_PII if c in df.columns])
+
+
+# per-dataset load step, applied before anything is stored: personal data
+# never reaches the raw tables
+DEFAULT_LOADERS = {
+    "atendimentos": _visits_loader,
+    "internacoes": lambda df: drop_pii(df, [c for c in ADMISSION_PII if c in df.columns]),
+    "movimentacoes": lambda df: drop_pii(df, [c for c in MOVEMENT_PII if c in df.columns]),
+}
+
+
+def _load_batch(sink: str, loaders=None):
+    loaders = DEFAULT_LOADERS if loaders is None else loaders
 
-def _load_batch(sink: str):
     def run(batch: DataFrame, epoch: int) -> None:
         routed = batch.withColumns({"__dataset": route_source("__path"),
                                     PERIOD: period_from_path("__path")})
@@ -48,7 +68,9 @@ def _load_batch(sink: str):
             for name in ("atendimentos", "internacoes", "movimentacoes"):
                 if name in present:
                     part = routed.where((F.col("__dataset") == name) & F.col(PERIOD).isNotNull())
-                    overwrite_period(part.drop("__dataset", "__path"), os.path.join(sink, name))
+                    part = part.drop("__dataset", "__path")
+                    load = loaders.get(name)
+                    overwrite_period(load(part) if load else part, os.path.join(sink, name))
             rejected = routed.where(F.col("__dataset").isNull() | F.col(PERIOD).isNull())
             if None in present or not rejected.isEmpty():
                 # one folder per micro-batch, overwritten on a retry: idempotent
@@ -60,22 +82,59 @@ def _load_batch(sink: str):
 
 
 def ingest_available(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                     schema: T.StructType, fmt: str = "parquet", options: dict | None = None) -> None:
+                     schema: T.StructType, fmt: str = "parquet", options: dict | None = None,
+                     loaders: dict | None = None) -> None:
     """Process every file that arrived since the last run, then stop.
-    ``options`` go to the file reader (e.g. ``{"header": "true"}`` for CSV
-    reports read with an all-string schema)."""
+    ``options`` go to the file reader (e.g. ``{"header": "true"}`` and a
+    ``pathGlobFilter`` for CSV reports read with an all-string schema);
+    ``loaders`` (default: company filter and PII drop) run per dataset
+    before the period is stored."""
     stream = (spark.readStream.format(fmt).schema(schema)
               .option("recursiveFileLookup", "true")
               .options(**(options or {}))
               .load(landing)
               .withColumns({"__path": F.col("_metadata.file_path"),
                             "__mtime": F.col("_metadata.file_modification_time")}))
-    q = (stream.writeStream.foreachBatch(_load_batch(sink))
+    q = (stream.writeStream.foreachBatch(_load_batch(sink, loaders))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def _load_movement_reports(sink: str):
+    def run(batch: DataFrame, epoch: int) -> None:
+        from wardflow.plans.domain import movements_from_cells
+        # row order inside each file: split start, then position in the split
+        # (the batch is still the plain file scan, so the ids follow the file)
+        lines = batch.select(F.col("__path").alias("file"), F.col("__blk").alias("blk"),
+                             F.monotonically_increasing_id().alias("pos"), "value")
+        schema = ", ".join(f"_c{i} string" for i in range(20))
+        cells = lines.select("file", "blk", "pos",
+                             F.from_csv("value", schema).alias("__r")).select(
+            "file", "blk", "pos", F.array(*[F.col("__r").getField(f"_c{i}") for i in range(20)]).alias("cells"))
+        rows = movements_from_cells(cells).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not rows.isEmpty():
+                overwrite_period(rows.where(F.col(PERIOD).isNotNull()), os.path.join(sink, "movimentacoes"))
+        finally:
+            rows.unpersist()
+    return run
+
+
+def ingest_movement_reports(spark: SparkSession, landing: str, sink: str, checkpoint: str,
+                            glob: str = "movimentacoes_*") -> None:
+    """Headerless positional movement reports arriving as text files: cells
+    by position, unit/date headers carried down per file (block-parallel),
+    layouts normalised, the patient name dropped, the period overwritten."""
+    stream = (spark.readStream.format("text").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", glob).load(landing)
+              .select("value", F.col("_metadata.file_path").alias("__path"),
+                      F.col("_metadata.file_block_start").alias("__blk")))
+    q = (stream.writeStream.foreachBatch(_load_movement_reports(sink))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
 def ready_from_raw(spark: SparkSession, sink: str,
                    names: tuple[str, ...] = ("atendimentos", "internacoes", "movimentacoes")) -> DataFrame:
     """Completeness gate on the raw tables: periods present in all sources."""
