@@ -837,6 +837,20 @@ def ed_rules(spark, sf):
     return _period_ts(v)
 
 
+def ed_kpis(spark, sf):
+    """K1–K4, K6, K7 per period and service on the stored domain mart."""
+    g = kpis.period_kpis(_stored_ed_mart(spark, sf)[0], ["competencia", "SERVICO"])
+    return _period_ts(g.withColumns({c: F.round(c, 6) for c in
+                                     ["tx_conversao", "tx_retorno48h", "tx_evasao", "tx_alta_na_meta",
+                                      "espera_media", "espera_desvio"]}))
+
+
+def ed_wait_targets(spark, sf):
+    """K5 with the fixed per-colour maximum waits on the stored domain mart."""
+    g = kpis.wait_target_share(_stored_ed_mart(spark, sf)[0], ["COR_CLASSIF"])
+    return g.withColumn("tx_na_meta", F.round("tx_na_meta", 6))
+
+
 QUERIES = {
     "ranking_by_segment": ranking_by_segment,
     "rate_kpis_by_period": rate_kpis_by_period,
@@ -863,6 +877,8 @@ QUERIES = {
     "ed_percentiles": ed_percentiles,
     "ed_ranking": ed_ranking,
     "ed_rules": ed_rules,
+    "ed_kpis": ed_kpis,
+    "ed_wait_targets": ed_wait_targets,
     "corrections_wide": corrections_wide,
     "apply_corrections": apply_corrections,
     "excel_datetime": excel_datetime,
