@@ -851,6 +851,21 @@ def ed_wait_targets(spark, sf):
     return g.withColumn("tx_na_meta", F.round("tx_na_meta", 6))
 
 
+def ed_register(spark, sf):
+    """Register rows (C1, C2): the mart's rule violations, the movement rule,
+    the suspects of conversion and the grain rule, classified and keyed."""
+    from wardflow.plans import domain
+    mart, stg_m = _stored_ed_mart(spark, sf)
+    viol = domain.run_mart_rules(mart).unionByName(domain.movement_rule(stg_m))
+    return _period_ts(domain.register_batch(mart, viol, DETECTED_AT))
+
+
+def ed_calendar(spark, sf):
+    """The calendar dimension of the stored domain mart."""
+    from wardflow.plans import domain
+    return _period_ts(domain.calendar_mart(_stored_ed_mart(spark, sf)[0]))
+
+
 QUERIES = {
     "ranking_by_segment": ranking_by_segment,
     "rate_kpis_by_period": rate_kpis_by_period,
@@ -879,6 +894,8 @@ QUERIES = {
     "ed_rules": ed_rules,
     "ed_kpis": ed_kpis,
     "ed_wait_targets": ed_wait_targets,
+    "ed_register": ed_register,
+    "ed_calendar": ed_calendar,
     "corrections_wide": corrections_wide,
     "apply_corrections": apply_corrections,
     "excel_datetime": excel_datetime,
