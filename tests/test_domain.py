@@ -95,7 +95,8 @@ def built(spark, tmp_path_factory):
     beds = reports.read_seed(spark, f"{root}/dim_leitos.csv", "Leito string, Unidade string, Tipo string")
     stg_v, stg_a, stg_m = domain.stage_visits(raw_v), domain.stage_admissions(raw_a), domain.stage_movements(raw_m)
     mart = domain.build_visit_mart(stg_v, stg_a, stg_m, beds).cache()
-    return {"root": root, "raw_m": raw_m, "stg_v": stg_v, "stg_m": stg_m, "mart": mart, "beds": beds}
+    return {"root": root, "raw_v": raw_v, "raw_a": raw_a, "raw_m": raw_m, "stg_v": stg_v, "stg_m": stg_m,
+            "mart": mart, "beds": beds}
 
 
 def test_movement_report(built):
@@ -179,3 +180,23 @@ def test_overwrite_period_is_idempotent(spark, built, tmp_path):
 
 def test_seed_dedup(built):
     assert built["beds"].count() == 3
+
+
+def test_transform_ready_periods(spark, built, tmp_path):
+    root = str(tmp_path / "lake")
+    raw_v = built["raw_v"].drop("__row")
+    raw_a = built["raw_a"].drop("__row")
+    reports.write_raw(raw_v, reports.layer_path(root, "raw", "atendimentos"))
+    reports.write_raw(raw_a, reports.layer_path(root, "raw", "internacoes"))
+    reports.write_raw(built["raw_m"], reports.layer_path(root, "raw", "movimentacoes"))
+    out = domain.transform_ready_periods(spark, root, built["beds"], detected_at="2026-01-01 00:00:00")
+    assert [r.competencia for r in out["ready"].collect()] == ["2025-03"]       # 2025-04 lacks two sources
+    mart = spark.read.parquet(out["atendimentos_pa"])
+    assert {str(r.competencia) for r in mart.select("competencia").distinct().collect()} == {"2025-03-01"}
+    assert sorted(r.atend_PA for r in mart.select("atend_PA").distinct().collect()) == [1, 2, 3, 4, 5, 6]
+    for name in ("percentis_jornada", "volume_jornada", "ranking_especialidades", "dim_competencia"):
+        assert spark.read.parquet(out[name]).count() > 0
+    reg = spark.read.parquet(out["curadoria_inconsistencias"]).count()
+    assert reg > 0
+    domain.transform_ready_periods(spark, root, built["beds"], detected_at="2026-02-01 00:00:00")
+    assert spark.read.parquet(out["curadoria_inconsistencias"]).count() == reg     # nothing new registered

@@ -326,3 +326,55 @@ def register_batch(mart: DataFrame, violations: DataFrame, detected_at: Column |
                        F.col("atend_PA").alias("nr_atendimento"), "competencia", "servico"))
     batch = violations.unionByName(suspects).unionByName(dup)
     return curation.register_rows(batch, detected_at, period_lookup=mart)
+
+
+# ----------------------------------------------------------------- the job
+
+def transform_ready_periods(spark, root: str, beds: DataFrame, cid_seed: DataFrame | None = None,
+                            detected_at: str = "1970-01-01 00:00:00", percentile_method: str = "approx") -> dict:
+    """The transform job: raw → staged → marts → rules → register, for the
+    periods present in all three raw sources only.
+
+    Raw tables live under ``root/raw/<name>`` partitioned by ``competencia``;
+    the ready periods are a semi join on that partition column, so only their
+    partitions are read (dynamic partition pruning).  Marts are written under
+    ``root/marts`` with dynamic partition overwrite (other periods survive);
+    staged tables under ``root/staging``; new register rows are appended to
+    ``root/curadoria/curadoria_inconsistencias``.  Returns the written paths.
+    """
+    from wardflow.sources import reports
+    names = ("atendimentos", "internacoes", "movimentacoes")
+    raw = {n: reports.read_raw(spark, root, n) for n in names}
+    ready = (reports.ready_periods({n: df.select("competencia") for n, df in raw.items()}, "competencia")
+             .where(F.col("pronto") == 1).select("competencia"))
+    sel = {n: df.join(ready, "competencia", "left_semi") for n, df in raw.items()}
+    out = {}
+
+    def store(df: DataFrame, layer: str, name: str, period: str = "competencia", cluster=()) -> DataFrame:
+        path = reports.layer_path(root, layer, name)
+        reports.write_mart(df, path, partition=period, cluster_by=cluster)
+        out[name] = path
+        return spark.read.parquet(path)
+
+    stg_v = store(stage_visits(sel["atendimentos"]), "staging", "stg_atendimentos")
+    stg_a = store(stage_admissions(sel["internacoes"]), "staging", "stg_internacoes")
+    stg_m = store(stage_movements(sel["movimentacoes"]), "staging", "stg_movimentacoes", period="COMPETENCIA")
+    cur = reports.read_curation(spark, root)
+    corrections = curation.corrections_wide(cur["curadoria_inconsistencias"],
+                                            cur["curadoria_imputacao_integridade"],
+                                            cur["curadoria_decisao_logica"])
+    mart = build_visit_mart(stg_v, stg_a, stg_m, beds, corrections=corrections,
+                            curated=cur["curadoria_conversao"], cid_seed=cid_seed)
+    mart = store(mart, "marts", "atendimentos_pa", cluster=("SERVICO", "CONVENIO", "COR_CLASSIF"))
+    store(percentiles_mart(mart, percentile_method), "marts", "percentis_jornada")
+    store(volumes_mart(mart), "marts", "volume_jornada")
+    store(ranking_mart(mart), "marts", "ranking_especialidades")
+    store(calendar_mart(mart), "marts", "dim_competencia")
+    violations = run_mart_rules(mart).unionByName(movement_rule(stg_m))
+    batch = register_batch(mart, violations, detected_at)
+    reg_path = reports.layer_path(root, "curadoria", "curadoria_inconsistencias")
+    new = curation.register_new(batch, cur["curadoria_inconsistencias"])
+    reports.append_records(new, reg_path)
+    out["curadoria_inconsistencias"] = reg_path
+    out["ready"] = ready
+    return out
