@@ -113,7 +113,8 @@ def test_pii_never_stored_and_movement_reports_stream(spark, tmp_dir):
     landing, sink = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "raw")
     os.makedirs(landing)
     with open(os.path.join(landing, "atendimentos_2025_07.csv"), "w") as f:
-        f.write("EMPRESA,CD_ATENDIMENTO,NM_PACIENTE,DT_NASC\nHSR,1,ANA,2000-01-01\nOUTRA,2,BIA,2001-01-01\n")
+        f.write("EMPRESA,CD_ATENDIMENTO,NM_PACIENTE,DT_NASC\nHSR,1,ANA,2000-01-01\nOUTRA,2,BIA,2001-01-01\n"
+                "HSR,1,ANA2,1999-01-01\n")   # repeated id: the first row in the file is kept
     schema = spark.createDataFrame([], "EMPRESA string, CD_ATENDIMENTO string, NM_PACIENTE string, "
                                        "DT_NASC string").schema
     ingest_available(spark, landing, sink, os.path.join(tmp_dir, "ck1"), schema, fmt="csv",
@@ -121,6 +122,7 @@ def test_pii_never_stored_and_movement_reports_stream(spark, tmp_dir):
     v = spark.read.parquet(f"{sink}/atendimentos")
     assert "NM_PACIENTE" not in v.columns and "DT_NASC" not in v.columns
     assert [r.CD_ATENDIMENTO for r in v.collect()] == ["1"]
+    assert set(v.columns) == {"EMPRESA", "CD_ATENDIMENTO", "competencia"}
     def cells(**kv):
         c = [""] * 20
         for k, x in kv.items():

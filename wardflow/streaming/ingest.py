@@ -24,17 +24,35 @@ from wardflow.sources.reports import (ADMISSION_PII, MOVEMENT_PII, PERIOD, VISIT
 COMPANY = "HSR"   # fixed value: the only company whose visits are loaded
 
 
+ROW_ORDER = ("__path", "__blk", "__pos")   # file, split start, position in the split
+
+
+def _keep_first(df: DataFrame, key: str) -> DataFrame:
+    """Keep the first row of each key in file order (partial top-1 before the
+    shuffle, so a repeated key costs one row per task)."""
+    if key not in df.columns:
+        return df
+    from wardflow.operators.link import top1
+    return top1(df, [key], [c for c in ROW_ORDER if c in df.columns])
+
+
 def _visits_loader(df: DataFrame) -> DataFrame:
     if "EMPRESA" in df.columns:
         df = df.where(F.col("EMPRESA") == COMPANY)
+    df = _keep_first(df, "CD_ATENDIMENTO")
     return drop_pii(df, [c for c in VISIT_PII if c in df.columns])
 
 
-# per-dataset load step, applied before anything is stored: personal data
-# never reaches the raw tables
+def _admissions_loader(df: DataFrame) -> DataFrame:
+    df = _keep_first(df, "ATENDIMENTO")
+    return drop_pii(df, [c for c in ADMISSION_PII if c in df.columns])
+
+
+# per-dataset load step, applied before anything is stored: company filter,
+# keep-first dedup in file order, and personal data never reaches raw tables
 DEFAULT_LOADERS = {
     "atendimentos": _visits_loader,
-    "internacoes": lambda df: drop_pii(df, [c for c in ADMISSION_PII if c in df.columns]),
+    "internacoes": _admissions_loader,
     "movimentacoes": lambda df: drop_pii(df, [c for c in MOVEMENT_PII if c in df.columns]),
 }
 
@@ -43,6 +61,8 @@ def _load_batch(sink: str, loaders=None):
     loaders = DEFAULT_LOADERS if loaders is None else loaders
 
     def run(batch: DataFrame, epoch: int) -> None:
+        # the batch is still the plain file scan: ids follow the file order
+        batch = batch.withColumn("__pos", F.monotonically_increasing_id())
         routed = batch.withColumns({"__dataset": route_source("__path"),
                                     PERIOD: period_from_path("__path")})
         # as with one load per report, the newest report of a (dataset,
@@ -68,9 +88,9 @@ def _load_batch(sink: str, loaders=None):
             for name in ("atendimentos", "internacoes", "movimentacoes"):
                 if name in present:
                     part = routed.where((F.col("__dataset") == name) & F.col(PERIOD).isNotNull())
-                    part = part.drop("__dataset", "__path")
                     load = loaders.get(name)
-                    overwrite_period(load(part) if load else part, os.path.join(sink, name))
+                    part = (load(part) if load else part).drop("__dataset", *ROW_ORDER)
+                    overwrite_period(part, os.path.join(sink, name))
             rejected = routed.where(F.col("__dataset").isNull() | F.col(PERIOD).isNull())
             if None in present or not rejected.isEmpty():
                 # one folder per micro-batch, overwritten on a retry: idempotent
@@ -94,6 +114,7 @@ def ingest_available(spark: SparkSession, landing: str, sink: str, checkpoint: s
               .options(**(options or {}))
               .load(landing)
               .withColumns({"__path": F.col("_metadata.file_path"),
+                            "__blk": F.col("_metadata.file_block_start"),
                             "__mtime": F.col("_metadata.file_modification_time")}))
     q = (stream.writeStream.foreachBatch(_load_batch(sink, loaders))
          .option("checkpointLocation", checkpoint)
