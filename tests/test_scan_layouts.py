@@ -75,3 +75,16 @@ def test_approx_percentiles_close_to_exact(spark):
     for k in ex:
         assert abs(ex[k][0] - ap[k][0]) <= 6 and abs(ex[k][1] - ap[k][1]) <= 6    # ~1% of the range
         assert ap[k][1] >= ap[k][0]
+
+
+def test_percentiles_cube_option(spark):
+    from wardflow.operators import journey
+    rows = [(p, s, c, m) for p in ("x", "y") for s in ("A", "B") for c in ("r", "g") for m in range(10)]
+    df = spark.createDataFrame(rows, "p string, s string, c string, m long")
+    steps = (("st", "m", 1),)
+    base = journey.step_percentiles(df, ["p", "s", "c"], "p", steps)
+    cube = journey.step_percentiles(df, ["p", "s", "c"], "p", steps, cube=True)
+    assert base.count() == 8 + 2 + 1
+    assert cube.count() == 2 * (4 + 2 + 2 + 1) + 1        # per period: detail, s only, c only, none; + overall
+    r = {(x.p, x.s, x.c): x.p50 for x in cube.collect()}
+    assert r[("x", "Todas", "r")] == 4.0 and r[(None, "Todas", "Todas")] == 4.0

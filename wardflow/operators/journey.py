@@ -56,20 +56,29 @@ def step_percentiles(df: DataFrame, detail_keys: Sequence[str], period: str,
                      steps: Sequence[tuple], probs: Sequence[float] = (0.5, 0.9),
                      names: Sequence[str] = ("p50", "p90"), method: str = "exact",
                      accuracy: int = 10000, all_label: str = ALL_LABEL,
-                     name_col: str = "nome_etapa", order_col: str = "ordem") -> DataFrame:
+                     name_col: str = "nome_etapa", order_col: str = "ordem",
+                     cube: bool = False) -> DataFrame:
     """Percentiles of each step per detail group, per period, and overall.
 
     ``detail_keys`` must include ``period``; the others are labelled
     ``all_label`` when rolled up (decided by ``grouping()``, never by NULL,
     since keys can be NULL themselves).  The overall row has period NULL.
-    ``steps`` = [(label, duration column, ordinal), ...].
+    ``steps`` = [(label, duration column, ordinal), ...].  ``cube=True`` adds
+    every combination of rolled-up keys within each period (an ``all_label``
+    row per dimension); it multiplies the rows by 2^(keys) before the
+    aggregation, so it is an option, not the default.
     """
     others = [k for k in detail_keys if k != period]
     aggs = []
     for i, (_, c, _) in enumerate(steps):
         for j, p in enumerate(probs):
             aggs.append(_pct(c, p, method, accuracy).alias(f"__s{i}_{j}"))
-    grouped = df.groupingSets([list(detail_keys), [period], []], *detail_keys).agg(
+    if cube:
+        from itertools import combinations
+        sets = [[period, *c] for r in range(len(others) + 1) for c in combinations(others, r)] + [[]]
+    else:
+        sets = [list(detail_keys), [period], []]
+    grouped = df.groupingSets(sets, *detail_keys).agg(
         *aggs, *[F.grouping(k).alias(f"__g_{k}") for k in others])
     labelled = grouped.select(
         *[F.when(F.col(f"__g_{k}") == 1, F.lit(all_label)).otherwise(F.col(k).cast("string")).alias(k)

@@ -261,9 +261,11 @@ def build_visit_mart(stg_visits: DataFrame, stg_adm: DataFrame, stg_mov: DataFra
 
 # ----------------------------------------------------------------- marts
 
-def percentiles_mart(mart: DataFrame, method: str = "approx") -> DataFrame:
+def percentiles_mart(mart: DataFrame, method: str = "approx", cube: bool = False) -> DataFrame:
+    """P50/P90 per 6 keys, per period and overall (``cube=True``: also an
+    ``Todas`` row per dimension, as the documentation describes)."""
     return journey.step_percentiles(mart, list(PERCENTILE_KEYS), "competencia", PERCENTILE_STEPS,
-                                    method=method)
+                                    method=method, cube=cube)
 
 
 def volumes_mart(mart: DataFrame) -> DataFrame:
