@@ -86,3 +86,21 @@ def test_top1_is_partial_before_shuffle(spark):
     plan = link.top1(df, ["k"], [("v", "desc")])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert sorted(r.v for r in link.top1(df, ["k"], [("v", "desc")]).collect()) == [997, 998, 999]
+
+
+def test_returns_options_against_brute_force(spark):
+    rnd = random.Random(17)
+    rows = [(i, rnd.randrange(6), rnd.choice(["A", "B", None]), rnd.randrange(12)) for i in range(300)]
+    df = spark.createDataFrame([(a, b, c, D + dt.timedelta(days=d)) for a, b, c, d in rows],
+                               "vid long, pat long, cid string, day date")
+    for mark in ("first", "return"):
+        for same in (True, False):
+            got = {r.vid: r.f for r in link.flag_returns(df, patient="pat", code="cid" if same else None,
+                                                         day="day", flag="f", mark=mark).collect()}
+            exp = {}
+            for a, p, c, d in rows:
+                def pair(c2, d2):
+                    gap = (d2 - d) if mark == "first" else (d - d2)
+                    return 1 <= gap <= 2 and (not same or (c is not None and c2 == c))
+                exp[a] = int(any(p2 == p and pair(c2, d2) for _, p2, c2, d2 in rows))
+            assert got == exp, (mark, same)

@@ -74,37 +74,44 @@ def interval_link(visits: DataFrame, admissions: DataFrame, *,
                 .drop("__vday", "__vpat", "__vd", "__vts"))
 
 
-def returning_ids(df: DataFrame, *, id_col: str, patient: str, code: str, day: str | Column,
-                  min_days: int = 1, max_days: int = 2) -> DataFrame:
+def returning_ids(df: DataFrame, *, id_col: str, patient: str, code: str | None, day: str | Column,
+                  min_days: int = 1, max_days: int = 2, mark: str = "first") -> DataFrame:
     """Distinct ``id_col`` of the rows that ``flag_returns`` flags, computed on
     a narrow projection (id, patient, code, day): joining this back by id
     keeps every shuffle of the wide table on the id."""
     day_col = (F.col(day) if isinstance(day, str) else day).cast("date")
-    narrow = df.select(F.col(id_col).alias("__id"), F.col(patient).alias("__pp"), F.col(code).alias("__cc"),
+    code_col = F.col(code) if code is not None else F.lit("")
+    narrow = df.select(F.col(id_col).alias("__id"), F.col(patient).alias("__pp"), code_col.alias("__cc"),
                        day_col.alias("__dd"))
     flagged = flag_returns(narrow, patient="__pp", code="__cc", day="__dd", flag="__f",
-                           min_days=min_days, max_days=max_days)
+                           min_days=min_days, max_days=max_days, mark=mark)
     return flagged.where(F.col("__f") == 1).select(F.col("__id").alias(id_col)).distinct()
 
 
-def flag_returns(df: DataFrame, *, patient: str, code: str, day: str | Column,
-                 flag: str = "fl_retorno_48h", min_days: int = 1, max_days: int = 2) -> DataFrame:
-    """Flag each row for which another row of the same patient and the same
-    code lies ``min_days..max_days`` calendar days *later*.
+def flag_returns(df: DataFrame, *, patient: str, code: str | None, day: str | Column,
+                 flag: str = "fl_retorno_48h", min_days: int = 1, max_days: int = 2,
+                 mark: str = "first") -> DataFrame:
+    """Flag rows by short-term returns of the same patient (and the same code,
+    unless ``code`` is None) ``min_days..max_days`` calendar days apart.
 
-    NULL patient or NULL code never match (join semantics).
+    ``mark="first"`` (the model's semantics) flags the earlier visit, the one
+    that is followed by a return; ``mark="return"`` flags the later visit, the
+    one that came back.  NULL patient or NULL code never match (join
+    semantics).
     """
+    if mark not in ("first", "return"):
+        raise ValueError("mark must be 'first' or 'return'")
     day_col = (F.col(day) if isinstance(day, str) else day).cast("date")
-    days = (df.select(F.col(patient).alias("__p"), F.col(code).alias("__c"), day_col.alias("__d"))
+    code_col = F.col(code) if code is not None else F.lit("")
+    days = (df.select(F.col(patient).alias("__p"), code_col.alias("__c"), day_col.alias("__d"))
               .where(F.col("__p").isNotNull() & F.col("__c").isNotNull() & F.col("__d").isNotNull())
               .distinct())
-    # a return on day r marks the earlier days r-min_days .. r-max_days
-    earlier = (days.withColumn("__k", F.explode(F.sequence(F.lit(min_days), F.lit(max_days))))
-                   .select("__p", "__c", F.date_sub("__d", F.col("__k")).alias("__d"))
-                   .distinct()
-                   .withColumn(flag, F.lit(1)))
-    out = df.join(earlier,
-                  (df[patient] == earlier["__p"]) & (df[code] == earlier["__c"])
-                  & (day_col == earlier["__d"]), "left")
+    # a visit on day v marks the other end of the pair: v-k (first) or v+k (return)
+    shifted = days.withColumn("__k", F.explode(F.sequence(F.lit(min_days), F.lit(max_days))))
+    moved = F.date_sub("__d", F.col("__k")) if mark == "first" else F.date_add("__d", F.col("__k"))
+    other = (shifted.select("__p", "__c", moved.alias("__d")).distinct().withColumn(flag, F.lit(1)))
+    out = df.join(other,
+                  (df[patient] == other["__p"]) & (code_col == other["__c"]) & (day_col == other["__d"]),
+                  "left")
     return (out.withColumn(flag, F.coalesce(F.col(flag), F.lit(0)))
                .drop("__p", "__c", "__d"))
