@@ -11,10 +11,11 @@ duplicating it.
 
 from __future__ import annotations
 
+import logging
 import os
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +23,7 @@ from wardflow.sources.reports import (ADMISSION_PII, MOVEMENT_PII, PERIOD, VISIT
                                      overwrite_period, period_from_path, route_source)
 
 COMPANY = "HSR"   # fixed value: the only company whose visits are loaded
+LOG = logging.getLogger("wardflow.ingest")
 
 
 ROW_ORDER = ("__path", "__blk", "__pos")   # file, split start, position in the split
@@ -88,9 +90,16 @@ def _load_batch(sink: str, loaders=None):
             for name in ("atendimentos", "internacoes", "movimentacoes"):
                 if name in present:
                     part = routed.where((F.col("__dataset") == name) & F.col(PERIOD).isNotNull())
+                    # row-loss metric: rows before and after the load step,
+                    # collected by the write itself (no extra pass)
+                    before, after = Observation(f"{name}_in_{epoch}"), Observation(f"{name}_out_{epoch}")
+                    part = part.observe(before, F.count(F.lit(1)).alias("linhas"))
                     load = loaders.get(name)
                     part = (load(part) if load else part).drop("__dataset", *ROW_ORDER)
+                    part = part.observe(after, F.count(F.lit(1)).alias("linhas"))
                     overwrite_period(part, os.path.join(sink, name))
+                    LOG.info("%s lote %s: %s linhas lidas, %s gravadas", name, epoch,
+                             before.get.get("linhas"), after.get.get("linhas"))
             rejected = routed.where(F.col("__dataset").isNull() | F.col(PERIOD).isNull())
             if None in present or not rejected.isEmpty():
                 # one folder per micro-batch, overwritten on a retry: idempotent
