@@ -1,3 +1,37 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express, written from the
+definitions."""
 
-SQL: dict[str, str] = {}
+_STOP = """the of and to is in that it for with on as at by this be are was from or an a not
+le la les de des et un une en du que qui pour dans par sur au est avec il elle
+der die das und ist in den von zu mit ein eine nicht auf für sich auch dem des im
+el la los las de y que en un una del por con para es no se su al lo como""".split()
+
+OP4 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+win AS (SELECT r, unnest(range(1, len(ws) - 3)) AS i, ws FROM w WHERE len(ws) >= 5),
+seen AS (SELECT r, i, count(*) OVER (PARTITION BY r, array_to_string(ws[i:i + 4], ' ')) AS c FROM win),
+rep AS (SELECT r, count(DISTINCT i + k) AS n FROM seen, range(5) AS o(k) WHERE c >= 2 GROUP BY r),
+ln AS (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d),
+lc AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup FROM ln
+       WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+m AS (SELECT doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+       len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+       coalesce(rep.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+       len(regexp_extract_all(t, '[A-Z]')) AS n_upper,
+       len(list_filter(ws, lambda x: lower(x) IN (STOP))) AS n_stop
+      FROM w LEFT JOIN rep USING (r) LEFT JOIN lc USING (r)),
+v AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       list_filter([
+        CASE WHEN n_words = 0 OR word_chars / n_words < 3 OR word_chars / n_words > 10 THEN 'mean_word_chars' END,
+        CASE WHEN n_words > 0 AND n_symbols / n_words > 0.1 THEN 'symbol_ratio' END,
+        CASE WHEN n_words = 0 OR n_stop / n_words < 0.06 THEN 'stop_word_ratio' END,
+        CASE WHEN word_chars > 0 AND n_upper / word_chars > 0.3 THEN 'upper_ratio' END,
+        CASE WHEN n_lines > 0 AND n_dup_lines / n_lines > 0.3 THEN 'dup_line_ratio' END,
+        CASE WHEN n_lines = 0 OR n_words / n_lines < 1.5 THEN 'words_per_line' END], lambda x: x IS NOT NULL) AS broken FROM m)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       array_to_string(broken, ',') AS broken, NOT base_failed AND len(broken) = 0 AS kept
+FROM v""".replace("STOP", ", ".join(f"'{w}{tail}'" for w in sorted(set(_STOP)) for tail in ("", ",", ".")))
+
+SQL: dict[str, str] = {"op4_quality_rules": OP4}

@@ -5,9 +5,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from wardflow.llm.common import table
 from wardflow.llm.packing import pack
+from wardflow.llm.quality import score_quality
 from wardflow.llm.tokens import count_tokens
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -17,8 +19,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), keep_ids=False)
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents")).withColumn("broken", F.array_join("broken", ","))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op5_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_packing, op4_quality_rules, op5_token_counts)}
