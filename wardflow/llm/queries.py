@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wardflow.llm.common import table
 from wardflow.llm.packing import pack
 from wardflow.llm.quality import score_quality
+from wardflow.llm.secret_scan import digest
 from wardflow.llm.tokens import count_tokens
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -27,4 +28,9 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op4_quality_rules, op5_token_counts)}
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_packing, op4_quality_rules, op5_token_counts,
+                                op9_secret_scans)}
