@@ -34,4 +34,14 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        array_to_string(broken, ',') AS broken, NOT base_failed AND len(broken) = 0 AS kept
 FROM v""".replace("STOP", ", ".join(f"'{w}{tail}'" for w in sorted(set(_STOP)) for tail in ("", ",", ".")))
 
-SQL: dict[str, str] = {"op4_quality_rules": OP4}
+OP1 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS head FROM p)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + (((('0x' || substr(x, 1 + 10 * (k // 8), 10))::BIGINT >> (35 - 5 * (k % 8))::INT) & 31))::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> head THEN head END AS refers_to
+FROM g"""
+
+SQL: dict[str, str] = {"op1_warc_bundles": OP1, "op4_quality_rules": OP4}

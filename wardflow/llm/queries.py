@@ -12,10 +12,19 @@ from wardflow.llm.packing import pack
 from wardflow.llm.quality import score_quality
 from wardflow.llm.secret_scan import digest
 from wardflow.llm.tokens import count_tokens
+from wardflow.llm.warc import read_records, write_bundles
 
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def op1_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    return read_records(write_bundles(pages), with_payload=False).select(
+        F.col("page").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to_page").cast(kind).alias("refers_to"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), keep_ids=False)
 
@@ -32,5 +41,5 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op4_quality_rules, op5_token_counts,
+QUERIES = {f.__name__: f for f in (op1_warc_bundles, op2_packing, op4_quality_rules, op5_token_counts,
                                 op9_secret_scans)}
