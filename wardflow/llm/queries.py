@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm.common import table
+from wardflow.llm.langid import identify, identify_pages
 from wardflow.llm.packing import pack
 from wardflow.llm.quality import score_quality
 from wardflow.llm.secret_scan import digest
@@ -37,9 +38,23 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents carry a declared language and a source (their host); they have no address."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    got = identify(docs, "text", declared=F.col("lang"), host=F.col("source"))
+    return got.select("doc_id", F.col("lang").alias("declared"), "language", "language_p", F.col("language_kept").alias("kept"))
+
+
+def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for web pages, with markup and address as evidence."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return identify_pages(pages).select("page_id", "language", "language_p", F.col("language_kept").alias("kept"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_warc_bundles, op2_packing, op4_quality_rules, op5_token_counts,
-                                op9_secret_scans)}
+                                op8_language_id, op9_secret_scans,
+                                pages_language_id)}
