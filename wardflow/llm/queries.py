@@ -7,6 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardflow.llm import toxicity
 from wardflow.llm.common import table
 from wardflow.llm.langid import identify, identify_pages
 from wardflow.llm.packing import pack
@@ -30,6 +31,15 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), keep_ids=False)
 
 
+def op3_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    part = F.crc32(F.col("doc_id").cast("string")) % 5
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic").where(part != 0))
+    return toxicity.scan(docs, model).select(
+        "doc_id", (part == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").alias("n_passages"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents")).withColumn("broken", F.array_join("broken", ","))
 
@@ -55,6 +65,6 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_warc_bundles, op2_packing, op4_quality_rules, op5_token_counts,
+QUERIES = {f.__name__: f for f in (op1_warc_bundles, op2_packing, op3_toxic_segments, op4_quality_rules, op5_token_counts,
                                 op8_language_id, op9_secret_scans,
                                 pages_language_id)}
