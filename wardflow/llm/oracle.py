@@ -44,4 +44,18 @@ SELECT page_id, payload_bytes,
        CASE WHEN page_id <> head THEN head END AS refers_to
 FROM g"""
 
-SQL: dict[str, str] = {"op1_warc_bundles": OP1, "op4_quality_rules": OP4}
+OP7 = r"""
+WITH b AS (SELECT min(item_id) AS item_id, count(*) AS item_copies, ws FROM
+       (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM benchmark) GROUP BY ws),
+bs AS (SELECT DISTINCT item_id, item_copies, array_to_string(ws[i:i + 4], ' ') AS s
+       FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM b WHERE len(ws) >= 5)),
+bn AS (SELECT item_id, count(*) AS n FROM bs GROUP BY item_id),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+ds AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s
+       FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM d WHERE len(ws) >= 5)),
+f AS (SELECT doc_id, item_id, item_copies, count(*) AS shared FROM ds JOIN bs USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, item_copies, n AS item_shingles, shared AS shared_shingles, shared / n AS containment
+FROM f JOIN bn USING (item_id) WHERE 10 * shared >= 8 * n"""
+
+SQL: dict[str, str] = {"op1_warc_bundles": OP1, "op4_quality_rules": OP4,
+                        "op7_benchmark_decontamination": OP7}

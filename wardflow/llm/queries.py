@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardflow.llm import toxicity
 from wardflow.llm.common import table
+from wardflow.llm.decontaminate import contained_items
 from wardflow.llm.langid import identify, identify_pages
 from wardflow.llm.packing import pack
 from wardflow.llm.quality import score_quality
@@ -48,6 +49,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents carry a declared language and a source (their host); they have no address."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
@@ -66,5 +71,5 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_warc_bundles, op2_packing, op3_toxic_segments, op4_quality_rules, op5_token_counts,
-                                op8_language_id, op9_secret_scans,
+                                op7_benchmark_decontamination, op8_language_id, op9_secret_scans,
                                 pages_language_id)}
