@@ -111,10 +111,10 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int = 5) -> list
         if b - a >= width:
             out.append(np.unique(rolled[a:b - width + 1]))
         elif b > a:
-            whole = np.uint64(b - a)
-            for h in words[a:b]:
-                whole = mix(np.asarray([whole * np.uint64(31) + h]))[0]
-            out.append(np.asarray([whole]))
+            whole = np.asarray([b - a], np.uint64)
+            for k in range(a, b):
+                whole = mix(whole * np.uint64(31) + words[k:k + 1])
+            out.append(whole)
         else:
             out.append(np.zeros(0, np.uint64))
     return out

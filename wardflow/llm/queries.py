@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import toxicity
+from wardflow.llm import jaccard, toxicity
 from wardflow.llm.common import table
 from wardflow.llm.decontaminate import contained_items
 from wardflow.llm.langid import identify, identify_pages
@@ -60,6 +60,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.col("lang").alias("declared"), "language", "language_p", F.col("language_kept").alias("kept"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for web pages, with markup and address as evidence."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
@@ -72,4 +76,4 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_warc_bundles, op2_packing, op3_toxic_segments, op4_quality_rules, op5_token_counts,
                                 op7_benchmark_decontamination, op8_language_id, op9_secret_scans,
-                                pages_language_id)}
+                                op10_jaccard_join, pages_language_id)}
