@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from wardflow.llm import jaccard, toxicity
 from wardflow.llm.common import table
 from wardflow.llm.decontaminate import contained_items
+from wardflow.llm.gated_lm import score_texts
 from wardflow.llm.langid import identify, identify_pages
 from wardflow.llm.packing import pack
 from wardflow.llm.quality import score_quality
@@ -49,6 +50,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))
+    got = score_texts(table(spark, sf_dir, "documents"), ~held_out)
+    return got.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
@@ -75,5 +82,5 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_warc_bundles, op2_packing, op3_toxic_segments, op4_quality_rules, op5_token_counts,
-                                op7_benchmark_decontamination, op8_language_id, op9_secret_scans,
+                                op6_gated_lm, op7_benchmark_decontamination, op8_language_id, op9_secret_scans,
                                 op10_jaccard_join, pages_language_id)}
