@@ -36,13 +36,14 @@ def test_tag_decisions(spark):
         ("a", "conversao", "ana", "confirmado", "9", "L1", "U", "UTI"),
         ("b", "conversao", "ana", "confirmado", "9", "", "U", "UTI"),      # missing bed
         ("c", "integridade", " ", None, None, None, None, None),          # no author
-        ("d", "sequencia_temporal", "ana", None, None, None, None, None),  # class without a table
+        ("d", "sequencia_temporal", "ana", None, None, None, None, None),  # imputed like integrity cases
+        ("f", "nao_mapeado", "ana", None, None, None, None, None),         # class without a table
         ("e", "logica_negocio", "ana", None, None, None, None, None),
     ], "id_decisao string, tipo string, decidido_por string, decisao string, atend_internacao string, "
        "destino string, unidade string, tipo_leito string")
     got = {r.id_decisao: r.destino for r in curation.tag_decisions(dec).collect()}
-    assert got == {"a": "curadoria_conversao", "b": "rejeitadas", "c": "rejeitadas", "d": "rejeitadas",
-                   "e": "curadoria_decisao_logica"}
+    assert got == {"a": "curadoria_conversao", "b": "rejeitadas", "c": "rejeitadas", "f": "rejeitadas",
+                   "d": "curadoria_imputacao_integridade", "e": "curadoria_decisao_logica"}
     probs = {(r.id_decisao, r.problema) for r in curation.validate_decisions(dec).collect()}
     assert probs == {("b", "destino_ausente"), ("c", "autor_ausente")}
 

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from wardflow.operators import tables
 from wardflow.plans import domain
 from wardflow.sources import reports
 
@@ -91,6 +92,9 @@ def built(spark, tmp_path_factory):
 
     raw_v = reports.drop_pii(reports.read_report(spark, f"{root}/landing/atendimentos_*.csv"), list(reports.VISIT_PII))
     raw_a = reports.drop_pii(reports.read_report(spark, f"{root}/landing/internacoes_*.csv"), list(reports.ADMISSION_PII))
+    # the loaders keep the first row of an id within a period before it is stored
+    raw_v = tables.dedup_first(raw_v, ["competencia", "CD_ATENDIMENTO"], ["__row"])
+    raw_a = tables.dedup_first(raw_a, ["competencia", "ATENDIMENTO"], ["__row"])
     raw_m = domain.movements_from_cells(reports.read_cells(spark, f"{root}/landing/movimentacoes_*.csv"))
     beds = reports.read_seed(spark, f"{root}/dim_leitos.csv", "Leito string, Unidade string, Tipo string")
     stg_v, stg_a, stg_m = domain.stage_visits(raw_v), domain.stage_admissions(raw_a), domain.stage_movements(raw_m)

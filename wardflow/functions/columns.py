@@ -172,7 +172,9 @@ def first_non_empty(cols: Iterable[ColumnOrName], default: str) -> Column:
 
 
 def is_numeric(text: ColumnOrName) -> Column:
-    return F.trim(_c(text)).try_cast("double").isNotNull()
+    """A number is not ``NaN``: such text is a missing value."""
+    number = F.trim(_c(text)).try_cast("double")
+    return number.isNotNull() & ~F.isnan(number)
 
 
 def is_time(text: ColumnOrName) -> Column:

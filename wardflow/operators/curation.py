@@ -30,6 +30,7 @@ REGISTER_COLS = ("id_inconsistencia", "tipo", "teste", "nr_atendimento", "compet
 # fixed values: decision classes and their target tables
 DECISION_TARGETS = {
     "integridade": "curadoria_imputacao_integridade",
+    "sequencia_temporal": "curadoria_imputacao_integridade",
     "logica_negocio": "curadoria_decisao_logica",
     "conversao": "curadoria_conversao",
 }
@@ -115,8 +116,9 @@ def register_new(batch: DataFrame, existing: DataFrame) -> DataFrame:
                                "__k2": F.col("teste"),
                                "__k3": F.col("competencia").cast("string")})
     b = keyed(batch).dropDuplicates(["__k1", "__k2", "__k3"])
-    e = keyed(existing).select("__k1", "__k2", "__k3")
-    return b.join(e, ["__k1", "__k2", "__k3"], "left_anti").drop("__k1", "__k2", "__k3")
+    e = keyed(existing).select(*[F.col(f"__k{i}").alias(f"__e{i}") for i in (1, 2, 3)])
+    same = [F.col(f"__k{i}").eqNullSafe(F.col(f"__e{i}")) for i in (1, 2, 3)]   # a missing visit or period is a key too
+    return b.join(e, same[0] & same[1] & same[2], "left_anti").drop("__k1", "__k2", "__k3")
 
 
 def pending_periods(register: DataFrame) -> DataFrame:
@@ -192,4 +194,4 @@ def tag_decisions(decisions: DataFrame, targets: Mapping[str, str] = DECISION_TA
 def route_decisions(decisions: DataFrame, targets: Mapping[str, str] = DECISION_TARGETS) -> dict:
     """Decision rows split by destination table (views of one tagged pass)."""
     tagged = tag_decisions(decisions, targets)
-    return {t: tagged.where(F.col("destino") == t) for t in [*targets.values(), REJECTED]}
+    return {t: tagged.where(F.col("destino") == t) for t in [*dict.fromkeys(targets.values()), REJECTED]}

@@ -84,19 +84,16 @@ def service_indicators(df: DataFrame, group: str, period: str, *,
 
 
 def weighted_ranking(ind: DataFrame, period: str, metrics: Sequence[Metric] = DEFAULT_METRICS,
-                     points: Sequence[int] = DEFAULT_POINTS, round_to: int | None = 6,
+                     points: Sequence[int] = DEFAULT_POINTS, round_to: int | None = None,
                      total_name: str = "total_pontos") -> DataFrame:
     """``dense_rank`` per period for each metric (ascending ranks put NULL
     first, descending ranks put NULL last), rank → points × weight, and the
     total (NULL when any part is NULL).
 
-    Metrics are rounded to ``round_to`` digits first so that float noise
-    cannot split a tie.
+    Ranks are those of the unrounded metrics; ``round_to`` rounds only what is
+    returned.
     """
     out = ind
-    if round_to is not None:
-        out = out.withColumns({m.column: F.round(F.col(m.column).cast("double"), round_to)
-                               for m in metrics})
     ranks = {}
     for m in metrics:
         order = F.col(m.column).asc_nulls_first() if m.ascending else F.col(m.column).desc_nulls_last()
@@ -107,4 +104,7 @@ def weighted_ranking(ind: DataFrame, period: str, metrics: Sequence[Metric] = DE
     total = None
     for m in metrics:
         total = F.col(m.points_name) if total is None else total + F.col(m.points_name)
-    return out.withColumn(total_name, total)
+    out = out.withColumn(total_name, total)
+    if round_to is not None:
+        out = out.withColumns({m.column: F.round(F.col(m.column).cast("double"), round_to) for m in metrics})
+    return out

@@ -19,15 +19,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wardflow.session import materialize
+
 
 def range_blocks(df: DataFrame, partition_by: Sequence[str], order_by: Sequence[str],
                  num_blocks: int | None = None, name: str = "__blk") -> DataFrame:
     """Size-bounded blocks that are monotone in ``(partition_by, order_by)``:
     range-partition on that order and use the partition index as the block.
-    A key holding a third of all rows is spread over many ordered blocks."""
+    A key holding a third of all rows is spread over many ordered blocks.
+
+    The blocked rows are stored in the shared folder and read back: bounds are
+    sampled anew each time a range partitioning runs, so a plan that ran it
+    twice could give one row two blocks."""
     n = num_blocks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, *partition_by, *order_by)
-              .withColumn(name, F.spark_partition_id()))
+    return materialize(df.repartitionByRange(n, *partition_by, *order_by)
+                         .withColumn(name, F.spark_partition_id()), "blocks")
 
 
 def forward_fill(df: DataFrame, values: Sequence[str], *, partition_by: Sequence[str],

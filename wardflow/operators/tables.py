@@ -12,13 +12,6 @@ from wardflow.functions.columns import month_abbrev
 from wardflow.operators.link import top1
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast a reference table (seed, dimension) after checking its row
-    count; a larger one is left to the planner (sort-merge join).  Use on
-    small static inputs only: the check runs one job."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:
     """Keep the first row per key in ``order`` (row position or a full
     tie-break).  Partial top-1 runs before the shuffle, so hot keys are cheap."""

@@ -31,18 +31,9 @@ from wardflow.sources import reports
 DETECTED_AT = "2026-01-01 00:00:00"   # fixed detection time of a register run
 
 
-_READERS: dict = {}
-
-
 def T(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """The table as a lazy DataFrame.  The reader (file listing and footer
-    schema) is built once per session and path; the data is never cached."""
-    key = (id(spark), os.path.abspath(os.path.join(sf, f"{name}.parquet")))
-    df = _READERS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(key[1])
-        _READERS[key] = df
-    return df
+    """The table as a lazy DataFrame; ``sf`` may be any path that Spark reads."""
+    return spark.read.parquet(f"{sf.rstrip('/')}/{name}.parquet")
 
 
 def _ts(c) -> Column:
@@ -419,7 +410,7 @@ def ranking_by_segment(spark, sf):
     m = _orders_mart(spark, sf)
     ind = ranking.service_indicators(m, "SERVICO", "competencia", target_hours=720,
                                      exclude=("HOUSEHOLD",))
-    out = ranking.weighted_ranking(ind, "competencia")
+    out = ranking.weighted_ranking(ind, "competencia", round_to=6)
     return out.withColumns({c: F.round(c, 6) for c in
                             ["pontos_conversao", "pontos_alta_meta", "pontos_atend_medico",
                              "pontos_evasao", "pontos_retorno48h", "total_pontos"]})
@@ -774,22 +765,14 @@ def _ed_mart(spark, sf, stg_m_path: str | None = None):
     return mart, stg_m
 
 
-_STORED: dict = {}
-
-
-def _stored_ed_mart(spark, sf, rebuild: bool = False):
-    """The visit mart as a stored table (Parquet in the shared folder), as the
-    dependent marts of the original read it.  Built once per session and data
-    folder; ``rebuild`` forces a new build."""
-    key = (id(spark), os.path.abspath(sf))
-    hit = _STORED.get(key)
-    if rebuild or hit is None or hit[0] is not spark or not os.path.exists(hit[1]):
-        mpath, spath = scratch_path(spark, "atendimentos_pa"), scratch_path(spark, "stg_movimentacoes")
-        mart, _ = _ed_mart(spark, sf, spath)
-        mart.write.parquet(mpath)
-        hit = (spark, mpath, spath)
-        _STORED[key] = hit
-    return spark.read.parquet(hit[1]), spark.read.parquet(hit[2])
+def _stored_ed_mart(spark, sf):
+    """The visit mart and the staged movements as stored tables (Parquet in the
+    shared folder), as the dependent marts of the original read them.  Built by
+    every query that reads them, so none depends on another's run."""
+    mpath, spath = scratch_path(spark, "atendimentos_pa"), scratch_path(spark, "stg_movimentacoes")
+    mart, _ = _ed_mart(spark, sf, spath)
+    mart.write.parquet(mpath)
+    return spark.read.parquet(mpath), spark.read.parquet(spath)
 
 
 def _period_ts(df: DataFrame) -> DataFrame:
@@ -800,7 +783,7 @@ def ed_visit_mart(spark, sf):
     """The domain pipeline end to end: staging of the three reports, last
     movement with the bed dimension, admission link, returns, flags, bands
     and durations."""
-    mart, _ = _stored_ed_mart(spark, sf, rebuild=True)
+    mart, _ = _stored_ed_mart(spark, sf)
     nullable_ints = {"atend_internacao", "minutos_espera_medica", "minutos_duracao_classificacao",
                      "minutos_duracao_atendimento_medico", "minutos_permanencia_total", "IDADE"}
     # nullable integers leave as DOUBLE, so every engine hands pandas one dtype
@@ -825,7 +808,8 @@ def ed_ranking(spark, sf):
     from wardflow.plans import domain
     out = domain.ranking_mart(_stored_ed_mart(spark, sf)[0])
     return _period_ts(out.withColumns({c: F.round(c, 6) for c in
-                                       ["pontos_conversao", "pontos_alta_meta", "pontos_atend_medico",
+                                       ["tx_conversao", "tx_retorno48h", "tx_evasao", "tempo_inicio_medico",
+                                        "tx_alta_na_meta", "pontos_conversao", "pontos_alta_meta", "pontos_atend_medico",
                                         "pontos_evasao", "pontos_retorno48h", "total_pontos"]}))
 
 

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions import columns as C
 from wardflow.operators import curation, journey, link, quality, ranking, tables
+from wardflow.session import materialize
 
 # fixed values: admission origins that count as a conversion of the ED visit
 VALID_ORIGINS = ("EMERGENCIA ADULTO", "EMERGENCIA INFANTIL")
@@ -43,28 +44,23 @@ VOLUME_KEYS = PERCENTILE_KEYS + ("faixa_sla",)
 # ----------------------------------------------------------------- staging
 
 def stage_visits(raw: DataFrame, company: str | None = "HSR") -> DataFrame:
-    """Raw visits (all text) → typed visits, first row kept per visit id
-    (row order = ``__row`` when present), service and colour cleaned.
+    """Raw visits (all text) → typed visits, service and colour cleaned.
 
-    The dedup keys on the typed id, so the staged table comes out
-    hash-partitioned by the visit id that every later join uses; materialise
-    it (``session.cut_lineage`` or a written table) before building marts."""
+    Every raw row stays: an id that comes back in another period is a row of
+    that period (the mart's grain is visit and period), and an id repeated
+    inside one is what the ``unique`` rules report."""
     df = raw
     if company is not None and "EMPRESA" in df.columns:
         df = df.where(F.col("EMPRESA") == company)
-    order = ["__row"] if "__row" in df.columns else ["__raw_id"]
     typed = df.select(
         C.strict_long("CD_PACIENTE").alias("CD_PACIENTE"),
         C.strict_long("CD_ATENDIMENTO").alias("CD_ATENDIMENTO"),
-        F.col("CD_ATENDIMENTO").alias("__raw_id"),
         C.strict_long("IDADE").alias("IDADE"),
         "SEXO", "CEP", "CIDADE", "UF", "CONVENIO", "ESPECIALIDADE", "CLASSIFICACAO", "COR_CLASSIF",
         "PRESTADOR", "CID", "MOTIVO_ALTA",
         C.strict_date("DT_ATENDIMENTO").alias("DT_ATENDIMENTO"),
         *[C.excel_or_datetime(c).alias(c) for c in JOURNEY_TS],
-        C.period_date("competencia").alias("competencia"),
-        *(["__row"] if "__row" in df.columns else []))
-    typed = tables.dedup_first(typed, ["CD_ATENDIMENTO"], order)
+        C.period_date("competencia").alias("competencia"))
     return typed.select(
         "CD_PACIENTE", "CD_ATENDIMENTO", "IDADE", "SEXO", "CEP", "CIDADE", "UF", "CONVENIO",
         C.service_category("IDADE", "ESPECIALIDADE").alias("SERVICO"),
@@ -78,17 +74,13 @@ def stage_visits(raw: DataFrame, company: str | None = "HSR") -> DataFrame:
 
 
 def stage_admissions(raw: DataFrame) -> DataFrame:
-    order = ["__row"] if "__row" in raw.columns else ["__raw_id"]
-    typed = raw.select(
+    return raw.select(
         C.strict_long("COD_PACIENTE").alias("COD_PACIENTE"),
         C.strict_long("ATENDIMENTO").alias("ATENDIMENTO"),
-        F.col("ATENDIMENTO").alias("__raw_id"),
         "ORIGEM_ATEND",
         C.excel_or_datetime("DT_HR_ATENDIMENTO").alias("DT_HR_ATENDIMENTO"),
         "LEITO", "UNIDADE",
-        C.period_date("competencia").alias("competencia"),
-        *(["__row"] if "__row" in raw.columns else []))
-    return tables.dedup_first(typed, ["ATENDIMENTO"], order).drop("__raw_id", "__row")
+        C.period_date("competencia").alias("competencia"))
 
 
 def stage_movements(raw: DataFrame) -> DataFrame:
@@ -102,15 +94,17 @@ def stage_movements(raw: DataFrame) -> DataFrame:
         C.period_date("competencia").alias("COMPETENCIA"))
 
 
-def movements_from_cells(cells: DataFrame, period: str | None = None) -> DataFrame:
-    """Positional movement report rows → raw movements (all text)."""
+def movements_from_cells(cells: DataFrame, period: str | None = None, keep_file: bool = False) -> DataFrame:
+    """Positional movement report rows → raw movements (all text); with
+    ``keep_file`` the file each row came from stays."""
     from wardflow.operators.layouts import normalise_layouts
     from wardflow.sources.reports import MOVEMENT_PII, carry_headers, drop_pii, period_from_path
     withhdr = carry_headers(cells)
     rows = normalise_layouts(withhdr, "cells", keep=["file", "UNIDADE", "DATA"])
     rows = drop_pii(rows, list(MOVEMENT_PII))
     per = F.lit(period) if period else period_from_path("file")
-    return rows.withColumn("competencia", per).drop("file")
+    rows = rows.withColumn("competencia", per)
+    return rows if keep_file else rows.drop("file")
 
 
 # ----------------------------------------------------------------- visit mart
@@ -169,42 +163,33 @@ def assemble_visit_mart(visits: DataFrame, logic: DataFrame | None, links: DataF
         v = v.join(lg, v["atend_PA"] == lg["__lid"], "left").drop("__lid")
     elif "flag_prevalece" not in v.columns:
         v = v.withColumn("flag_prevalece", F.lit(None).cast("string"))
-    # One join with all links (valid and suspect origins alike), then windows
-    # on the visit id — they reuse the join's partitioning, so the links are
-    # computed once and no further shuffle is added.  ``atend_PA`` must be
-    # unique in ``visits`` (staging keeps the first row per visit).
-    lk = links.select(F.col(link_visit).alias("__lv"), F.col(link_adm).alias("__adm"),
-                      F.col(link_origin).alias("__org"), *[F.col(a).alias(f"__x_{b}") for a, b in link_extra])
-    v = v.join(lk, v["atend_PA"] == lk["__lv"], "left")
-    valid = F.coalesce(F.col("__org").isin(list(valid_origins)), F.lit(False))
-    v = v.withColumn("__valid", valid)
-    wv = Window.partitionBy("atend_PA")
-    v = v.withColumns({
-        "fl_suspeito_conversao": F.coalesce(
-            F.max(F.when(F.col("__lv").isNotNull() & ~F.col("__valid"), 1)).over(wv), F.lit(0)),
-        "__nvalid": F.sum(F.col("__valid").cast("int")).over(wv),
-        "__rn": F.row_number().over(wv.orderBy(F.col("__valid").desc(), F.col("__adm").asc_nulls_first())),
-    })
-    # Q2 grain: one row per valid admission, else one row for the visit
-    v = v.where(F.col("__valid") | ((F.col("__nvalid") == 0) & (F.col("__rn") == 1)))
-    v = v.withColumns({
-        "atend_internacao": F.when(F.col("__valid"), F.col("__adm")),
-        "ORIGEM_ATEND": F.when(F.col("__valid"), F.col("__org")),
-        **{b: F.when(F.col("__valid"), F.col(f"__x_{b}")) for _, b in link_extra},
-    }).drop("__lv", "__adm", "__org", "__valid", "__nvalid", "__rn", *[f"__x_{b}" for _, b in link_extra])
+    # Suspects: the distinct ids of visits linked to an admission of another,
+    # known origin (no origin is neither valid nor suspect).
+    lk = links.select(F.col(link_visit).alias("__lv"), F.col(link_adm).alias("atend_internacao"),
+                      F.col(link_origin).alias("ORIGEM_ATEND"), *[F.col(a).alias(b) for a, b in link_extra])
+    lk = materialize(lk, "links")
+    is_valid = F.col("ORIGEM_ATEND").isin(list(valid_origins))
+    suspects = lk.where(~is_valid).select(F.col("__lv").alias("__sus")).distinct()
+    v = (v.join(suspects, v["atend_PA"] == suspects["__sus"], "left")
+          .withColumn("fl_suspeito_conversao", F.when(F.col("__sus").isNotNull(), 1).otherwise(0)).drop("__sus"))
+    # Q2 grain: a visit row per valid admission, by an inner join (a hot visit's
+    # side can be split), else the row as it is.
+    good = lk.where(is_valid)
+    without = v.join(good.select("__lv").distinct(), v["atend_PA"] == F.col("__lv"), "left_anti")
+    v = (v.join(good, v["atend_PA"] == good["__lv"]).drop("__lv")
+          .unionByName(without, allowMissingColumns=True))
     if curated is not None:
         cur = curated.select(C.safe_long("CD_ATENDIMENTO").alias("__cid"), "decisao",
                              *(["decidido_em"] if "decidido_em" in curated.columns else []))
         if "decidido_em" in cur.columns:
-            cur = cur.groupBy("__cid").agg(F.max_by("decisao", "decidido_em").alias("decisao"))
+            cur = cur.groupBy("__cid").agg(F.max_by("decisao", F.struct("decidido_em", "decisao")).alias("decisao"))
         else:
             cur = cur.groupBy("__cid").agg(F.max("decisao").alias("decisao"))
         v = v.join(cur, v["atend_PA"] == cur["__cid"], "left").drop("__cid")
     else:
         v = v.withColumn("decisao", F.lit(None).cast("string"))
     if cid_seed is not None:
-        seed = tables.broadcast_if_small(
-            cid_seed.select(F.col("codigo_cid").alias("__code"), "capitulo_cid").dropDuplicates(["__code"]))
+        seed = cid_seed.select(F.col("codigo_cid").alias("__code"), "capitulo_cid").dropDuplicates(["__code"])
         v = v.join(seed, C.token("CID", " - ", 0) == seed["__code"], "left").drop("__code")
         v = v.withColumn("grupo_cid", F.trim(F.initcap("capitulo_cid"))).drop("capitulo_cid")
     else:
@@ -249,7 +234,7 @@ def build_visit_mart(stg_visits: DataFrame, stg_adm: DataFrame, stg_mov: DataFra
         v = curation.apply_corrections(v, corrections, id_col="CD_ATENDIMENTO")
     else:
         v = v.withColumn("flag_prevalece", F.lit(None).cast("string"))
-    beds = tables.broadcast_if_small(beds.dropDuplicates(["Leito"]))
+    beds = beds.dropDuplicates(["Leito"])
     last = last_movement(stg_mov, beds, movement_order)
     adm = admissions_with_bed(stg_adm, last, beds)
     links = link_admissions(v, adm)
@@ -274,7 +259,7 @@ def volumes_mart(mart: DataFrame) -> DataFrame:
 
 def ranking_mart(mart: DataFrame) -> DataFrame:
     ind = ranking.service_indicators(mart, "SERVICO", "competencia")
-    return ranking.weighted_ranking(ind, "competencia", round_to=6)
+    return ranking.weighted_ranking(ind, "competencia")
 
 
 def calendar_mart(mart: DataFrame) -> DataFrame:

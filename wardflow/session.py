@@ -8,6 +8,7 @@ Only when that setting is absent (local tests) do we pick a folder ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -53,14 +54,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint folder) from
-    the session; only when neither is set (local tests) is a local folder
-    chosen and registered with the context.
+    the session.  Only in local mode, where driver and executors are one
+    process, may neither be set: a local folder is then chosen.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="wardflow-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
@@ -72,12 +75,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=eager)
-
-
 def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder (or at
     ``path``) and read it back: cuts the lineage like ``checkpoint()`` (the

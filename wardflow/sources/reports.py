@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,11 +61,17 @@ def route_source(path: Column | str, routes: Sequence[tuple[str, str]] = ROUTES)
 
 # ---------------------------------------------------------------- projections
 
-def drop_pii(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    out = df.drop(*cols)
-    left = [c for c in cols if c in out.columns]
-    assert not left, f"PII columns survived: {left}"
-    return out
+def drop_pii(df: DataFrame, cols: Sequence[str], required: bool = False) -> DataFrame:
+    """Without the personal columns, however their names are cased or padded.
+    With ``required`` a report that lacks one of them is refused: a renamed
+    column would otherwise be stored unnoticed."""
+    def plain(c: str) -> str:
+        return c.strip().upper()
+    private = {plain(c) for c in cols}
+    missing = private - {plain(c) for c in df.columns}
+    if required and missing:
+        raise ValueError(f"personal columns not found, report refused: {sorted(missing)}")
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if plain(c) not in private])
 
 
 def all_string(df: DataFrame) -> DataFrame:
@@ -90,6 +97,18 @@ def read_report(spark: SparkSession, path: str, columns: Sequence[str] | None =
     })
 
 
+def split_cells(lines: DataFrame, ncols: int = 20, sep: str = ",") -> DataFrame:
+    """``value`` → ``cells``, an array of ``ncols`` cells (missing ones NULL).  A
+    line with more cells than ``ncols`` fails the job instead of losing them."""
+    fields = ", ".join(f"_c{i} string" for i in range(ncols + 1))
+    row = F.from_csv("value", fields, {"sep": sep})
+    too_long = F.raise_error(F.concat(F.lit(f"line of more than {ncols} cells in "), F.col("file")))
+    parsed = lines.withColumn("__r", row).withColumn("__r", F.when(F.col("__r").getField(f"_c{ncols}").isNull(), F.col("__r"))
+                                                     .otherwise(too_long))
+    return parsed.select("file", "blk", "pos",
+                         F.array(*[F.col("__r").getField(f"_c{i}") for i in range(ncols)]).alias("cells"))
+
+
 def read_cells(spark: SparkSession, path: str, ncols: int = 20, sep: str = ",") -> DataFrame:
     """Headerless positional report → ``file, blk, pos, cells`` where
     ``(blk, pos)`` orders the lines of a file.
@@ -97,14 +116,11 @@ def read_cells(spark: SparkSession, path: str, ncols: int = 20, sep: str = ",")
     ``blk`` is the start offset of the file split that holds the line and
     ``pos`` a per-task increasing id, so no task ever holds a whole file.
     """
-    schema = ", ".join(f"_c{i} string" for i in range(ncols))
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("blk"),
         F.monotonically_increasing_id().alias("pos"), "value")
-    parsed = lines.withColumn("__r", F.from_csv("value", schema, {"sep": sep}))
-    return parsed.select("file", "blk", "pos",
-                         F.array(*[F.col("__r").getField(f"_c{i}") for i in range(ncols)]).alias("cells"))
+    return split_cells(lines, ncols, sep)
 
 
 def carry_headers(cells: DataFrame, unit_marker: str = UNIT_MARKER, date_marker: str = DATE_MARKER,
@@ -125,12 +141,12 @@ def carry_headers(cells: DataFrame, unit_marker: str = UNIT_MARKER, date_marker:
 # ---------------------------------------------------------------- writes
 
 def write_raw(df: DataFrame, root: str, partition: str = PERIOD, mode: str = "append") -> None:
-    all_string(df).write.mode(mode).partitionBy(partition).parquet(root)
+    all_string(df).hint("rebalance", partition).write.mode(mode).partitionBy(partition).parquet(root)
 
 
 def overwrite_period(df: DataFrame, root: str, partition: str = PERIOD) -> None:
     """Idempotent reload: replace exactly the partitions present in ``df``."""
-    (all_string(df).write.mode("overwrite")
+    (all_string(df).hint("rebalance", partition).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition).parquet(root))
 
@@ -139,9 +155,9 @@ def write_mart(df: DataFrame, root: str, partition: str = PERIOD,
                cluster_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Mart partitioned by period; optionally clustered (range partition +
     sort inside each period) so Parquet min/max statistics can skip."""
-    out = df
+    out = df.hint("rebalance", partition)   # few files per period, a large period over many tasks
     if cluster_by:
-        out = out.repartitionByRange(partition, *cluster_by).sortWithinPartitions(partition, *cluster_by)
+        out = df.repartitionByRange(partition, *cluster_by).sortWithinPartitions(partition, *cluster_by)
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition).parquet(root))
 
@@ -187,16 +203,21 @@ CURATION_SCHEMAS = {
 }
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """The Parquet table at ``path`` (any location Spark reads), or no rows if
+    there is no such path.  Any other error is raised."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def read_curation(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The four curation tables; a missing table reads as empty."""
-    out = {}
-    for name, schema in CURATION_SCHEMAS.items():
-        path = layer_path(root, "curadoria", name)
-        if os.path.exists(path):
-            out[name] = spark.read.schema(schema).parquet(path)
-        else:
-            out[name] = spark.createDataFrame([], schema)
-    return out
+    """The four curation tables; a table not yet written reads as empty."""
+    return {name: read_or_empty(spark, layer_path(root, "curadoria", name), schema)
+            for name, schema in CURATION_SCHEMAS.items()}
 
 
 # ---------------------------------------------------------------- gate

@@ -14,13 +14,13 @@ from __future__ import annotations
 import logging
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardflow.sources.reports import (ADMISSION_PII, MOVEMENT_PII, PERIOD, VISIT_PII, drop_pii,
-                                     overwrite_period, period_from_path, route_source)
+from wardflow.session import materialize, scratch_path
+from wardflow.sources.reports import (ADMISSION_PII, MOVEMENT_PII, PERIOD, VISIT_PII, drop_pii, overwrite_period,
+                                     period_from_path, read_or_empty, ready_periods, route_source, split_cells)
 
 COMPANY = "HSR"   # fixed value: the only company whose visits are loaded
 LOG = logging.getLogger("wardflow.ingest")
@@ -35,19 +35,20 @@ def _keep_first(df: DataFrame, key: str) -> DataFrame:
     if key not in df.columns:
         return df
     from wardflow.operators.link import top1
-    return top1(df, [key], [c for c in ROW_ORDER if c in df.columns])
+    # per period: one load of many reports keeps what loads of one report each keep
+    return top1(df, [PERIOD, key], [c for c in ROW_ORDER if c in df.columns])
 
 
 def _visits_loader(df: DataFrame) -> DataFrame:
     if "EMPRESA" in df.columns:
         df = df.where(F.col("EMPRESA") == COMPANY)
     df = _keep_first(df, "CD_ATENDIMENTO")
-    return drop_pii(df, [c for c in VISIT_PII if c in df.columns])
+    return drop_pii(df, VISIT_PII)
 
 
 def _admissions_loader(df: DataFrame) -> DataFrame:
     df = _keep_first(df, "ATENDIMENTO")
-    return drop_pii(df, [c for c in ADMISSION_PII if c in df.columns])
+    return drop_pii(df, ADMISSION_PII)
 
 
 # per-dataset load step, applied before anything is stored: company filter,
@@ -55,58 +56,77 @@ def _admissions_loader(df: DataFrame) -> DataFrame:
 DEFAULT_LOADERS = {
     "atendimentos": _visits_loader,
     "internacoes": _admissions_loader,
-    "movimentacoes": lambda df: drop_pii(df, [c for c in MOVEMENT_PII if c in df.columns]),
+    "movimentacoes": lambda df: drop_pii(df, MOVEMENT_PII),
 }
 
 
-def _load_batch(sink: str, loaders=None):
+def _with_file(df: DataFrame) -> DataFrame:
+    """File, split and modification time of every row of a plain file scan."""
+    return df.withColumns({"__path": F.col("_metadata.file_path"),
+                           "__blk": F.col("_metadata.file_block_start"),
+                           "__mtime": F.col("_metadata.file_modification_time")})
+
+
+def _routed(batch: DataFrame) -> DataFrame:
+    """Position, dataset, period and report of every row.  A report is a file, or
+    the folder of ``part-*`` files a writer such as Spark produces."""
+    name = F.element_at(F.split("__path", "/"), -1)
+    return batch.withColumns({
+        "__pos": F.monotonically_increasing_id(),   # still the plain file scan: ids follow the file order
+        "__dataset": route_source("__path"), PERIOD: period_from_path("__path"),
+        "__folder": F.when(name.startswith("part-"), F.regexp_replace("__path", "/[^/]*$", "")),
+    }).withColumn("__report", F.coalesce("__folder", "__path"))
+
+
+def _reject(rejected: DataFrame, sink: str, epoch: int) -> None:
+    """Paths of rejected files, one folder per micro-batch: a retry overwrites it."""
+    (rejected.select("__path").distinct().write.mode("overwrite")
+     .parquet(os.path.join(sink, "_rejeitados", f"lote={epoch}")))
+
+
+def _load_batch(sink: str, read_folders, loaders=None):
+    """``read_folders(spark, paths)`` reads whole report folders again."""
     loaders = DEFAULT_LOADERS if loaders is None else loaders
 
     def run(batch: DataFrame, epoch: int) -> None:
-        # the batch is still the plain file scan: ids follow the file order
-        batch = batch.withColumn("__pos", F.monotonically_increasing_id())
-        routed = batch.withColumns({"__dataset": route_source("__path"),
-                                    PERIOD: period_from_path("__path")})
+        spark = batch.sparkSession
+        routed = _routed(batch)
+        # a part file that arrives late belongs to a report whose other files
+        # were loaded before: the period is overwritten, so read the whole folder
+        folders = [r[0] for r in routed.select("__folder").where("__folder IS NOT NULL").distinct().collect()]  # reports of the batch
+        if folders:
+            routed = routed.where("__folder IS NULL").unionByName(_routed(read_folders(spark, folders)))
         # as with one load per report, the newest report of a (dataset,
-        # period) wins.  A report is a file, or the folder of ``part-*`` files
-        # a writer such as Spark produces.  Chosen by aggregates (one row per
-        # report, then per group) joined back, never a window over a period.
-        name = F.element_at(F.split("__path", "/"), -1)
-        routed = routed.withColumn("__report", F.when(name.startswith("part-"),
-                                                      F.regexp_replace("__path", "/[^/]*$", ""))
-                                                .otherwise(F.col("__path")))
-        reports_t = (routed.groupBy("__dataset", PERIOD, "__report").agg(F.max("__mtime").alias("__mtime"))
-                           .groupBy("__dataset", PERIOD)
-                           .agg(F.max(F.struct("__mtime", "__report")).getField("__report").alias("__newest")))
-        routed = (routed.join(reports_t, ["__dataset", PERIOD], "left")
+        # period) wins.  Chosen by aggregates (one row per report, then per
+        # group) joined back, never a window over a period.
+        newest = (routed.groupBy("__dataset", PERIOD, "__report").agg(F.max("__mtime").alias("__mtime"))
+                        .groupBy("__dataset", PERIOD)
+                        .agg(F.max(F.struct("__mtime", "__report")).getField("__report").alias("__newest")))
+        routed = (routed.join(newest, ["__dataset", PERIOD], "left")
                         .where(F.col("__newest").isNull() | (F.col("__report") == F.col("__newest")))
-                        .drop("__newest", "__mtime", "__report"))
-        # several writes read this batch: keep it (spills to disk; lost blocks
-        # are recomputed from the source files)
-        routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            # which datasets this batch holds: at most a handful of names
-            present = {r[0] for r in routed.select("__dataset").distinct().collect()}
-            for name in ("atendimentos", "internacoes", "movimentacoes"):
-                if name in present:
-                    part = routed.where((F.col("__dataset") == name) & F.col(PERIOD).isNotNull())
-                    # row-loss metric: rows before and after the load step,
-                    # collected by the write itself (no extra pass)
-                    before, after = Observation(f"{name}_in_{epoch}"), Observation(f"{name}_out_{epoch}")
-                    part = part.observe(before, F.count(F.lit(1)).alias("linhas"))
-                    load = loaders.get(name)
-                    part = (load(part) if load else part).drop("__dataset", *ROW_ORDER)
-                    part = part.observe(after, F.count(F.lit(1)).alias("linhas"))
-                    overwrite_period(part, os.path.join(sink, name))
-                    LOG.info("%s lote %s: %s linhas lidas, %s gravadas", name, epoch,
-                             before.get.get("linhas"), after.get.get("linhas"))
-            rejected = routed.where(F.col("__dataset").isNull() | F.col(PERIOD).isNull())
-            if None in present or not rejected.isEmpty():
-                # one folder per micro-batch, overwritten on a retry: idempotent
-                (rejected.select("__path").distinct().write.mode("overwrite")
-                 .parquet(os.path.join(sink, "_rejeitados", f"lote={epoch}")))
-        finally:
-            routed.unpersist()
+                        .drop("__newest", "__mtime", "__report", "__folder"))
+        # one pass over the files; the loads then read their own partition
+        path = scratch_path(spark, "ingest")
+        (routed.withColumn("__to", F.when(F.col(PERIOD).isNotNull(), F.col("__dataset")))
+               .write.partitionBy("__to").parquet(path))
+        stored = spark.read.schema(T.StructType([*routed.schema.fields, T.StructField("__to", T.StringType())])).parquet(path)
+        for name in ("atendimentos", "internacoes", "movimentacoes"):
+            part = stored.where(F.col("__to") == name).drop("__to")
+            if part.isEmpty():
+                continue
+            # row-loss metric: rows before and after the load step,
+            # collected by the write itself (no extra pass)
+            before, after = Observation(f"{name}_in_{epoch}"), Observation(f"{name}_out_{epoch}")
+            part = part.observe(before, F.count(F.lit(1)).alias("linhas"))
+            load = loaders.get(name)
+            part = (load(part) if load else part).drop("__dataset", *ROW_ORDER)
+            part = part.observe(after, F.count(F.lit(1)).alias("linhas"))
+            overwrite_period(part, os.path.join(sink, name))
+            LOG.info("%s lote %s: %s linhas lidas, %s gravadas", name, epoch,
+                     before.get.get("linhas"), after.get.get("linhas"))
+        rejected = stored.where(F.col("__to").isNull())
+        if not rejected.isEmpty():
+            _reject(rejected, sink, epoch)
     return run
 
 
@@ -118,49 +138,47 @@ def ingest_available(spark: SparkSession, landing: str, sink: str, checkpoint: s
     ``pathGlobFilter`` for CSV reports read with an all-string schema);
     ``loaders`` (default: company filter and PII drop) run per dataset
     before the period is stored."""
-    stream = (spark.readStream.format(fmt).schema(schema)
-              .option("recursiveFileLookup", "true")
-              .options(**(options or {}))
-              .load(landing)
-              .withColumns({"__path": F.col("_metadata.file_path"),
-                            "__blk": F.col("_metadata.file_block_start"),
-                            "__mtime": F.col("_metadata.file_modification_time")}))
-    q = (stream.writeStream.foreachBatch(_load_batch(sink, loaders))
+    opts = {**(options or {}), "recursiveFileLookup": "true"}
+
+    def read_folders(session: SparkSession, folders: list[str]) -> DataFrame:
+        return _with_file(session.read.format(fmt).schema(schema).options(**opts).load(folders))
+
+    stream = _with_file(spark.readStream.format(fmt).schema(schema).options(**opts).load(landing))
+    q = (stream.writeStream.foreachBatch(_load_batch(sink, read_folders, loaders))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
 
-def _load_movement_reports(sink: str):
+def _load_movement_reports(sink: str, ncols: int):
     def run(batch: DataFrame, epoch: int) -> None:
         from wardflow.plans.domain import movements_from_cells
         # row order inside each file: split start, then position in the split
         # (the batch is still the plain file scan, so the ids follow the file)
         lines = batch.select(F.col("__path").alias("file"), F.col("__blk").alias("blk"),
                              F.monotonically_increasing_id().alias("pos"), "value")
-        schema = ", ".join(f"_c{i} string" for i in range(20))
-        cells = lines.select("file", "blk", "pos",
-                             F.from_csv("value", schema).alias("__r")).select(
-            "file", "blk", "pos", F.array(*[F.col("__r").getField(f"_c{i}") for i in range(20)]).alias("cells"))
-        rows = movements_from_cells(cells).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if not rows.isEmpty():
-                overwrite_period(rows.where(F.col(PERIOD).isNotNull()), os.path.join(sink, "movimentacoes"))
-        finally:
-            rows.unpersist()
+        rows = materialize(movements_from_cells(split_cells(lines, ncols), keep_file=True), "movements")
+        if not rows.isEmpty():
+            dated = F.col(PERIOD).isNotNull()
+            overwrite_period(rows.where(dated).drop("file"), os.path.join(sink, "movimentacoes"))
+            undated = rows.where(~dated)
+            if not undated.isEmpty():
+                _reject(undated.withColumnRenamed("file", "__path"), sink, epoch)
     return run
 
 
 def ingest_movement_reports(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                            glob: str = "movimentacoes_*") -> None:
+                            glob: str = "movimentacoes_*", ncols: int = 20) -> None:
     """Headerless positional movement reports arriving as text files: cells
     by position, unit/date headers carried down per file (block-parallel),
-    layouts normalised, the patient name dropped, the period overwritten."""
+    layouts normalised, the patient name dropped, the period overwritten.
+    Lines have ``ncols`` cells at most; files without a period in their name
+    are listed under ``_rejeitados``."""
     stream = (spark.readStream.format("text").option("recursiveFileLookup", "true")
               .option("pathGlobFilter", glob).load(landing)
               .select("value", F.col("_metadata.file_path").alias("__path"),
                       F.col("_metadata.file_block_start").alias("__blk")))
-    q = (stream.writeStream.foreachBatch(_load_movement_reports(sink))
+    q = (stream.writeStream.foreachBatch(_load_movement_reports(sink, ncols))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
@@ -168,10 +186,4 @@ def ingest_movement_reports(spark: SparkSession, landing: str, sink: str, checkp
 def ready_from_raw(spark: SparkSession, sink: str,
                    names: tuple[str, ...] = ("atendimentos", "internacoes", "movimentacoes")) -> DataFrame:
     """Completeness gate on the raw tables: periods present in all sources."""
-    from wardflow.sources.reports import ready_periods
-    srcs = {}
-    for n in names:
-        p = os.path.join(sink, n)
-        srcs[n] = (spark.read.parquet(p).select(PERIOD) if os.path.exists(p)
-                   else spark.createDataFrame([], f"{PERIOD} string"))
-    return ready_periods(srcs, PERIOD)
+    return ready_periods({n: read_or_empty(spark, os.path.join(sink, n), f"{PERIOD} string") for n in names}, PERIOD)
