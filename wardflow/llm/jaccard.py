@@ -11,18 +11,23 @@ so the space is cut twice:
   first |X| - ceil(0.8 |X|) + 1 of X in that order is among the first of Y. X is
   therefore replicated to just those regions: no linked pair is lost, and no
   other region need see X.
-* **Document pivots.** Within a region, one document is the pivot and all others
-  are compared with it. Members within r of it are connected, which settles most
-  regions without a pair among their members. A region that still holds several
-  components gets a pivot for each component, and finally the pairs left that
-  the triangle inequality allows: x and y can only link if their distances to
-  the region's pivot differ by r at most. A round's links are merged into
+* **Document pivots.** Within a region, one document is the pivot and the others
+  are compared with it. It is chosen in two steps, per batch of documents and
+  then among those batch pivots, so a region that a third of all documents share
+  sends one entry per batch and is never in one task. Members within r of their
+  pivot are connected, which settles most regions without a pair among their
+  members. A region that still holds several components gets a pivot for each
+  component, and finally the pairs left. A round's links are merged into
   components before the next round looks for what is left.
+* **Triangle-inequality windows.** |X D Y|, the size of the symmetric difference,
+  is a metric too. Each class carries its distances to the ``PARTS`` parts of a
+  fixed division of all shingles (how many of them it holds); by the triangle
+  inequality these differ by |X D Y| in sum at most. A pair outside the window that
+  d <= r leaves open is dropped on these numbers alone. What is left is compared
+  exactly, on the whole sets.
 
 Documents of equal sets are one class from the start, and copies are never
-compared. Regions are found by a grouped minimum and a join on the shingle,
-which stays parallel when one shingle is everywhere. All comparisons are exact
-intersections of the sets.
+compared.
 
 Shingles are 64-bit hashes; sets are told apart by 128 bits and their size.
 """
@@ -43,6 +48,10 @@ PERCENT = 80
 #: Shingles put last in the order: the most frequent ones, at most so many
 #: (16 bytes each, sent to the executors). Any such list gives the same result.
 FREQUENT = 1 << 18
+#: Parts of the shingle space, for the windows.
+PARTS = 128
+#: Region entries (16 bytes) that one group of the second step holds, about.
+GROUP_ENTRIES = 500_000
 #: Bits of the filter that keeps uninvolved documents from the second reading.
 FILTER_BITS = 1 << 25
 
@@ -127,22 +136,70 @@ class _Space:
                 k1, k2 = _keys(sets)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(2), pa.array([len(u) for u in sets], pa.int64()), pa.array(k1), pa.array(k2),
-                     ragged([_prefix(u, frequent, counts) for u in sets])], ["id", "h", "n", "k1", "k2", "regions"])
+                     ragged([_prefix(u, frequent, counts) for u in sets]),
+                     ragged([np.bincount((u >> np.uint64(57)).astype(np.int64), minlength=PARTS).astype(np.int32) for u in sets], pa.int32())],
+                    ["id", "h", "n", "k1", "k2", "regions", "parts"])
 
-        rows = materialize(texts.mapInArrow(run, f"id {kind}, h long, n long, k1 long, k2 long, regions array<long>"), "jaccard-rows")
-        self.rows = rows.drop("regions")
+        rows = materialize(texts.mapInArrow(
+            run, f"id {kind}, h long, n long, k1 long, k2 long, regions array<long>, parts array<int>"), "jaccard-rows")
+        self.rows = rows.drop("regions", "parts")
         classes = rows.where("n > 0").groupBy("n", "k1", "k2").agg(
-            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("least"), F.count(F.lit(1)).alias("copies"), F.first("regions").alias("regions"))
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("least"), F.count(F.lit(1)).alias("copies"),
+            F.first("regions").alias("regions"), F.first("parts").alias("parts"))
         self.classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "jaccard-classes")
-        entries = self.classes.select("cls", F.explode("regions").alias("s"))
-        pivots = entries.groupBy("s").agg(F.min("cls").alias("pivot"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-        pivots = materialize(pivots, "jaccard-pivots")
-        self.members = materialize(entries.join(pivots, "s"), "jaccard-members")  # s, cls, pivot
-        self.full: DataFrame | None = None
-
-    def _involved(self) -> DataFrame:
-        """(cls, n, shingles) of all classes that share a region, by a second reading."""
-        involved = self.members.select("cls").distinct().join(self.classes.select("cls", "n", "k1", "k2"), "cls")
+        inside, between = self._regions()
+        self.first = inside.union(between).select(*_pairs("cls", "pivot")).distinct()
+        both = inside.union(between)
+        self.members = materialize(both.select("s", "cls").union(both.select("s", F.col("pivot").alias("cls"))).distinct(), "jaccard-members")
+
+    def _regions(self) -> tuple[DataFrame, DataFrame]:
+        """(s, cls, pivot): of the members of each region within a batch, and of
+        the batch pivots of each region."""
+        listed = self.classes.select("cls", "regions")
+        total = self.classes.agg(F.sum(F.size("regions"))).first()[0] or 0
+        buckets = max(1, -(-int(total) // GROUP_ENTRIES))
+
+        def local(b):
+            cls = np.repeat(np.asarray(b.column(0)), np.diff(np.asarray(b.column(1).offsets)))
+            regions = np.asarray(b.column(1).flatten())
+            order = np.lexsort((cls, regions))
+            cls, regions = cls[order], regions[order]
+            head = np.concatenate(([True], regions[1:] != regions[:-1])) if len(regions) else np.zeros(0, bool)
+            return regions, cls, head
+
+        def members(batches):
+            for b in batches:
+                regions, cls, head = local(b)
+                pivot = cls[head][np.cumsum(head) - 1] if len(cls) else cls
+                yield pa.RecordBatch.from_arrays([pa.array(x[~head]) for x in (regions, cls, pivot)], ["s", "cls", "pivot"])
+
+        def pivots(batches):
+            for b in batches:
+                regions, cls, head = local(b)
+                regions, cls = regions[head], cls[head]
+                to = mix(regions.view(np.uint64)) % np.uint64(buckets)
+                order = np.argsort(to, kind="stable")
+                pair = np.stack((regions[order], cls[order]), 1)
+                at = np.flatnonzero(np.concatenate(([True], np.diff(to[order]) != 0))) if len(order) else np.zeros(0, np.int64)
+                blobs = [x.tobytes() for x in np.split(pair, at[1:])] if len(at) else []
+                yield pa.RecordBatch.from_arrays([pa.array(to[order][at].view(np.int64)), pa.array(blobs, pa.binary())], ["bucket", "entries"])
+
+        def join_pivots(t: pa.Table) -> pa.Table:
+            pair = np.concatenate([np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 2) for x in t.column("entries")])
+            pair = pair[np.lexsort((pair[:, 1], pair[:, 0]))]
+            head = np.concatenate(([True], pair[1:, 0] != pair[:-1, 0]))
+            pivot = pair[head, 1][np.cumsum(head) - 1]
+            more = (pair[:, 1] != pivot)
+            return pa.table({"s": pair[more, 0], "cls": pair[more, 1], "pivot": pivot[more]})
+
+        schema = "s long, cls long, pivot long"
+        inside = materialize(listed.mapInArrow(members, schema), "jaccard-inside")
+        between = (listed.mapInArrow(pivots, "bucket long, entries binary").groupBy("bucket").applyInArrow(join_pivots, schema))
+        return inside, materialize(between, "jaccard-between")
+
+    def _sets_of(self, wanted: DataFrame) -> DataFrame:
+        """(cls, u): the whole sets of the classes ``wanted`` (cls), by a second reading."""
+        involved = wanted.join(self.classes.select("cls", "n", "k1", "k2"), "cls")
         bit = F.pmod("k1", F.lit(FILTER_BITS))
         words = involved.groupBy(F.floor(bit / 32).cast("int").alias("w")).agg(
             F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(k1, {FILTER_BITS}) % 32 as int))")).alias("bits")).toPandas()  # FILTER_BITS / 32 rows at most
@@ -166,24 +223,23 @@ class _Space:
 
         read = self.texts.select("text").mapInArrow(run, "n long, k1 long, k2 long, u array<long>")
         return materialize(read.groupBy("n", "k1", "k2").agg(F.first("u").alias("u")).join(involved, ["n", "k1", "k2"])
-                           .select("cls", "n", "u"), "jaccard-sets")
+                           .select("cls", "u"), "jaccard-sets")
 
     def compare(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(a, b, distance, linked) of distinct pairs of classes, a < b. Pairs whose
-        sizes rule a link out have distance null."""
-        if self.full is None:
-            self.full = self._involved()
-        sizes = self.full.select("cls", "n")
-        sized = pairs.join(sizes.toDF("a", "na"), "a").join(sizes.toDF("b", "nb"), "b")
-        fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
-        near = (sized.where(fits).join(self.full.select(F.col("cls").alias("a"), F.col("u").alias("ua")), "a")
-                .join(self.full.select(F.col("cls").alias("b"), F.col("u").alias("ub")), "b"))
+        """(a, b, linked) of distinct pairs of classes, a < b: first by the window,
+        then, if the window leaves it open, by the whole sets."""
+        about = self.classes.select("cls", "n", "parts")
+        sized = (pairs.join(about.toDF("a", "na", "pa"), "a").join(about.toDF("b", "nb", "pb"), "b"))
+        apart = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, d: acc + d)
+        # |X D Y| >= apart, so |X n Y| <= (|X| + |Y| - apart) / 2
+        most = F.floor((F.col("na") + F.col("nb") - apart) / 2)
+        sized = materialize(sized.select("a", "b", "na", "nb", _linked(most, F.col("na"), F.col("nb")).alias("open")), name)
+        near = sized.where("open")
+        full = self._sets_of(near.select(F.col("a").alias("cls")).union(near.select("b")).distinct())
+        near = near.join(full.toDF("a", "ua"), "a").join(full.toDF("b", "ub"), "b")
         shared = F.size(F.array_intersect("ua", "ub")).cast("long")
-        near = near.select("a", "b", "na", "nb", shared.alias("x")).select(
-            "a", "b", (1 - F.col("x") / (F.col("na") + F.col("nb") - F.col("x"))).alias("distance"),
-            _linked(F.col("x"), F.col("na"), F.col("nb")).alias("linked"))
-        far = sized.where(~fits).select("a", "b", F.lit(None).cast("double").alias("distance"), F.lit(False).alias("linked"))
-        return materialize(near.union(far), name)
+        near = near.select("a", "b", _linked(shared, F.col("na"), F.col("nb")).alias("linked"))
+        return materialize(near.union(sized.where("NOT open").select("a", "b", F.lit(False))), name)
 
 
 def _pairs(x: str, y: str) -> list[Column]:
@@ -204,25 +260,21 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     texts = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"))
     space = _Space(texts)
     members = space.members
-    first = space.compare(members.where("cls <> pivot").select(*_pairs("cls", "pivot")).distinct(), "jaccard-first")
+    first = space.compare(space.first, "jaccard-first")
     tested, links = first, first.where("linked").select("a", "b")
     for step in ("pivots", "rest"):
         labels = connected(links, f"jaccard-{step}")
-        held = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+        held = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("s", "cls", F.coalesce("label", "cls").alias("label"))
         open_regions = held.groupBy("s").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("s")
-        held = materialize(held.join(open_regions, "s", "left_semi"), f"jaccard-open-{step}")
+        held = materialize(held.join(open_regions, "s", "left_semi").select("s", "cls", "label"), f"jaccard-open-{step}")
         if held.isEmpty():
             break
         if step == "pivots":  # a pivot for each component of the region
             other = held.groupBy("s", "label").agg(F.min("cls").alias("other")).withColumnRenamed("label", "other_label")
             pairs = held.join(other, "s").where("label <> other_label").select(*_pairs("cls", "other"))
-        else:  # what is left, within the triangle inequality's window
-            gap = first.select("a", "b", "distance")
-            to_pivot = (held.withColumns({"a": F.least("cls", "pivot"), "b": F.greatest("cls", "pivot")}).join(gap, ["a", "b"], "left")
-                        .select("s", "cls", "label", F.when(F.col("cls") == F.col("pivot"), F.lit(0.0)).otherwise(F.col("distance")).alias("d")))
-            x, y = to_pivot.toDF("s", "x", "lx", "dx"), to_pivot.toDF("s", "y", "ly", "dy")
-            window = F.coalesce(F.abs(F.col("dx") - F.col("dy")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True))
-            pairs = x.join(y, "s").where((F.col("lx") < F.col("ly")) & window).select(*_pairs("x", "y"))
+        else:  # what is left between components
+            x, y = held.toDF("s", "x", "lx"), held.toDF("s", "y", "ly")
+            pairs = x.join(y, "s").where("lx < ly").select(*_pairs("x", "y"))
         pairs = pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = space.compare(pairs, f"jaccard-{step}")
         tested = tested.union(found)
