@@ -140,14 +140,15 @@ def identify(docs: DataFrame, text_col: str = "text", declared: Column | None =
     more; a null, empty or blank text has no language and is not kept. Evidence
     columns may be null in any row and then say nothing. Repeated rows get equal
     results, equal posteriors go to the language listed first, an empty table
-    stays empty, and all other columns are kept.
+    stays empty, and all other columns are kept (those named like a result give
+    way to it).
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     none = F.lit(None).cast("string")
     names = [*languages, UNDETERMINED]
     n = len(names)
-    own = docs.columns
+    own = [c for c in docs.columns if c not in ("language", "language_p", "language_kept")]
     work = docs.withColumns({
         "__said": declared_language(declared if declared is not None else none, languages),
         "__host": host if host is not None else none, "__suffix": suffix if suffix is not None else none,

@@ -168,8 +168,7 @@ def _cuts(found: DataFrame, false_discovery: float) -> DataFrame:
     counted = (bins.withColumn("above", F.sum("n").over(from_here))
                .withColumn("half", F.sum(F.when(F.col("bin") >= 50, F.col("n")).otherwise(0)).over(W.partitionBy("stratum"))))
     ordinary = F.greatest(F.col("above") - 2 * F.col("half") * (1 - F.col("bin") / 100), F.lit(0.0))
-    worst = F.max(ordinary / F.col("above")).over(from_here)  # this p and every higher one must hold
-    return (counted.withColumn("fdr", worst).where((F.col("fdr") <= false_discovery) & (F.col("bin") >= 1))
+    return (counted.withColumn("fdr", ordinary / F.col("above")).where((F.col("fdr") <= false_discovery) & (F.col("bin") >= 1))
             .groupBy("stratum").agg(F.min("bin").alias("cut")))
 
 

@@ -245,10 +245,12 @@ def scan(docs: DataFrame, model: Model, text_col: str = "text", significance: fl
     (start, end, score, expected) in code points, of the significant segments.
 
     Null, empty and blank texts have no words, no segments and the score of no
-    evidence. Rows are scanned one by one; an empty table gives none.
+    evidence. Rows are scanned one by one; an empty table gives none. Columns
+    that have a result's name give way to it; all others stay.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # lexicon_size entries at most
-    others = [c for c in docs.columns if c != text_col]
+    results = ("n_words", "scores", "evidence", "score", "passages")
+    others = [c for c in docs.columns if c != text_col and c not in results]
     held = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], F.col(f"`{text_col}`").cast("string").alias("text"))
     fields = "".join(f"c{i} {f.dataType.simpleString()}, " for i, f in enumerate(held.schema.fields[:-1]))
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("expected", pa.float64())]))
@@ -282,4 +284,4 @@ def scan(docs: DataFrame, model: Model, text_col: str = "text", significance: fl
 
     out = held.mapInArrow(run, fields + "n_words long, scores array<double>, evidence double, score double, "
                           "passages array<struct<start:long,end:long,score:double,expected:double>>")
-    return out.toDF(*others, "n_words", "scores", "evidence", "score", "passages")
+    return out.toDF(*others, *results)
