@@ -33,15 +33,15 @@ from wardflow.session import materialize
 
 #: Network: words, classes, state, window (steps of backpropagation), lanes.
 VOCABULARY, CLASSES, STATE, WINDOW = 2048, 48, 16, 32
-TRAIN_LANES, SCORE_LANES = 128, 512
+TRAIN_LANES, SCORE_LANES = 192, 512
 #: Words whose counts are sent to the tasks (16 bytes each).
-HEAD = 1 << 18
+HEAD = 1 << 17
 #: Tokens that a task holds at once, besides a longer single document.
 HOLD = 3_000_000
 #: Eighths of the training texts used in each round of averaging.
 ROUNDS = ((0,), (1, 2), (3, 4, 5, 6, 7))
 FAN_IN = 32
-RATE = 0.08
+RATE = 0.06
 END = np.uint64(0x656E642D6F662D74)  # stands for the end of a text among word hashes
 
 
@@ -196,7 +196,8 @@ def _windows(net: Network, ids: np.ndarray, at: np.ndarray, count: int):
     that have ended drop out, so position maps back to ``ids``."""
     sizes = np.diff(at)
     dealt = lanes(sizes, count)
-    order = [np.concatenate([np.arange(at[d], at[d + 1]) for d in x]) if len(x) else np.zeros(0, np.int64) for x in dealt]
+    mixed = np.random.default_rng(0)  # long and short ones in turn
+    order = [np.concatenate([np.arange(at[d], at[d + 1]) for d in mixed.permutation(x)]) if len(x) else np.zeros(0, np.int64) for x in dealt]
     order.sort(key=len, reverse=True)  # so that the lanes still running are the first ones
     lengths = np.asarray([len(x) for x in order])
     head = np.zeros(len(ids) + 1, bool)
@@ -230,7 +231,7 @@ def train_documents(net: Network, ids: np.ndarray, at: np.ndarray, memory: dict)
         state = np.zeros((before.shape[1], STATE), np.float32) if state is None else state[:before.shape[1]]
         states, state, kept = net.forward(before, fresh, state)
         _, grads, back = net.output(states.reshape(-1, STATE), target.ravel(), True)
-        scale = np.float32(1 / before.size)
+        scale = np.float32(1 / (TRAIN_LANES * WINDOW))  # a window of few lanes moves little
         token, dx = net.backward(before, fresh, kept, (back * scale).reshape(*before.shape, STATE), grads)
         grads["h"] = grads["h"] / scale  # already scaled through ``back``
         for k, g in grads.items():
