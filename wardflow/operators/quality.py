@@ -105,3 +105,34 @@ def classify(violations: DataFrame, class_map: Mapping[str, str] = RULE_CLASS,
         "status": F.when(F.col("teste").isin(list(not_fixable)), F.lit(STATUS_NOT_FIXABLE))
                    .otherwise(F.lit(STATUS_PENDING)),
     })
+
+
+@dataclass(frozen=True)
+class TableRules:
+    """What holds for one table: columns never NULL, columns with a fixed set of
+    values (NULL passes), keys that are unique, and rules of its own."""
+    not_null: Sequence[str] = ()
+    accepted: Mapping[str, Sequence] | None = None
+    unique: Mapping[str, Sequence[str]] | None = None   # rule name → key columns
+    own: Sequence[Rule] = ()
+
+
+def count_violations(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules]) -> DataFrame:
+    """``(teste, casos)`` for every rule of every table, passing ones with 0: one
+    aggregation per table for its row rules, and one per key for duplicated keys."""
+    parts = []
+    for table, r in rules.items():
+        df = tables[table]
+        checks = ([not_null_rule(c, table) for c in r.not_null]
+                  + [accepted_values_rule(c, v, table) for c, v in (r.accepted or {}).items()] + list(r.own))
+        if checks:
+            counts = df.agg(*[F.count_if(F.coalesce(x.violation, F.lit(False))).alias(f"c{i}") for i, x in enumerate(checks)])
+            listed = F.array(*[F.struct(F.lit(x.name).alias("teste"), F.col(f"c{i}").alias("casos")) for i, x in enumerate(checks)])
+            parts.append(counts.select(F.inline(listed)))
+        for name, keys in (r.unique or {}).items():
+            parts.append(duplicate_keys(df, keys, name).agg(F.count(F.lit(1)).alias("casos"))
+                         .select(F.lit(name).alias("teste"), "casos"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -821,6 +821,31 @@ def ed_rules(spark, sf):
     return _period_ts(v)
 
 
+def ed_rule_counts(spark, sf):
+    """All 53 declared checks of the domain tables, passing ones with 0.  The raw
+    reports are given gaps first, by value: patients, times, specialities and
+    origins go missing, and some rows come twice."""
+    from wardflow.plans import domain
+    visits, admissions, movements, beds, cid = ed_raw_tables(spark, sf)
+    low = F.col("IDADE").cast("int")
+    visits = visits.withColumns({
+        "CD_PACIENTE": F.when(low < 90, F.col("CD_PACIENTE")),
+        "DT_HR_TOTEM_RECEP": F.when((low < 80) | (low >= 85), F.col("DT_HR_TOTEM_RECEP")),
+        "ESPECIALIDADE": F.when(low != 70, F.col("ESPECIALIDADE"))})
+    visits = visits.unionByName(visits.where(low == 60))
+    admissions = admissions.withColumn("ORIGEM_ATEND", F.when(F.col("LEITO") != "L7", F.col("ORIGEM_ATEND")))
+    admissions = admissions.unionByName(admissions.where(F.col("LEITO") == "L9"))
+    movements = movements.withColumn("DESTINO", F.when(F.col("DESTINO") != "L11", F.col("DESTINO")))
+    stg_v = materialize(domain.stage_visits(visits), "stg_atendimentos")
+    stg_a = materialize(domain.stage_admissions(admissions), "stg_internacoes")
+    stg_m = materialize(domain.stage_movements(movements), "stg_movimentacoes")
+    mart = materialize(domain.build_visit_mart(stg_v, stg_a, stg_m, beds, cid_seed=cid), "atendimentos_pa")
+    return quality.count_violations({
+        "stg_atendimentos": stg_v, "stg_internacoes": stg_a, "stg_movimentacoes": stg_m, "atendimentos_pa": mart,
+        "ranking_especialidades": domain.ranking_mart(mart), "percentis_jornada": domain.percentiles_mart(mart, method="exact"),
+    }, domain.declared_rules())
+
+
 def ed_kpis(spark, sf):
     """K1–K4, K6, K7 per period and service on the stored domain mart."""
     g = kpis.period_kpis(_stored_ed_mart(spark, sf)[0], ["competencia", "SERVICO"])
@@ -876,6 +901,7 @@ QUERIES = {
     "ed_percentiles": ed_percentiles,
     "ed_ranking": ed_ranking,
     "ed_rules": ed_rules,
+    "ed_rule_counts": ed_rule_counts,
     "ed_kpis": ed_kpis,
     "ed_wait_targets": ed_wait_targets,
     "ed_register": ed_register,

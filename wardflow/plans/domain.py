@@ -298,6 +298,36 @@ def movement_rule(stg_mov: DataFrame) -> DataFrame:
                                  id_col="ATENDIMENTO", period_col="COMPETENCIA", service_col=None)
 
 
+# fixed values: the declared checks of each table
+RANKS = ("conversao", "alta_na_meta", "tempo_atend_medico", "evasao", "retorno48h")
+FLAGS = ("fl_conversao", "fl_evasao", "fl_retorno_48h")
+SHIFTS = ("Manhã", "Tarde", "Noite", "Madrugada")
+AGE_BANDS = ("0 a 2", "3 a 5", "6 a 8", "9 a 11", "12 a 14", "15 a 19", "20 a 29", "30 a 39", "40 a 49", "50 a 59", "60 ou mais")
+GRAIN_RULE = "dbt_utils_unique_combination_of_columns_atendimentos_pa_atend_PA__competencia"
+
+
+def declared_rules() -> dict[str, quality.TableRules]:
+    """All 53 checks: 40 declared per table and 13 of their own."""
+    R = quality.TableRules
+    bad_move = F.col("ATENDIMENTO").isNotNull() & (F.col("HORA").isNull() | F.col("DESTINO").isNull())
+    return {
+        "stg_atendimentos": R(not_null=("CD_PACIENTE", "CD_ATENDIMENTO", "DT_ATENDIMENTO", "DT_HR_TOTEM_RECEP",
+                                        "ESPECIALIDADE", "competencia"),
+                              unique={"unique_stg_atendimentos_CD_ATENDIMENTO": ("CD_ATENDIMENTO",)}),
+        "stg_internacoes": R(not_null=("COD_PACIENTE", "ATENDIMENTO", "DT_HR_ATENDIMENTO", "ORIGEM_ATEND", "competencia"),
+                             unique={"unique_stg_internacoes_ATENDIMENTO": ("ATENDIMENTO",)}),
+        "stg_movimentacoes": R(not_null=("ATENDIMENTO", "COMPETENCIA"),
+                               own=[quality.Rule("movimentacoes_nulos_invalidos", bad_move)]),
+        "atendimentos_pa": R(not_null=("atend_PA", *FLAGS, "competencia"),
+                             accepted={**{c: (0, 1) for c in FLAGS}, "turno": SHIFTS, "faixa_etaria": AGE_BANDS},
+                             unique={GRAIN_RULE: ("atend_PA", "competencia")}, own=mart_rules()),
+        "ranking_especialidades": R(
+            not_null=("SERVICO", "competencia", "total_pontos", *RANKS), accepted={c: tuple(range(1, 7)) for c in RANKS},
+            unique={"dbt_utils_unique_combination_of_columns_ranking_especialidades_SERVICO__competencia": ("SERVICO", "competencia")}),
+        "percentis_jornada": R(own=[quality.Rule("p90_maior_igual_p50", F.col("p90") < F.col("p50"))]),
+    }
+
+
 def percentile_rule(pct: DataFrame) -> DataFrame:
     """P90 < P50, keyed by group (no visit id: kept out of the register)."""
     return pct.where(F.col("p90") < F.col("p50"))
@@ -353,9 +383,13 @@ def transform_ready_periods(spark, root: str, beds: DataFrame, cid_seed: DataFra
     mart = build_visit_mart(stg_v, stg_a, stg_m, beds, corrections=corrections,
                             curated=cur["curadoria_conversao"], cid_seed=cid_seed)
     mart = store(mart, "marts", "atendimentos_pa", cluster=("SERVICO", "CONVENIO", "COR_CLASSIF"))
-    store(percentiles_mart(mart, percentile_method), "marts", "percentis_jornada")
+    pct = store(percentiles_mart(mart, percentile_method), "marts", "percentis_jornada")
     store(volumes_mart(mart), "marts", "volume_jornada")
-    store(ranking_mart(mart), "marts", "ranking_especialidades")
+    rank = store(ranking_mart(mart), "marts", "ranking_especialidades")
+    counts = quality.count_violations({"stg_atendimentos": stg_v, "stg_internacoes": stg_a, "stg_movimentacoes": stg_m, "atendimentos_pa": mart,
+                                       "ranking_especialidades": rank, "percentis_jornada": pct}, declared_rules())
+    out["regras"] = reports.layer_path(root, "qualidade", "regras")
+    counts.write.mode("overwrite").parquet(out["regras"])
     store(calendar_mart(mart), "marts", "dim_competencia")
     violations = run_mart_rules(mart).unionByName(movement_rule(stg_m))
     batch = register_batch(mart, violations, detected_at)
