@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ALL_LABEL = "Todas"  # fixed label for the rolled-up keys
@@ -87,3 +87,31 @@ def step_percentiles(df: DataFrame, detail_keys: Sequence[str], period: str,
     items = [(label, [f"__s{i}_{j}" for j in range(len(probs))], o)
              for i, (label, _, o) in enumerate(steps)]
     return wide_to_long(labelled, list(detail_keys), items, name_col, list(names), order_col)
+
+
+def ranked_percentiles(df: DataFrame, group: str, value: str, probs: dict[str, float], num_blocks: int | None = None) -> DataFrame:
+    """Interpolated percentiles of a continuous value, without a buffer of a
+    group's values: counts per (group, value), running counts inside ordered
+    blocks, block totals carried across blocks, and the two neighbouring ranks
+    picked from them.  NULL values are left out; a group of NULLs gives NULL."""
+    from wardflow.operators.scan import range_blocks
+    counts = df.groupBy(group, value).agg(F.count(value).alias("__c"))
+    blocks = range_blocks(counts.where(F.col("__c") > 0), [group], [value], num_blocks)
+    inside = Window.partitionBy(group, "__blk").orderBy(value)
+    totals = blocks.groupBy(F.col(group).alias("__g"), F.col("__blk").alias("__b")).agg(F.sum("__c").alias("__t"))
+    totals = totals.select("__g", "__b", F.coalesce(F.sum("__t").over(Window.partitionBy("__g").orderBy("__b").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"), F.sum("__t").over(Window.partitionBy("__g")).alias("__n"))
+    run = blocks.withColumn("__cum", F.sum("__c").over(inside))
+    run = run.join(totals, run[group].eqNullSafe(totals["__g"]) & (run["__blk"] == totals["__b"]))
+    end = F.col("__base") + F.col("__cum")
+    aggs = []
+    for name, p in probs.items():
+        rank = F.lit(p) * (F.col("__n") - 1)
+        for side, at in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
+            aggs.append(F.max(F.when((end - F.col("__c") <= at) & (at < end), F.col(value))).alias(f"__{side}_{name}"))
+    picked = run.groupBy(group).agg(F.max("__n").alias("__n"), *aggs)
+    out = picked.select(group, *[
+        (F.col(f"__lo_{n}") + (F.lit(p) * (F.col("__n") - 1) - F.floor(F.lit(p) * (F.col("__n") - 1)))
+         * (F.col(f"__hi_{n}") - F.col(f"__lo_{n}"))).alias(n) for n, p in probs.items()])
+    groups = df.select(F.col(group).alias("__g")).distinct()
+    return groups.join(out, groups["__g"].eqNullSafe(out[group]), "left").drop(group).withColumnRenamed("__g", group)

@@ -282,8 +282,20 @@ def percentiles_exact(spark, sf):
 
 
 def percentiles_approx(spark, sf):
-    y = _journey_steps(spark, sf)
-    return journey.step_percentiles(y, ["competencia", "turno"], "competencia", Y_STEPS, method="approx")
+    """The sketch of the production default against exact ranks: 1 where its value
+    lies between the exact ones one ``accuracy``-th of the ranks to either side."""
+    y = materialize(_journey_steps(spark, sf), "journey")
+    keys, e = ["competencia", "turno"], 1 / 10000
+    sketch = journey.step_percentiles(y, keys, "competencia", Y_STEPS, method="approx")
+    around = journey.step_percentiles(y, keys, "competencia", Y_STEPS, method="exact", probs=(0.5 - e, 0.5 + e, 0.9 - e, 0.9 + e),
+                                      names=("lo50", "hi50", "lo90", "hi90"))
+    same = [sketch[c].eqNullSafe(around[c]) for c in ("competencia", "turno", "nome_etapa")]
+    both = sketch.join(around, same[0] & same[1] & same[2])
+
+    def within(p: str) -> Column:
+        inside = F.col(f"p{p}").between(F.col(f"lo{p}"), F.col(f"hi{p}"))
+        return F.when(F.coalesce(inside, F.col(f"p{p}").isNull() & F.col(f"lo{p}").isNull()), 1).otherwise(0)
+    return both.select(sketch["competencia"], sketch["turno"], sketch["nome_etapa"], within("50").alias("p50_dentro"), within("90").alias("p90_dentro"))
 
 
 def _y_rules():
@@ -373,6 +385,11 @@ def pending_queue(spark, sf):
     return curation.pending_cases(reg, F.lit("1990-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+def pending_queue_period(spark, sf):
+    """The queue of a period that has pending cases (the first full week of the events)."""
+    return curation.pending_cases(_register_batch(spark, sf), F.lit("2024-01-08 00:00:00").cast("timestamp_ntz"))
+
+
 def pending_periods(spark, sf):
     return curation.pending_periods(_register_batch(spark, sf))
 
@@ -440,10 +457,8 @@ def wait_target_share(spark, sf):
 
 def percentile_cont(spark, sf):
     m = _orders_mart(spark, sf)
-    return (m.groupBy("SERVICO").agg(
-        F.percentile("o_totalprice", F.lit(0.5)).alias("p50"),
-        F.percentile("o_totalprice", F.lit(0.9)).alias("p90"))
-        .withColumns({"p50": F.round("p50", 6), "p90": F.round("p90", 6)}))
+    return (journey.ranked_percentiles(m, "SERVICO", "o_totalprice", {"p50": 0.5, "p90": 0.9})
+            .withColumns({"p50": F.round("p50", 6), "p90": F.round("p90", 6)}))
 
 
 def category_case(spark, sf):
@@ -921,6 +936,7 @@ QUERIES = {
     "rule_summary": rule_summary,
     "register_new": register_new,
     "pending_queue": pending_queue,
+    "pending_queue_period": pending_queue_period,
     "pending_periods": pending_periods,
     "decision_status": decision_status,
     "decision_routing": decision_routing,
