@@ -20,11 +20,12 @@ so the space is cut twice:
   component, and finally the pairs left. A round's links are merged into
   components before the next round looks for what is left.
 * **Triangle-inequality windows.** |X D Y|, the size of the symmetric difference,
-  is a metric too. Each class carries its distances to the ``PARTS`` parts of a
-  fixed division of all shingles (how many of them it holds); by the triangle
-  inequality these differ by |X D Y| in sum at most. A pair outside the window that
-  d <= r leaves open is dropped on these numbers alone. What is left is compared
-  exactly, on the whole sets.
+  is a metric too. Each class carries its distances to the parts of a fixed
+  division of all shingles (how many of each it holds; the division is halved
+  until a part holds eight of its shingles or so); by the triangle inequality
+  these differ by |X D Y| in sum at most. A pair outside the window that d <= r
+  leaves open is dropped on its sizes and these numbers alone. What is left is
+  compared exactly, on the whole sets.
 
 Documents of equal sets are one class from the start, and copies are never
 compared.
@@ -48,8 +49,8 @@ PERCENT = 80
 #: Shingles put last in the order: the most frequent ones, at most so many
 #: (16 bytes each, sent to the executors). Any such list gives the same result.
 FREQUENT = 1 << 18
-#: Parts of the shingle space, for the windows.
-PARTS = 128
+#: Parts of the shingle space, for the windows: 2^LEAST_BITS at least.
+LEAST_BITS = 7
 #: Region entries (16 bytes) that one group of the second step holds, about.
 GROUP_ENTRIES = 500_000
 #: Bits of the filter that keeps uninvolved documents from the second reading.
@@ -99,6 +100,12 @@ def _prefix(u: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarr
     return u[:size]
 
 
+def _parts(u: np.ndarray) -> np.ndarray:
+    """How many shingles lie in each part; parts are the leading bits of the hash."""
+    bits = max(LEAST_BITS, int(max(len(u) - 1, 1) // 8).bit_length())
+    return np.bincount((u >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.int16)
+
+
 def connected(edges: DataFrame, name: str) -> DataFrame:
     """(node, label) for all nodes of ``edges`` (a, b): the least node reachable.
     Each round takes the least label around and then the label's own label; a
@@ -137,11 +144,11 @@ class _Space:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(2), pa.array([len(u) for u in sets], pa.int64()), pa.array(k1), pa.array(k2),
                      ragged([_prefix(u, frequent, counts) for u in sets]),
-                     ragged([np.bincount((u >> np.uint64(57)).astype(np.int64), minlength=PARTS).astype(np.int32) for u in sets], pa.int32())],
+                     ragged([_parts(u) for u in sets], pa.int16())],
                     ["id", "h", "n", "k1", "k2", "regions", "parts"])
 
         rows = materialize(texts.mapInArrow(
-            run, f"id {kind}, h long, n long, k1 long, k2 long, regions array<long>, parts array<int>"), "jaccard-rows")
+            run, f"id {kind}, h long, n long, k1 long, k2 long, regions array<long>, parts array<smallint>"), "jaccard-rows")
         self.rows = rows.drop("regions", "parts")
         classes = rows.where("n > 0").groupBy("n", "k1", "k2").agg(
             F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("least"), F.count(F.lit(1)).alias("copies"),
@@ -228,12 +235,22 @@ class _Space:
     def compare(self, pairs: DataFrame, name: str) -> DataFrame:
         """(a, b, linked) of distinct pairs of classes, a < b: first by the window,
         then, if the window leaves it open, by the whole sets."""
-        about = self.classes.select("cls", "n", "parts")
-        sized = (pairs.join(about.toDF("a", "na", "pa"), "a").join(about.toDF("b", "nb", "pb"), "b"))
-        apart = F.aggregate(F.zip_with("pa", "pb", lambda x, y: F.abs(x - y)), F.lit(0), lambda acc, d: acc + d)
+        n = self.classes.select("cls", "n")
+        sized = pairs.join(n.toDF("a", "na"), "a").join(n.toDF("b", "nb"), "b")
+        fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
+        parts = self.classes.select("cls", "parts")
+        seen = sized.where(fits).join(parts.toDF("a", "pa"), "a").join(parts.toDF("b", "pb"), "b")
+
+        def coarse(p, other):  # sizes of a fitting pair are one halving apart at most
+            halved = F.transform(F.sequence(F.lit(0), (F.size(p) / 2 - 1).cast("int")),
+                                 lambda i: (F.get(p, 2 * i) + F.get(p, 2 * i + 1)).cast("smallint"))
+            return F.when(F.size(p) > F.size(other), halved).otherwise(F.col(p))
+        apart = F.aggregate(F.zip_with(coarse("pa", "pb"), coarse("pb", "pa"), lambda x, y: F.abs(x - y).cast("int")),
+                            F.lit(0), lambda acc, d: acc + d)
         # |X D Y| >= apart, so |X n Y| <= (|X| + |Y| - apart) / 2
         most = F.floor((F.col("na") + F.col("nb") - apart) / 2)
-        sized = materialize(sized.select("a", "b", "na", "nb", _linked(most, F.col("na"), F.col("nb")).alias("open")), name)
+        seen = seen.select("a", "b", "na", "nb", _linked(most, F.col("na"), F.col("nb")).alias("open"))
+        sized = materialize(seen.union(sized.where(~fits).select("a", "b", "na", "nb", F.lit(False))), name)
         near = sized.where("open")
         full = self._sets_of(near.select(F.col("a").alias("cls")).union(near.select("b")).distinct())
         near = near.join(full.toDF("a", "ua"), "a").join(full.toDF("b", "ub"), "b")
@@ -302,10 +319,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     same = F.col("id").eqNullSafe(F.col("least.id")) & (F.col("h") == F.col("least.h"))
     acts = groups(docs, id_col, text_col).where("least IS NOT NULL").groupBy("id", "h").agg(
         F.max(same).alias("__stays"), F.count(F.lit(1)).alias("__rows")).where("NOT __stays OR __rows > 1")
-    acts = materialize(acts.withColumnsRenamed({"id": "__id", "h": "__h"}), "jaccard-verdicts")
-    own = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    judged = docs.withColumn("__own", own)
-    judged = judged.join(acts, judged[id_col].eqNullSafe(acts["__id"]) & (judged["__own"] == acts["__h"]), "left")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    once = judged.where("__stays").dropDuplicates([id_col, "__own"])
-    return judged.where("__stays IS NULL").select(*columns).unionByName(once.select(*columns))
+    acts = materialize(acts, "jaccard-verdicts")
+    names = docs.columns
+    held = docs.toDF(*[f"c{i}" for i in range(len(names))])  # whatever they are called
+    key, text = f"c{names.index(id_col)}", F.col(f"c{names.index(text_col)}").cast("string")
+    held = held.withColumn("own", F.xxhash64(F.coalesce(text, F.lit(""))))
+    judged = held.join(acts, F.col(key).eqNullSafe(F.col("id")) & (F.col("own") == F.col("h")), "left")
+    once = judged.where("__stays").dropDuplicates([key, "own"])
+    return judged.where("__stays IS NULL").unionByName(once).drop("own", "id", "h", "__stays", "__rows").toDF(*names)
