@@ -83,3 +83,10 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     path = path or scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing will read again."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
