@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardflow.llm.common import bounded_batches, lower_ascii, mix, ragged, shingle_hashes, span_hashes, text_buffer, word_spans
-from wardflow.session import materialize
+from wardflow.session import discard, materialize, scratch_path
 
 WIDTH = 5
 #: Linked: 100 |X n Y| >= PERCENT |X u Y|.
@@ -148,12 +148,14 @@ class _Space:
                     ["id", "h", "n", "k1", "k2", "regions", "parts"])
 
         rows = materialize(texts.mapInArrow(
-            run, f"id {kind}, h long, n long, k1 long, k2 long, regions array<long>, parts array<smallint>"), "jaccard-rows")
-        self.rows = rows.drop("regions", "parts")
+            run, f"id {kind}, h long, n long, k1 long, k2 long, regions array<long>, parts array<smallint>"), "jaccard-rows",
+            wide := scratch_path(self.spark, "jaccard-rows"))
+        self.rows = materialize(rows.drop("regions", "parts"), "jaccard-ids")
         classes = rows.where("n > 0").groupBy("n", "k1", "k2").agg(
             F.min(F.struct(F.col("id").isNull().alias("none"), "id", "h")).alias("least"), F.count(F.lit(1)).alias("copies"),
             F.first("regions").alias("regions"), F.first("parts").alias("parts"))
         self.classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "jaccard-classes")
+        discard(self.spark, wide)
         inside, between = self._regions()
         self.first = inside.union(between).select(*_pairs("cls", "pivot")).distinct()
         both = inside.union(between)
@@ -204,8 +206,9 @@ class _Space:
         between = (listed.mapInArrow(pivots, "bucket long, entries binary").groupBy("bucket").applyInArrow(join_pivots, schema))
         return inside, materialize(between, "jaccard-between")
 
-    def _sets_of(self, wanted: DataFrame) -> DataFrame:
-        """(cls, u): the whole sets of the classes ``wanted`` (cls), by a second reading."""
+    def _sets_of(self, wanted: DataFrame, path: str) -> DataFrame:
+        """(cls, u): the whole sets of the classes ``wanted`` (cls), by a second
+        reading, stored at ``path``."""
         involved = wanted.join(self.classes.select("cls", "n", "k1", "k2"), "cls")
         bit = F.pmod("k1", F.lit(FILTER_BITS))
         words = involved.groupBy(F.floor(bit / 32).cast("int").alias("w")).agg(
@@ -230,7 +233,7 @@ class _Space:
 
         read = self.texts.select("text").mapInArrow(run, "n long, k1 long, k2 long, u array<long>")
         return materialize(read.groupBy("n", "k1", "k2").agg(F.first("u").alias("u")).join(involved, ["n", "k1", "k2"])
-                           .select("cls", "u"), "jaccard-sets")
+                           .select("cls", "u"), "jaccard-sets", path)
 
     def compare(self, pairs: DataFrame, name: str) -> DataFrame:
         """(a, b, linked) of distinct pairs of classes, a < b: first by the window,
@@ -252,11 +255,14 @@ class _Space:
         seen = seen.select("a", "b", "na", "nb", _linked(most, F.col("na"), F.col("nb")).alias("open"))
         sized = materialize(seen.union(sized.where(~fits).select("a", "b", "na", "nb", F.lit(False))), name)
         near = sized.where("open")
-        full = self._sets_of(near.select(F.col("a").alias("cls")).union(near.select("b")).distinct())
+        path = scratch_path(self.spark, "jaccard-sets")
+        full = self._sets_of(near.select(F.col("a").alias("cls")).union(near.select("b")).distinct(), path)
         near = near.join(full.toDF("a", "ua"), "a").join(full.toDF("b", "ub"), "b")
         shared = F.size(F.array_intersect("ua", "ub")).cast("long")
         near = near.select("a", "b", _linked(shared, F.col("na"), F.col("nb")).alias("linked"))
-        return materialize(near.union(sized.where("NOT open").select("a", "b", F.lit(False))), name)
+        compared = materialize(near.union(sized.where("NOT open").select("a", "b", F.lit(False))), name)
+        discard(self.spark, path)
+        return compared
 
 
 def _pairs(x: str, y: str) -> list[Column]:

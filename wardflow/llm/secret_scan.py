@@ -172,15 +172,16 @@ def _cuts(found: DataFrame, false_discovery: float) -> DataFrame:
             .groupBy("stratum").agg(F.min("bin").alias("cut")))
 
 
-def scan(docs: DataFrame, text_col: str = "text", false_discovery: float = 0.05) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", false_discovery: float = 0.05, keep_text: bool = True) -> DataFrame:
     """``docs`` with ``secret_spans``: array of (start, kind, end) by start and then
     kind (numbers into ``KINDS``), in code points, end exclusive.
 
-    The text and all other columns are kept. Null and empty texts have no spans.
+    The text (unless ``keep_text`` is false) and all other columns are kept. Null and empty texts have no spans.
     Rows are scanned one by one, repeated rows alike; an empty table stays empty.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    found = materialize(_spans(docs, text), "secret-spans")
+    found = _spans(docs, text)
+    found = materialize(found if keep_text else found.drop(text_col), "secret-spans")
     cuts = {r["stratum"]: r["cut"] for r in _cuts(found, false_discovery).collect()}  # one row per stratum
     cut = F.map_from_arrays(F.array(*[F.lit(k) for k in cuts]).cast("array<string>"),
                             F.array(*[F.lit(v) for v in cuts.values()]).cast("array<int>"))
@@ -196,7 +197,7 @@ def listing(spans: Column) -> Column:
 
 def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The contract's columns: counts and hash of the base spans, and all spans."""
-    got = scan(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), "__text")
+    got = scan(docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")), "__text", keep_text=False)
     base = F.filter("secret_spans", lambda x: x["kind"] < 3)
     return got.select(F.col("__id").alias(id_col), *[_count(k) for k in range(3)], F.sha2(listing(base), 256).alias("base_sha256"),
                       listing(F.col("secret_spans")).alias("spans"))
