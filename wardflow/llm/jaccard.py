@@ -73,12 +73,12 @@ def _keys(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 def frequent_shingles(texts: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, counts), sorted by hash, of shingles that many documents share:
-    those in four or more documents of one batch, the most frequent first."""
+    those in two or more documents of one batch, the most frequent first."""
     def run(batches):
         for b in batches:
             sets = _sets(b.column(0))
             key, n = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_counts=True)
-            some = n >= 4
+            some = n >= 2
             yield pa.RecordBatch.from_arrays([pa.array(key[some].view(np.int64)), pa.array(n[some])], ["s", "n"])
 
     rows = (texts.mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
