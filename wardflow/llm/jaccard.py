@@ -292,12 +292,16 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         held = materialize(held.join(open_regions, "s", "left_semi").select("s", "cls", "label"), f"jaccard-open-{step}")
         if held.isEmpty():
             break
-        if step == "pivots":  # a pivot for each component of the region
-            other = held.groupBy("s", "label").agg(F.min("cls").alias("other")).withColumnRenamed("label", "other_label")
-            pairs = held.join(other, "s").where("label <> other_label").select(*_pairs("cls", "other"))
+        # sizes of linked documents differ by a factor of 1.25 at most: by the triangle
+        # inequality at the empty set, only neighbouring size classes can link
+        sized = held.join(space.classes.select("cls", "n"), "cls").withColumn("w", F.floor(F.log("n") / F.log(F.lit(1.26))))
+        around = F.explode(F.array(*[F.col("w") + k for k in (-1, 0, 1)]))
+        if step == "pivots":  # a pivot for each component of the region and size class
+            other = sized.groupBy("s", F.col("label").alias("to"), "w").agg(F.min("cls").alias("other")).select("s", "to", "other", around.alias("w"))
+            pairs = sized.join(other, ["s", "w"]).where("label <> to").select(*_pairs("cls", "other"))
         else:  # what is left between components
-            x, y = held.toDF("s", "x", "lx"), held.toDF("s", "y", "ly")
-            pairs = x.join(y, "s").where("lx < ly").select(*_pairs("x", "y"))
+            y = sized.select("s", F.col("cls").alias("y"), F.col("label").alias("ly"), around.alias("w"))
+            pairs = sized.join(y, ["s", "w"]).where("label < ly").select(*_pairs("cls", "y"))
         pairs = pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = space.compare(pairs, f"jaccard-{step}")
         tested = tested.union(found)
