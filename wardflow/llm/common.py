@@ -19,7 +19,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of one Arrow batch sent to a Python worker; with it a worker's memory
 #: is bounded by a few batches plus the longest single text.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
