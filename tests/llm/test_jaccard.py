@@ -69,6 +69,20 @@ def test_brute_force(spark, seed, monkeypatch):
         assert got(frame) == brute(rows)
 
 
+def test_batches_of_another_reading(spark, monkeypatch):
+    """Regions stay whole if tables are read again in other batches."""
+    rows = near_copies(5)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    store, conf = jaccard.materialize, "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+    def cut(df, name, path=None):
+        out = store(df, name, path)
+        spark.conf.set(conf, "1" if name == "jaccard-classes" else "4000")
+        return out
+    monkeypatch.setattr(jaccard, "materialize", cut)
+    assert got(frame) == brute(rows)
+
+
 def test_edges(spark):
     rows = [(i, t) for i, t, *_ in edge_rows()]
     assert got(edge(spark)) == brute(rows)

@@ -156,42 +156,41 @@ class _Space:
             F.first("regions").alias("regions"), F.first("parts").alias("parts"))
         self.classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "jaccard-classes")
         discard(self.spark, wide)
-        inside, between = self._regions()
-        self.first = inside.union(between).select(*_pairs("cls", "pivot")).distinct()
+        scratch = scratch_path(self.spark, "jaccard-entries"), scratch_path(self.spark, "jaccard-between")
+        inside, between = self._regions(*scratch)
         both = inside.union(between)
+        self.first = materialize(both.select(*_pairs("cls", "pivot")).distinct(), "jaccard-candidates")
         self.members = materialize(both.select("s", "cls").union(both.select("s", F.col("pivot").alias("cls"))).distinct(), "jaccard-members")
+        for path in scratch:
+            discard(self.spark, path)
 
-    def _regions(self) -> tuple[DataFrame, DataFrame]:
+    def _regions(self, entries_path: str, between_path: str) -> tuple[DataFrame, DataFrame]:
         """(s, cls, pivot): of the members of each region within a batch, and of
-        the batch pivots of each region."""
+        the batch pivots of each region. Both come from one reading, stored once:
+        another reading may cut other batches, with other pivots."""
         listed = self.classes.select("cls", "regions")
         total = self.classes.agg(F.sum(F.size("regions"))).first()[0] or 0
         buckets = max(1, -(-int(total) // GROUP_ENTRIES))
 
-        def local(b):
-            cls = np.repeat(np.asarray(b.column(0)), np.diff(np.asarray(b.column(1).offsets)))
-            regions = np.asarray(b.column(1).flatten())
-            order = np.lexsort((cls, regions))
-            cls, regions = cls[order], regions[order]
-            head = np.concatenate(([True], regions[1:] != regions[:-1])) if len(regions) else np.zeros(0, bool)
-            return regions, cls, head
-
-        def members(batches):
+        def entries(batches):
             for b in batches:
-                regions, cls, head = local(b)
+                cls = np.repeat(np.asarray(b.column(0)), np.diff(np.asarray(b.column(1).offsets)))
+                regions = np.asarray(b.column(1).flatten())
+                order = np.lexsort((cls, regions))
+                cls, regions = cls[order], regions[order]
+                head = np.concatenate(([True], regions[1:] != regions[:-1])) if len(regions) else np.zeros(0, bool)
                 pivot = cls[head][np.cumsum(head) - 1] if len(cls) else cls
-                yield pa.RecordBatch.from_arrays([pa.array(x[~head]) for x in (regions, cls, pivot)], ["s", "cls", "pivot"])
-
-        def pivots(batches):
-            for b in batches:
-                regions, cls, head = local(b)
+                rest = [pa.array(x[~head]) for x in (regions, cls, pivot)]
+                none = len(rest[0])
+                yield pa.RecordBatch.from_arrays([*rest, pa.nulls(none, pa.int64()), pa.nulls(none, pa.binary())], names)
                 regions, cls = regions[head], cls[head]
                 to = mix(regions.view(np.uint64)) % np.uint64(buckets)
                 order = np.argsort(to, kind="stable")
                 pair = np.stack((regions[order], cls[order]), 1)
                 at = np.flatnonzero(np.concatenate(([True], np.diff(to[order]) != 0))) if len(order) else np.zeros(0, np.int64)
                 blobs = [x.tobytes() for x in np.split(pair, at[1:])] if len(at) else []
-                yield pa.RecordBatch.from_arrays([pa.array(to[order][at].view(np.int64)), pa.array(blobs, pa.binary())], ["bucket", "entries"])
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(at), pa.int64())] * 3, pa.array(to[order][at].view(np.int64)),
+                                                  pa.array(blobs, pa.binary())], names)
 
         def join_pivots(t: pa.Table) -> pa.Table:
             pair = np.concatenate([np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 2) for x in t.column("entries")])
@@ -201,10 +200,10 @@ class _Space:
             more = (pair[:, 1] != pivot)
             return pa.table({"s": pair[more, 0], "cls": pair[more, 1], "pivot": pivot[more]})
 
-        schema = "s long, cls long, pivot long"
-        inside = materialize(listed.mapInArrow(members, schema), "jaccard-inside")
-        between = (listed.mapInArrow(pivots, "bucket long, entries binary").groupBy("bucket").applyInArrow(join_pivots, schema))
-        return inside, materialize(between, "jaccard-between")
+        schema, names = "s long, cls long, pivot long", ["s", "cls", "pivot", "bucket", "entries"]
+        stored = materialize(listed.mapInArrow(entries, f"{schema}, bucket long, entries binary"), "jaccard-entries", entries_path)
+        between = stored.where("bucket IS NOT NULL").select("bucket", "entries").groupBy("bucket").applyInArrow(join_pivots, schema)
+        return stored.where("bucket IS NULL").select("s", "cls", "pivot"), materialize(between, "jaccard-between", between_path)
 
     def _sets_of(self, wanted: DataFrame, path: str) -> DataFrame:
         """(cls, u): the whole sets of the classes ``wanted`` (cls), by a second
