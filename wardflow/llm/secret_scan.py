@@ -13,8 +13,10 @@ ordinary text is near 0, and how well the two part depends on length. So the
 cut is chosen per encoding and length class: with Storey's estimate of the
 number of random tokens (twice those above one half), it is the lowest p at
 which the share of ordinary tokens among those accepted stays under
-``false_discovery``. The counts behind it are one grouped aggregation over all
-documents, by (class, p in hundredths), so at most some hundred classes.
+``false_discovery``. The counts behind it are grouped aggregations over all
+documents, of distinct tokens (a string that many documents repeat is one) and
+then by (class, p in hundredths), so at most some hundred classes. The cut holds
+for all occurrences.
 
 Only Spark's own functions are used.
 """
@@ -123,7 +125,7 @@ def _battery(token: Column, alphabet: str) -> Column:
 
 
 def _tested(token: Column) -> Column:
-    """(length class, p) of a token; the class holds its encoding."""
+    """(length class, p, hash) of a token; the class holds its encoding."""
     bare = F.regexp_replace(token, "=+$", "")
 
     def choose(t: Column) -> Column:
@@ -131,7 +133,7 @@ def _tested(token: Column) -> Column:
         out = None
         for name, form, alphabet in reversed(ENCODINGS):
             value = F.struct(F.concat(F.lit(name + ":"), size.cast("string")).alias("stratum"),
-                             _battery(F.lower(t) if name == "hex" else t, alphabet).alias("p"))
+                             _battery(F.lower(t) if name == "hex" else t, alphabet).alias("p"), F.xxhash64(t).alias("token"))
             out = value if out is None else F.when(t.rlike(form), value).otherwise(out)
         return out
     return _let(bare, choose)
@@ -147,14 +149,14 @@ def _count(kind: int) -> Column:
 
 def _spans(docs: DataFrame, text: Column) -> DataFrame:
     """``docs`` with ``__base`` (array of start, kind number, end) and ``__tokens``
-    (array of start, end, stratum, p)."""
+    (array of start, end, stratum, p, hash of the token)."""
     assign = F.filter(_matches(text, ASSIGN), lambda x: F.length(F.regexp_extract(x["match"], ASSIGN, 2)) >= 12)
     parts = [_as_kind(spans, k) for k, spans in enumerate((assign, _matches(text, ACCESS), _matches(text, HEX)))]
     docs = docs.withColumn("__base", F.sort_array(F.concat(*parts)))
     tokens = F.filter(_matches(text, TOKEN), lambda x: ~x["match"].rlike("^[0-9a-f]+$") & ~F.exists(
         "__base", lambda b: (b["kind"] < 2) & (b["start"] < x["end"]) & (x["start"] < b["end"])))
     tested = F.transform(tokens, lambda x: _let(_tested(x["match"]), lambda t: F.struct(
-        x["start"].alias("start"), x["end"].alias("end"), t["stratum"].alias("stratum"), t["p"].alias("p"))))
+        x["start"].alias("start"), x["end"].alias("end"), t["stratum"].alias("stratum"), t["p"].alias("p"), t["token"].alias("token"))))
     return docs.withColumn("__tokens", tested)
 
 
@@ -162,7 +164,7 @@ def _cuts(found: DataFrame, false_discovery: float) -> DataFrame:
     """Per stratum the lowest accepted p, in hundredths. Strata are encodings by
     half octaves of length, so there are a few hundred at most."""
     bins = (found.select(F.explode("__tokens").alias("t"))
-            .groupBy(F.col("t.stratum").alias("stratum"), F.floor(F.col("t.p") * 100).cast("int").alias("bin"))
+            .select("t.stratum", F.floor(F.col("t.p") * 100).cast("int").alias("bin"), "t.token").distinct().groupBy("stratum", "bin")
             .agg(F.count(F.lit(1)).alias("n")))
     from_here = W.partitionBy("stratum").orderBy("bin").rowsBetween(W.currentRow, W.unboundedFollowing)
     counted = (bins.withColumn("above", F.sum("n").over(from_here))
