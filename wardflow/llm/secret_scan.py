@@ -16,7 +16,9 @@ which the share of ordinary tokens among those accepted stays under
 ``false_discovery``. The counts behind it are grouped aggregations over all
 documents, of distinct tokens (a string that many documents repeat is one) and
 then by (class, p in hundredths), so at most some hundred classes. The cut holds
-for all occurrences.
+for all occurrences. Few tokens make a poor estimate, so each class's counts are
+shrunk towards a stated prior, ``PRIOR`` random tokens: a class with hardly any
+tokens is cut at p = 0.01, one with many by its own counts.
 
 Only Spark's own functions are used.
 """
@@ -24,7 +26,6 @@ Only Spark's own functions are used.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wardflow.session import materialize
@@ -46,6 +47,9 @@ ENCODINGS = (
     ("base64url", r"^[A-Za-z0-9_-]+$", _UP + _LOW + _DIGITS + "-_"),
     ("base64mixed", r"", _UP + _LOW + _DIGITS + "+/-_"),
 )
+#: Random tokens added to each class, evenly over p. They let up to
+#: PRIOR * false_discovery / (1 - false_discovery) more ordinary ones through per class.
+PRIOR = 40
 _BLOCK = 256
 
 
@@ -166,12 +170,17 @@ def _cuts(found: DataFrame, false_discovery: float) -> DataFrame:
     bins = (found.select(F.explode("__tokens").alias("t"))
             .select("t.stratum", F.floor(F.col("t.p") * 100).cast("int").alias("bin"), "t.token").distinct().groupBy("stratum", "bin")
             .agg(F.count(F.lit(1)).alias("n")))
-    from_here = W.partitionBy("stratum").orderBy("bin").rowsBetween(W.currentRow, W.unboundedFollowing)
-    counted = (bins.withColumn("above", F.sum("n").over(from_here))
-               .withColumn("half", F.sum(F.when(F.col("bin") >= 50, F.col("n")).otherwise(0)).over(W.partitionBy("stratum"))))
-    ordinary = F.greatest(F.col("above") - 2 * F.col("half") * (1 - F.col("bin") / 100), F.lit(0.0))
-    return (counted.withColumn("fdr", ordinary / F.col("above")).where((F.col("fdr") <= false_discovery) & (F.col("bin") >= 1))
-            .groupBy("stratum").agg(F.min("bin").alias("cut")))
+    classes = bins.groupBy("stratum").agg(F.collect_list(F.struct("bin", "n")).alias("bins"))  # 101 at most
+
+    def held(least: Column) -> Column:
+        return F.aggregate("bins", F.lit(0).cast("long"), lambda a, x: a + F.when(x["bin"] >= least, x["n"]).otherwise(0))
+
+    def fits(b: Column) -> Column:
+        share, above = 1 - b / 100, held(b)
+        ordinary = F.greatest(above - 2 * F.col("half") * share, F.lit(0.0))
+        return ordinary <= false_discovery * (above + PRIOR * share)
+    cuts = F.filter(F.sequence(F.lit(1), F.lit(100)), fits)
+    return (classes.withColumn("half", held(F.lit(50))).select("stratum", F.array_min(cuts).alias("cut")).where("cut IS NOT NULL"))
 
 
 def scan(docs: DataFrame, text_col: str = "text", false_discovery: float = 0.05, keep_text: bool = True) -> DataFrame:
