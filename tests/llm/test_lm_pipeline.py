@@ -94,6 +94,15 @@ def check(frame, rows, training, got):
     assert len(got) == len(want)
 
 
+def test_tasks_begin_from_common_parameters(spark):
+    """Tasks of one text each learn the same, whichever worker ran another before."""
+    one, many = small_net()[0], small_net()[0]
+    for net, tasks in ((one, 1), (many, 12)):
+        lm._round(spark.range(0, tasks, 1, tasks).select("id", F.lit("a b c d e f g " * 40).alias("text")), net, "lm-test")
+    assert not np.array_equal(one.flat(), small_net()[0].flat())
+    assert np.allclose(one.flat(), many.flat(), atol=1e-6)
+
+
 def test_base_and_held_out(spark, monkeypatch):
     monkeypatch.setattr(lm, "HEAD", 3000)  # most words then take the joined way
     frame = spark.read.parquet(f"{SF}/documents.parquet")

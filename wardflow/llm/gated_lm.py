@@ -22,6 +22,8 @@
 
 from __future__ import annotations
 
+import copy
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -267,8 +269,8 @@ def _round(texts: DataFrame, net: Network, name: str) -> None:
     shared = texts.sparkSession.sparkContext.broadcast(net)  # fixed size
 
     def train(batches):
-        own: Network = shared.value
-        own.load(own.flat().copy())
+        own: Network = copy.copy(shared.value)  # a reused worker keeps the broadcast object for its next task
+        own.p = {k: v.copy() for k, v in own.p.items()}
         memory, n = {}, 0
         for _, hashes, at in _held(batches, own, 0):
             n += train_documents(own, own.ids(hashes), at, memory)
