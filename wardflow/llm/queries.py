@@ -7,8 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardflow.llm import jaccard, toxicity
+from wardflow.llm import jaccard, simhash, toxicity
 from wardflow.llm.common import table
+from wardflow.llm.conversations import Repair, damage
 from wardflow.llm.decontaminate import contained_items
 from wardflow.llm.gated_lm import score_texts
 from wardflow.llm.langid import identify, identify_pages
@@ -16,6 +17,7 @@ from wardflow.llm.packing import pack
 from wardflow.llm.quality import score_quality
 from wardflow.llm.secret_scan import digest
 from wardflow.llm.tokens import count_tokens
+from wardflow.llm.vector_codes import compress
 from wardflow.llm.warc import read_records, write_bundles
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -81,6 +83,20 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(table(spark, sf_dir, "embeddings"))
+
+
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.join(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return Repair(damage(rows), rows).summary()
+
+
 QUERIES = {f.__name__: f for f in (op1_warc_bundles, op2_packing, op3_toxic_segments, op4_quality_rules, op5_token_counts,
                                 op6_gated_lm, op7_benchmark_decontamination, op8_language_id, op9_secret_scans,
-                                op10_jaccard_join, pages_language_id)}
+                                op10_jaccard_join, op11_vector_codes, op12_simhash, op13_conversation_repair,
+                                pages_language_id)}
