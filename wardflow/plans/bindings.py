@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from wardflow.functions import columns as C
 from wardflow.operators import curation, insights, journey, kpis, layouts, link, quality, ranking, scan, tables
 from wardflow.session import materialize, scratch_path
-from wardflow.sources import reports
+from wardflow.sources import control, reports
 
 DETECTED_AT = "2026-01-01 00:00:00"   # fixed detection time of a register run
 
@@ -185,8 +185,9 @@ def layout_normalise(spark, sf):
 def movement_report(spark, sf):
     """Events rendered as a headerless movements report (a unit header per
     user, a date header per user-day, data rows in three layouts), written as
-    text files, then read back: positional cells → carried headers → layouts."""
-    ev = T(spark, sf, "events").where(F.col("user_id").isNotNull() & F.col("ts").isNotNull())
+    text files, then read back: positional cells → carried headers → layouts.  A
+    missing user or time is an empty cell."""
+    ev = T(spark, sf, "events")
     day = F.date_format("ts", "yyyy-MM-dd")
     blank = [F.lit("")] * 20
 
@@ -221,7 +222,7 @@ def movement_report(spark, sf):
 def ready_periods(spark, sf):
     ev = T(spark, sf, "events")
     srcs = {t: ev.where(F.col("event_type") == t).select(_ts(F.date_trunc("hour", "ts")).alias("competencia"))
-            for t in ("view", "purchase", "signup")}
+            for t in ("click", "error", "purchase", "signup", "view")}
     return reports.ready_periods(srcs, "competencia")
 
 
@@ -614,20 +615,24 @@ def raw_overwrite(spark, sf):
 
 
 def ingest_stream(spark, sf):
-    from wardflow.streaming.ingest import ingest_available
+    """Each event type lands as a report: three datasets that are loaded, and one of no
+    known dataset, which comes back as the name of the rejected report."""
+    from wardflow.streaming.ingest import SOURCES, ingest_available
     ev = T(spark, sf, "events").withColumn("value", F.col("value").cast("decimal(10,2)"))
-    landing = scratch_path(spark, "landing")
-    ev.where(F.col("event_type") == "view").write.parquet(os.path.join(landing, "atendimentos_2024_01"))
-    ev.where(F.col("event_type").isin("purchase", "signup")).write.parquet(
-        os.path.join(landing, "internacoes_2024_01"))
-    ev.where(F.col("event_type") == "error").write.parquet(os.path.join(landing, "desconhecido_2024_01"))
-    sink = scratch_path(spark, "raw")
-    ckpt = scratch_path(spark, "stream_ckpt")
-    ingest_available(spark, landing, sink, ckpt, schema=ev.schema)
-    back = spark.read.parquet(os.path.join(sink, "atendimentos"))
-    return back.select(
-        F.col("event_id").cast("long"), F.col("ts").cast("timestamp_ntz"), F.col("user_id").cast("long"),
-        "event_type", F.col("value").cast("double"), "props", F.col("competencia").cast("string"))
+    landing, sink = scratch_path(spark, "landing"), scratch_path(spark, "raw")
+    for name, types in (("atendimentos", ("view",)), ("internacoes", ("purchase", "signup")), ("movimentacoes", ("click",)), ("desconhecido", ("error",))):
+        ev.where(F.col("event_type").isin(*types)).write.parquet(os.path.join(landing, f"{name}_2024_01"))
+    ingest_available(spark, landing, sink, scratch_path(spark, "stream_ckpt"), schema=ev.schema)
+    out = spark.read.parquet(os.path.join(sink, "_rejeitados")).select(
+        F.lit("rejeitado").alias("fonte"), F.lit(None).cast("double").alias("event_id"), F.lit(None).cast("timestamp_ntz").alias("ts"),
+        F.lit(None).cast("double").alias("user_id"), F.lit(None).cast("string").alias("event_type"), F.lit(None).cast("double").alias("value"),
+        F.element_at(F.split("__path", "/"), -2).alias("props"), F.lit(None).cast("string").alias("competencia")).distinct()
+    for name in SOURCES:
+        back = spark.read.parquet(os.path.join(sink, name))
+        out = out.unionByName(back.select(
+            F.lit(name).alias("fonte"), F.col("event_id").cast("double"), F.col("ts").cast("timestamp_ntz"), F.col("user_id").cast("double"),
+            "event_type", F.col("value").cast("double"), "props", F.col("competencia").cast("string")))
+    return out
 
 
 # ------------------------------------------------- planned analyses (§2.17)
@@ -693,11 +698,13 @@ def _text_ts(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
 
 
-def ed_raw_tables(spark, sf):
+def ed_raw_tables(spark, sf, period: Column | None = None):
     """The three monthly reports (all text) and the bed seed, rendered from the
     driver tables: non-purchase events are ED visits, purchase events are
-    admissions and their bed movements, suppliers are beds."""
+    admissions and their bed movements, suppliers are beds.  ``period`` is the
+    report's period by event (default: one for all)."""
     ev = T(spark, sf, "events")
+    period = F.lit("2024-01") if period is None else period
     vis = ev.where(F.col("event_type") != "purchase")
     val = F.col("value")
     visits = vis.select(
@@ -731,7 +738,7 @@ def ed_raw_tables(spark, sf):
          .alias("PRESTADOR"),
         F.concat(F.col("event_type"), F.lit(" - DESCRICAO")).alias("CID"),
         F.when(val < 20, "EVASAO").otherwise("ALTA").alias("MOTIVO_ALTA"),
-        F.lit("2024-01").alias("competencia"))
+        period.alias("competencia"))
     pur = ev.where(F.col("event_type") == "purchase")
     admissions = pur.select(
         F.col("user_id").cast("string").alias("COD_PACIENTE"), F.col("event_id").cast("string").alias("ATENDIMENTO"),
@@ -739,7 +746,7 @@ def ed_raw_tables(spark, sf):
          .alias("ORIGEM_ATEND"),
         _text_ts(F.col("ts")).alias("DT_HR_ATENDIMENTO"),
         F.concat(F.lit("L"), F.floor(val / 5).cast("long").cast("string")).alias("LEITO"),
-        F.lit("U-OLD").alias("UNIDADE"), F.lit("2024-01").alias("competencia"))
+        F.lit("U-OLD").alias("UNIDADE"), period.alias("competencia"))
 
     def mov(minutes: int, divisor: int, cond: Column) -> DataFrame:
         return pur.where(cond).select(
@@ -750,7 +757,7 @@ def ed_raw_tables(spark, sf):
             F.lit("x").alias("TIP_ACOM"), F.lit("x").alias("CID"), F.lit("x").alias("CONVENIO"),
             F.lit("x").alias("MOTIVO_ALTA"), F.lit("U").alias("UNIDADE"),
             F.when(val < 50, F.lit("NaT")).otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("DATA"),
-            F.lit("2024-01").alias("competencia"))
+            period.alias("competencia"))
     movements = mov(30, 7, F.lit(True)).unionByName(mov(90, 3, val > 200))
     s, n, r = T(spark, sf, "supplier"), T(spark, sf, "nation"), T(spark, sf, "region")
     beds = (s.join(n, s["s_nationkey"] == n["n_nationkey"], "left").join(r, F.col("n_regionkey") == r["r_regionkey"], "left")
@@ -780,14 +787,19 @@ def _ed_mart(spark, sf, stg_m_path: str | None = None):
     return mart, stg_m
 
 
+ED_INPUTS = ("events", "supplier", "nation", "region")
+
+
 def _stored_ed_mart(spark, sf):
     """The visit mart and the staged movements as stored tables (Parquet in the
-    shared folder), as the dependent marts of the original read them.  Built by
-    every query that reads them, so none depends on another's run."""
-    mpath, spath = scratch_path(spark, "atendimentos_pa"), scratch_path(spark, "stg_movimentacoes")
-    mart, _ = _ed_mart(spark, sf, spath)
-    mart.write.parquet(mpath)
-    return spark.read.parquet(mpath), spark.read.parquet(spath)
+    shared folder), as the dependent marts of the original read them: whichever
+    query comes first builds them from the input files it finds."""
+    def build(folder: str) -> None:
+        mart, _ = _ed_mart(spark, sf, os.path.join(folder, "stg_movimentacoes"))
+        mart.write.parquet(os.path.join(folder, "atendimentos_pa"))
+
+    at = control.derived(spark, "ed", [f"{sf.rstrip('/')}/{t}.parquet" for t in ED_INPUTS], build)
+    return spark.read.parquet(os.path.join(at, "atendimentos_pa")), spark.read.parquet(os.path.join(at, "stg_movimentacoes"))
 
 
 def _period_ts(df: DataFrame) -> DataFrame:

@@ -35,6 +35,10 @@ ADMISSION_PII = ("PACIENTE", "CID_INT", "CD_PRESTADOR", "CD_LEITO")
 MOVEMENT_PII = ("NM_PACIENTE",)
 
 
+# the parser takes a fresh buffer for every line, of 2 MB if it isn't told
+LINE_OPTIONS = {"inputBufferSize": "4096"}
+
+
 # ---------------------------------------------------------------- file names
 
 def period_from_path(path: Column | str) -> Column:
@@ -97,16 +101,19 @@ def read_report(spark: SparkSession, path: str, columns: Sequence[str] | None =
     })
 
 
+def csv_cells(line: Column | str, n: int, sep: str = ",") -> Column:
+    """The first ``n`` cells of a text line as an array (missing ones NULL), parsed
+    once: fields taken from the parsed row one by one would each parse the line."""
+    row = F.from_csv(line, ", ".join(f"_c{i} string" for i in range(n)), {"sep": sep, **LINE_OPTIONS})
+    return F.get(F.transform(F.array(row), lambda r: F.array(*[r.getField(f"_c{i}") for i in range(n)])), 0)
+
+
 def split_cells(lines: DataFrame, ncols: int = 20, sep: str = ",") -> DataFrame:
     """``value`` → ``cells``, an array of ``ncols`` cells (missing ones NULL).  A
     line with more cells than ``ncols`` fails the job instead of losing them."""
-    fields = ", ".join(f"_c{i} string" for i in range(ncols + 1))
-    row = F.from_csv("value", fields, {"sep": sep})
-    too_long = F.raise_error(F.concat(F.lit(f"line of more than {ncols} cells in "), F.col("file")))
-    parsed = lines.withColumn("__r", row).withColumn("__r", F.when(F.col("__r").getField(f"_c{ncols}").isNull(), F.col("__r"))
-                                                     .otherwise(too_long))
-    return parsed.select("file", "blk", "pos",
-                         F.array(*[F.col("__r").getField(f"_c{i}") for i in range(ncols)]).alias("cells"))
+    too_long = F.raise_error(F.concat(F.lit(f"line of more than {ncols} cells in "), F.col("file"))).cast("array<string>")
+    parsed = lines.select("file", "blk", "pos", csv_cells("value", ncols + 1, sep).alias("cells"))
+    return parsed.withColumn("cells", F.when(F.get("cells", ncols).isNull(), F.slice("cells", 1, ncols)).otherwise(too_long))
 
 
 def read_cells(spark: SparkSession, path: str, ncols: int = 20, sep: str = ",") -> DataFrame:

@@ -7,26 +7,44 @@ every row to its dataset by file name, stamps the period from the name, and
 reloads exactly that period of the raw table (dynamic partition overwrite),
 so a re-delivered or corrected file replaces its period instead of
 duplicating it.
+
+What the batches know is kept in control tables under the sink, each batch
+writing its own folder, so a batch that is repeated after a failure changes
+nothing:
+
+* ``relatorios`` – every report seen (dataset, period, version, rows, refusal).  The
+  newest accepted report of a dataset and period, of all batches and streams, is
+  the one loaded; how files fall into batches does not matter.
+* ``cargas`` – rows read, stored and left out, by report and reason.
+* ``inicios`` – one claim per period that has become complete in all sources:
+  the transform starts once, whichever batch or stream completes the period.
 """
 
 from __future__ import annotations
 
+import hashlib
 import logging
 import os
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wardflow.session import materialize, scratch_path
-from wardflow.sources.reports import (ADMISSION_PII, MOVEMENT_PII, PERIOD, VISIT_PII, drop_pii, overwrite_period,
+from wardflow.sources import control
+from wardflow.sources.contracts import CONTRACTS, Contract, plain
+from wardflow.sources.reports import (ADMISSION_PII, MOVEMENT_PII, PERIOD, VISIT_PII, csv_cells, drop_pii, overwrite_period,
                                      period_from_path, read_or_empty, ready_periods, route_source, split_cells)
 
 COMPANY = "HSR"   # fixed value: the only company whose visits are loaded
+SOURCES = ("atendimentos", "internacoes", "movimentacoes")
 LOG = logging.getLogger("wardflow.ingest")
-
-
 ROW_ORDER = ("__path", "__blk", "__pos")   # file, split start, position in the split
+REPORTS = f"dataset string, {PERIOD} string, relatorio string, versao timestamp, linhas long, recusa string"
+LOADS = f"dataset string, {PERIOD} string, relatorio string, motivo string, linhas long"
 
 
 def _keep_first(df: DataFrame, key: str) -> DataFrame:
@@ -39,23 +57,25 @@ def _keep_first(df: DataFrame, key: str) -> DataFrame:
     return top1(df, [PERIOD, key], [c for c in ROW_ORDER if c in df.columns])
 
 
-def _visits_loader(df: DataFrame) -> DataFrame:
-    if "EMPRESA" in df.columns:
-        df = df.where(F.col("EMPRESA") == COMPANY)
-    df = _keep_first(df, "CD_ATENDIMENTO")
-    return drop_pii(df, VISIT_PII)
+@dataclass(frozen=True)
+class Loader:
+    """The load step of a dataset, applied before anything is stored: other
+    companies' rows and repeated ids go, and so do the personal columns."""
 
+    key: str
+    personal: tuple[str, ...]
+    company: str | None = None
 
-def _admissions_loader(df: DataFrame) -> DataFrame:
-    df = _keep_first(df, "ATENDIMENTO")
-    return drop_pii(df, ADMISSION_PII)
+    def own(self, df: DataFrame) -> DataFrame:
+        return df.where(F.col("EMPRESA") == self.company) if self.company and "EMPRESA" in df.columns else df
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return drop_pii(_keep_first(self.own(df), self.key), self.personal)
 
 
-# per-dataset load step, applied before anything is stored: company filter,
-# keep-first dedup in file order, and personal data never reaches raw tables
 DEFAULT_LOADERS = {
-    "atendimentos": _visits_loader,
-    "internacoes": _admissions_loader,
+    "atendimentos": Loader("CD_ATENDIMENTO", VISIT_PII, COMPANY),
+    "internacoes": Loader("ATENDIMENTO", ADMISSION_PII),
     "movimentacoes": lambda df: drop_pii(df, MOVEMENT_PII),
 }
 
@@ -84,55 +104,212 @@ def _reject(rejected: DataFrame, sink: str, epoch: int) -> None:
      .parquet(os.path.join(sink, "_rejeitados", f"lote={epoch}")))
 
 
-def _load_batch(sink: str, read_folders, loaders=None):
-    """``read_folders(spark, paths)`` reads whole report folders again."""
-    loaders = DEFAULT_LOADERS if loaders is None else loaders
+# ---------------------------------------------------------------- text reports
+
+def _headers(lines: DataFrame) -> DataFrame:
+    """(__path, names): the first line of each file, as column names."""
+    first = lines.where(F.col("__blk") == 0).groupBy("__path").agg(F.min_by("value", "__pos").alias("h"), F.min("__pos").alias("__first"))
+    return first.select("__path", "__first", plain(F.split("h", ",")).alias("names"))
+
+
+def _refusals(headers: DataFrame, contracts: dict[str, Contract]) -> DataFrame:
+    """(__path, recusa): why a file is refused, null if it may be loaded."""
+    dataset, problems = route_source("__path"), F.array().cast("array<string>")
+    for name, contract in contracts.items():
+        problems = F.when(dataset == name, contract.problems(F.col("names"))).otherwise(problems)
+    return headers.select("__path", F.nullif(F.array_join(problems, "; "), F.lit("")).alias("recusa"))
+
+
+MOST_COLUMNS = 128
+
+
+def _by_name(lines: DataFrame, headers: DataFrame, contract: Contract) -> DataFrame:
+    """The stored columns of tabular report lines, found by the names in each file's
+    header; columns that a file lacks are null."""
+    rows = lines.join(headers, "__path").where(F.col("__pos") != F.col("__first"))
+    rows = rows.withColumn("__cells", csv_cells("value", MOST_COLUMNS))
+    return rows.select(*[F.get("__cells", F.array_position("names", c).cast("int") - 1).alias(c) for c in contract.stored],
+                       PERIOD, *ROW_ORDER)
+
 
-    def run(batch: DataFrame, epoch: int) -> None:
+def _movements(lines: DataFrame) -> DataFrame:
+    from wardflow.plans.domain import movements_from_cells
+    return movements_from_cells(split_cells(lines.select(F.col("__path").alias("file"), F.col("__blk").alias("blk"),
+                                                         F.col("__pos").alias("pos"), "value")))
+
+
+# ---------------------------------------------------------------- one batch
+
+class Arrivals:
+    """The load of one micro-batch (``foreachBatch`` function).
+
+    ``read_folders(spark, paths)`` reads whole report folders again; ``loaders``
+    load rows of a table-shaped batch; with ``contracts`` the batch is lines of
+    text: headers are checked, and columns found by name (movements by position).
+    ``on_ready(spark, periods)`` starts the transform of periods now complete.
+    """
+
+    def __init__(self, sink: str, read_folders, writer: str, loaders: dict | None = None,
+                 contracts: dict[str, Contract] | None = None, on_ready: Callable | None = None):
+        self.sink, self.read_folders, self.writer = sink, read_folders, writer
+        self.loaders = DEFAULT_LOADERS if loaders is None else loaders
+        self.contracts, self.on_ready = contracts, on_ready
+
+    def __call__(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         routed = _routed(batch)
         # a part file that arrives late belongs to a report whose other files
         # were loaded before: the period is overwritten, so read the whole folder
         folders = [r[0] for r in routed.select("__folder").where("__folder IS NOT NULL").distinct().collect()]  # reports of the batch
         if folders:
-            routed = routed.where("__folder IS NULL").unionByName(_routed(read_folders(spark, folders)))
-        # as with one load per report, the newest report of a (dataset,
-        # period) wins.  Chosen by aggregates (one row per report, then per
-        # group) joined back, never a window over a period.
-        newest = (routed.groupBy("__dataset", PERIOD, "__report").agg(F.max("__mtime").alias("__mtime"))
-                        .groupBy("__dataset", PERIOD)
-                        .agg(F.max(F.struct("__mtime", "__report")).getField("__report").alias("__newest")))
-        routed = (routed.join(newest, ["__dataset", PERIOD], "left")
-                        .where(F.col("__newest").isNull() | (F.col("__report") == F.col("__newest")))
-                        .drop("__newest", "__mtime", "__report", "__folder"))
+            routed = routed.where("__folder IS NULL").unionByName(_routed(self.read_folders(spark, folders)))
+        routed = routed.drop("__folder")
+        headers = refused = None
+        if self.contracts is not None:  # two rows a file; stored, since the lines below are joined with them
+            headers = materialize(_headers(routed), "ingest-headers")
+            refused = _refusals(headers, self.contracts)
+        mine = control.record(self._reports(routed, refused), self.sink, "relatorios", self.writer, epoch)
+        # Chosen by aggregates over the reports (one row each) joined back, never a
+        # window over a period.
+        known = control.recorded(spark, self.sink, "relatorios", REPORTS).where("recusa IS NULL")
+        newest = (known.join(mine.select("dataset", PERIOD).distinct(), ["dataset", PERIOD], "left_semi")
+                       .groupBy("dataset", PERIOD).agg(F.max_by("relatorio", F.struct("versao", "relatorio")).alias("__newest")))
+        newest = materialize(newest, "ingest-newest").select(F.col("dataset").alias("__dataset"), PERIOD, "__newest")
+        chosen = F.col("__report") == F.col("__newest")
+        to = F.when(F.col("__dataset").isNull() | F.col(PERIOD).isNull(), "rejeitar").when(chosen, F.col("__dataset"))
         # one pass over the files; the loads then read their own partition
         path = scratch_path(spark, "ingest")
-        (routed.withColumn("__to", F.when(F.col(PERIOD).isNotNull(), F.col("__dataset")))
-               .write.partitionBy("__to").parquet(path))
-        stored = spark.read.schema(T.StructType([*routed.schema.fields, T.StructField("__to", T.StringType())])).parquet(path)
-        for name in ("atendimentos", "internacoes", "movimentacoes"):
+        (routed.join(newest, ["__dataset", PERIOD], "left").withColumn("__to", to).where("__to IS NOT NULL")
+               .drop("__newest", "__mtime").write.partitionBy("__to").parquet(path))
+        kept = [T.StructField(f.name, f.dataType) for f in routed.schema.fields if f.name != "__mtime"]
+        stored = spark.read.schema(T.StructType([*kept, T.StructField("__to", T.StringType())])).parquet(path)
+        counts = [self._left_out(mine, newest)]
+        for name in SOURCES:
             part = stored.where(F.col("__to") == name).drop("__to")
-            if part.isEmpty():
-                continue
-            # row-loss metric: rows before and after the load step,
-            # collected by the write itself (no extra pass)
-            before, after = Observation(f"{name}_in_{epoch}"), Observation(f"{name}_out_{epoch}")
-            part = part.observe(before, F.count(F.lit(1)).alias("linhas"))
-            load = loaders.get(name)
-            part = (load(part) if load else part).drop("__dataset", *ROW_ORDER)
-            part = part.observe(after, F.count(F.lit(1)).alias("linhas"))
-            overwrite_period(part, os.path.join(sink, name))
-            LOG.info("%s lote %s: %s linhas lidas, %s gravadas", name, epoch,
-                     before.get.get("linhas"), after.get.get("linhas"))
-        rejected = stored.where(F.col("__to").isNull())
+            if not part.isEmpty():
+                counts += self._load(name, part, headers)
+        audit = control.record(reduce(DataFrame.unionByName, counts), self.sink, "cargas", self.writer, epoch)
+        for r in audit.groupBy("dataset", "motivo").agg(F.sum("linhas").alias("n")).collect():  # some dozen rows
+            LOG.info("%s lote %s: %s %s", r.dataset, epoch, r.n, r.motivo)
+        rejected = stored.where(F.col("__to") == "rejeitar")
         if not rejected.isEmpty():
-            _reject(rejected, sink, epoch)
-    return run
+            _reject(rejected, self.sink, epoch)
+        self._start(spark, mine, epoch)
+
+    def _reports(self, routed: DataFrame, refused: DataFrame | None) -> DataFrame:
+        """A row per report of the batch, in the form of REPORTS."""
+        files = routed.groupBy("__dataset", PERIOD, "__report", "__path").agg(F.max("__mtime").alias("m"), F.count(F.lit(1)).alias("n"))
+        files = files.join(refused, "__path", "left") if refused is not None else files.withColumn("recusa", F.lit(None).cast("string"))
+        got = files.groupBy("__dataset", PERIOD, "__report").agg(F.max("m").cast("timestamp").alias("versao"), F.sum("n").alias("linhas"),
+                                                                 F.array_join(F.array_sort(F.collect_set("recusa")), "; ").alias("recusa"))
+        return got.select(F.col("__dataset").alias("dataset"), PERIOD, F.col("__report").alias("relatorio"), "versao", "linhas",
+                          F.nullif("recusa", F.lit("")).alias("recusa"))
+
+    def _left_out(self, mine: DataFrame, newest: DataFrame) -> DataFrame:
+        """Reports that are not loaded, with the reason, as in LOADS; and the rows read of all."""
+        known = mine.join(newest.withColumnRenamed("__dataset", "dataset"), ["dataset", PERIOD], "left")
+        reason = (F.when(F.col("dataset").isNull(), "sem_destino").when(F.col(PERIOD).isNull(), "sem_competencia")
+                  .when(F.col("recusa").isNotNull(), "recusado").when(F.col("relatorio") != F.col("__newest"), "substituido"))
+        out = known.select("dataset", PERIOD, "relatorio", reason.alias("motivo"), "linhas").where("motivo IS NOT NULL")
+        return out.unionByName(mine.select("dataset", PERIOD, "relatorio", F.lit("lidas").alias("motivo"), "linhas"))
+
+    def _load(self, name: str, part: DataFrame, headers: DataFrame | None) -> list[DataFrame]:
+        """Store the newest reports of a dataset; their counts, as in LOADS."""
+        load = self.loaders.get(name)
+        read = part.groupBy(PERIOD).agg(F.first("__report").alias("relatorio"), F.count(F.lit(1)).alias("linhas"))
+        lines = part.drop("__dataset", "__report")
+        if self.contracts is None:
+            rows = lines
+        elif name in self.contracts:
+            rows = materialize(_by_name(lines, headers, self.contracts[name]), f"ingest-{name}")
+        else:
+            rows = materialize(_movements(lines), "movements")
+        counts = {"outra_empresa": None, "gravadas": None}
+        target = os.path.join(self.sink, name)
+        kept = (load(rows) if load else rows).drop(*ROW_ORDER)
+        overwrite_period(kept, target)
+        # the periods just stored hold the rows of these reports and no others
+        back = kept.sparkSession.read.parquet(target).withColumn(PERIOD, F.col(PERIOD).cast("string"))
+        counts["gravadas"] = back.join(read.select(PERIOD), PERIOD, "left_semi").groupBy(PERIOD).agg(F.count(F.lit(1)).alias("n"))
+        if isinstance(load, Loader):
+            data = rows.groupBy(PERIOD).agg(F.count(F.lit(1)).alias("n"))
+            own = load.own(rows).groupBy(PERIOD).agg(F.count(F.lit(1)).alias("m"))
+            counts["outra_empresa"] = data.join(own, PERIOD, "left").select(PERIOD, (F.col("n") - F.coalesce("m", F.lit(0))).alias("n"))
+        joined = read
+        for reason, frame in counts.items():
+            joined = (joined.join(frame.withColumnRenamed("n", reason), PERIOD, "left") if frame is not None
+                      else joined.withColumn(reason, F.lit(0).cast("long")))
+        rest = F.col("linhas") - F.coalesce("outra_empresa", F.lit(0)) - F.coalesce("gravadas", F.lit(0))
+        if self.contracts is not None and name in self.contracts:
+            joined = joined.join(headers.join(part.select("__path", PERIOD).distinct(), "__path").groupBy(PERIOD).agg(F.count(F.lit(1)).alias("cabecalho")),
+                                 PERIOD, "left")
+            rest = rest - F.col("cabecalho")
+        else:
+            joined = joined.withColumn("cabecalho", F.lit(0).cast("long"))
+        positional = self.contracts is not None and name not in self.contracts
+        joined = joined.withColumn("sem_dados" if positional else "repetidas", rest)
+        reasons = ["gravadas", "outra_empresa", "cabecalho", "sem_dados" if positional else "repetidas"]
+        pairs = F.explode(F.array(*[F.struct(F.lit(r).alias("motivo"), F.coalesce(F.col(r), F.lit(0)).cast("long").alias("linhas")) for r in reasons]))
+        out = joined.select(PERIOD, "relatorio", pairs.alias("p")).select(F.lit(name).alias("dataset"), PERIOD, "relatorio", "p.motivo", "p.linhas")
+        return [out.where("linhas > 0")]
+
+    def _start(self, spark: SparkSession, mine: DataFrame, epoch: int) -> None:
+        """Claim the periods of this batch that all sources now have, and start those won.
+        A batch repeated after a failure owns its claims and starts what it did not end."""
+        touched = mine.where(f"recusa IS NULL AND dataset IS NOT NULL AND {PERIOD} IS NOT NULL").select(PERIOD).distinct()
+        raw = {n: read_or_empty(spark, os.path.join(self.sink, n), f"{PERIOD} string").join(touched, PERIOD, "left_semi") for n in SOURCES}
+        ready = [r[0] for r in ready_periods(raw, PERIOD).where("pronto = 1").select(PERIOD).orderBy(PERIOD).collect()]  # periods of a batch
+        owner, ended = f"{self.writer} {epoch}", control.control_path(self.sink, "terminos")
+        won = [p for p in ready if control.claim(spark, os.path.join(starts_path(self.sink), p), owner)
+               and not control.exists(spark, os.path.join(ended, p))]
+        if won and self.on_ready:
+            self.on_ready(spark, won)
+        for p in won:
+            control.claim(spark, os.path.join(ended, p), owner)
+
+
+def starts_path(sink: str) -> str:
+    return control.control_path(sink, "inicios")
+
+
+def starts(spark: SparkSession, sink: str) -> DataFrame:
+    """(competencia, escritor, lote): the batch that started each period's transform."""
+    held = control.claims(spark, starts_path(sink))
+    return held.select(F.element_at(F.split("path", "/"), -1).alias(PERIOD), F.split_part("owner", F.lit(" "), F.lit(1)).alias(control.WRITER),
+                       F.split_part("owner", F.lit(" "), F.lit(2)).cast("long").alias(control.EPOCH))
+
+
+def load_audit(spark: SparkSession, sink: str) -> DataFrame:
+    """Rows by report and reason, of all batches; ``lidas`` is the sum of the other reasons."""
+    return control.recorded(spark, sink, "cargas", LOADS)
+
+
+def report_versions(spark: SparkSession, sink: str) -> DataFrame:
+    """Every report seen, with its refusal, and whether it is the one now loaded."""
+    seen = (control.recorded(spark, sink, "relatorios", REPORTS).groupBy("dataset", PERIOD, "relatorio")
+            .agg(F.max(F.struct("versao", control.EPOCH, "linhas", "recusa")).alias("last")).select("dataset", PERIOD, "relatorio", "last.*"))
+    newest = seen.where("recusa IS NULL").groupBy("dataset", PERIOD).agg(F.max_by("relatorio", F.struct("versao", "relatorio")).alias("n"))
+    both = seen.join(newest, ["dataset", PERIOD], "left")
+    return both.select("dataset", PERIOD, "relatorio", "versao", "linhas", "recusa",
+                       F.coalesce(F.col("relatorio") == F.col("n"), F.lit(False)).alias("vigente"))
+
+
+# ---------------------------------------------------------------- streams
+
+def _writer(checkpoint: str) -> str:
+    """One name for all runs of a stream."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
+
+
+def _run(stream: DataFrame, load: Arrivals, checkpoint: str) -> None:
+    q = (stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
 
 
 def ingest_available(spark: SparkSession, landing: str, sink: str, checkpoint: str,
                      schema: T.StructType, fmt: str = "parquet", options: dict | None = None,
-                     loaders: dict | None = None) -> None:
+                     loaders: dict | None = None, on_ready: Callable | None = None) -> None:
     """Process every file that arrived since the last run, then stop.
     ``options`` go to the file reader (e.g. ``{"header": "true"}`` and a
     ``pathGlobFilter`` for CSV reports read with an all-string schema);
@@ -144,46 +321,36 @@ def ingest_available(spark: SparkSession, landing: str, sink: str, checkpoint: s
         return _with_file(session.read.format(fmt).schema(schema).options(**opts).load(folders))
 
     stream = _with_file(spark.readStream.format(fmt).schema(schema).options(**opts).load(landing))
-    q = (stream.writeStream.foreachBatch(_load_batch(sink, read_folders, loaders))
-         .option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    _run(stream, Arrivals(sink, read_folders, _writer(checkpoint), loaders, on_ready=on_ready), checkpoint)
 
 
-def _load_movement_reports(sink: str, ncols: int):
-    def run(batch: DataFrame, epoch: int) -> None:
-        from wardflow.plans.domain import movements_from_cells
-        # row order inside each file: split start, then position in the split
-        # (the batch is still the plain file scan, so the ids follow the file)
-        lines = batch.select(F.col("__path").alias("file"), F.col("__blk").alias("blk"),
-                             F.monotonically_increasing_id().alias("pos"), "value")
-        rows = materialize(movements_from_cells(split_cells(lines, ncols), keep_file=True), "movements")
-        if not rows.isEmpty():
-            dated = F.col(PERIOD).isNotNull()
-            overwrite_period(rows.where(dated).drop("file"), os.path.join(sink, "movimentacoes"))
-            undated = rows.where(~dated)
-            if not undated.isEmpty():
-                _reject(undated.withColumnRenamed("file", "__path"), sink, epoch)
-    return run
+def text_arrivals(sink: str, checkpoint: str, contracts: dict[str, Contract] = CONTRACTS,
+                  loaders: dict | None = None, on_ready: Callable | None = None) -> Arrivals:
+    """The batch function of ``ingest_reports``."""
+    return Arrivals(sink, lambda s, folders: _with_file(s.read.option("recursiveFileLookup", "true").text(folders)),
+                    _writer(checkpoint), loaders, contracts, on_ready)
+
+
+def ingest_reports(spark: SparkSession, landing: str, sink: str, checkpoint: str, glob: str | None = None,
+                   contracts: dict[str, Contract] = CONTRACTS, loaders: dict | None = None,
+                   on_ready: Callable | None = None) -> None:
+    """All reports that arrived as text since the last run.  Tabular ones (comma
+    separated, a header in each file) are held against their contract and their
+    columns found by name; movement reports are positional, with unit and date
+    headers carried down per file (block-parallel) and layouts normalised.  Reports
+    that break their contract are listed with the reasons and load nothing; files
+    without a period or dataset in their name are listed under ``_rejeitados``."""
+    options = {"recursiveFileLookup": "true", **({"pathGlobFilter": glob} if glob else {})}
+    stream = _with_file(spark.readStream.format("text").options(**options).load(landing))
+    _run(stream, text_arrivals(sink, checkpoint, contracts, loaders, on_ready), checkpoint)
 
 
 def ingest_movement_reports(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                            glob: str = "movimentacoes_*", ncols: int = 20) -> None:
-    """Headerless positional movement reports arriving as text files: cells
-    by position, unit/date headers carried down per file (block-parallel),
-    layouts normalised, the patient name dropped, the period overwritten.
-    Lines have ``ncols`` cells at most; files without a period in their name
-    are listed under ``_rejeitados``."""
-    stream = (spark.readStream.format("text").option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", glob).load(landing)
-              .select("value", F.col("_metadata.file_path").alias("__path"),
-                      F.col("_metadata.file_block_start").alias("__blk")))
-    q = (stream.writeStream.foreachBatch(_load_movement_reports(sink, ncols))
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
+                            glob: str = "movimentacoes_*") -> None:
+    """``ingest_reports`` of the movement reports alone."""
+    ingest_reports(spark, landing, sink, checkpoint, glob)
 
 
-def ready_from_raw(spark: SparkSession, sink: str,
-                   names: tuple[str, ...] = ("atendimentos", "internacoes", "movimentacoes")) -> DataFrame:
+def ready_from_raw(spark: SparkSession, sink: str, names: tuple[str, ...] = SOURCES) -> DataFrame:
     """Completeness gate on the raw tables: periods present in all sources."""
     return ready_periods({n: read_or_empty(spark, os.path.join(sink, n), f"{PERIOD} string") for n in names}, PERIOD)
