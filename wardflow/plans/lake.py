@@ -2,7 +2,7 @@
 several runs, and the review round trip with what it changes.
 
 The reports are those of ``bindings.ed_raw_tables``; a report's period follows from
-the events' days, ten days being a period, so returns and links cross periods.
+the events' days, eight days being a period, so returns and links cross periods.
 """
 
 from __future__ import annotations
@@ -20,9 +20,9 @@ from wardflow.streaming import ingest
 
 
 def period_of(ts: str) -> Column:
-    """Ten days a period: days 1 to 10 of a year's first month are its 01, and so on."""
-    tenth = F.floor((F.dayofmonth(ts) - 1) / 10) + 1
-    return F.concat(F.date_format(ts, "yyyy-"), F.lpad(tenth.cast("string"), 2, "0"))
+    """Eight days a period: days 1 to 8 are 01, days 9 to 16 are 02, and so on."""
+    part = F.floor((F.dayofmonth(ts) - 1) / 8) + 1
+    return F.concat(F.date_format(ts, "yyyy-"), F.lpad(part.cast("string"), 2, "0"))
 
 
 PERIODS = ("2024-01", "2024-02", "2024-03", "2024-04")
@@ -123,7 +123,7 @@ def load_audit(spark, sf):
     versions = ingest.report_versions(spark, sink).select("relatorio", "vigente", "recusa")
     # lines of movement reports depend on how many files they were cut into
     audit = ingest.load_audit(spark, sink).where("motivo IN ('gravadas', 'outra_empresa') OR dataset <> 'movimentacoes' AND motivo NOT IN ('lidas', 'cabecalho') "
-                                                 "OR dataset IS NULL")
+                                                 "OR dataset IS NULL AND motivo <> 'lidas'")
     kept = audit.where("motivo NOT IN ('recusado', 'substituido', 'sem_competencia', 'sem_destino')")
     lost = audit.where("motivo IN ('recusado', 'substituido', 'sem_competencia', 'sem_destino')").withColumn("linhas", F.lit(-1).cast("long"))
     return kept.unionByName(lost).join(versions, "relatorio").select(name, "motivo", "linhas", "vigente", F.coalesce("recusa", F.lit("")).alias("recusa"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 #: The rendered reports by period; visits are those of the company, each once.
 LAKE = """
 e AS (SELECT *, CAST(floor(value / 5) AS BIGINT) - 2 AS idade,
-        strftime(ts, '%Y-') || lpad(CAST((day(ts) - 1) // 10 + 1 AS VARCHAR), 2, '0') AS competencia FROM events),
+        strftime(ts, '%Y-') || lpad(CAST((day(ts) - 1) // 8 + 1 AS VARCHAR), 2, '0') AS competencia FROM events),
 a AS (SELECT * FROM e WHERE event_type <> 'purchase'),
 i AS (SELECT * FROM e WHERE event_type = 'purchase'),
 m AS (SELECT event_id, 'L' || CAST(CAST(floor(value / 7) AS BIGINT) AS VARCHAR) AS destino, strftime(ts + INTERVAL 30 MINUTE, '%H:%M:%S') AS hora, competencia FROM i
