@@ -195,3 +195,23 @@ def route_decisions(decisions: DataFrame, targets: Mapping[str, str] = DECISION_
     """Decision rows split by destination table (views of one tagged pass)."""
     tagged = tag_decisions(decisions, targets)
     return {t: tagged.where(F.col("destino") == t) for t in [*dict.fromkeys(targets.values()), REJECTED]}
+
+
+# ---------------------------------------------------------------- what decisions amount to
+
+def curation_state(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per visit that any decision concerns: the wide corrections, the
+    prevailing flag, and the latest conversion decision (``decisao``)."""
+    wide = corrections_wide(tables["curadoria_inconsistencias"], tables["curadoria_imputacao_integridade"], tables["curadoria_decisao_logica"])
+    conv = (tables["curadoria_conversao"].groupBy(safe_long("CD_ATENDIMENTO").alias("__id"))
+            .agg(F.max_by("decisao", F.struct("decidido_em", "decisao")).alias("decisao")))
+    both = wide.join(conv, wide["nr_atendimento"] == conv["__id"], "full")
+    return both.select(F.coalesce("nr_atendimento", "__id").alias("nr_atendimento"), *[c for c in wide.columns if c != "nr_atendimento"], "decisao")
+
+
+def changed_visits(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(id) of the visits whose row differs between two ``curation_state`` tables."""
+    facts = [c for c in new.columns if c != "nr_atendimento"]
+    was = old.select(F.col("nr_atendimento").alias("__id"), F.struct(*facts).alias("__was"))
+    both = new.select("nr_atendimento", F.struct(*facts).alias("__is")).join(was, F.col("nr_atendimento") == F.col("__id"), "full")
+    return both.where(~F.col("__was").eqNullSafe(F.col("__is"))).select(F.coalesce("nr_atendimento", "__id").alias("id")).where("id IS NOT NULL")

@@ -365,37 +365,138 @@ def transform_ready_periods(spark, root: str, beds: DataFrame, cid_seed: DataFra
     ready = (reports.ready_periods({n: df.select("competencia") for n, df in raw.items()}, "competencia")
              .where(F.col("pronto") == 1).select("competencia"))
     sel = {n: df.join(ready, "competencia", "left_semi") for n, df in raw.items()}
-    out = {}
-
-    def store(df: DataFrame, layer: str, name: str, period: str = "competencia", cluster=()) -> DataFrame:
-        path = reports.layer_path(root, layer, name)
-        reports.write_mart(df, path, partition=period, cluster_by=cluster)
-        out[name] = path
-        return spark.read.parquet(path)
-
-    stg_v = store(stage_visits(sel["atendimentos"]), "staging", "stg_atendimentos")
-    stg_a = store(stage_admissions(sel["internacoes"]), "staging", "stg_internacoes")
-    stg_m = store(stage_movements(sel["movimentacoes"]), "staging", "stg_movimentacoes", period="COMPETENCIA")
+    out: dict = {}
+    stg_v = _store(spark, root, out, stage_visits(sel["atendimentos"]), "staging", "stg_atendimentos")
+    stg_a = _store(spark, root, out, stage_admissions(sel["internacoes"]), "staging", "stg_internacoes")
+    stg_m = _store(spark, root, out, stage_movements(sel["movimentacoes"]), "staging", "stg_movimentacoes", period="COMPETENCIA")
     cur = reports.read_curation(spark, root)
-    corrections = curation.corrections_wide(cur["curadoria_inconsistencias"],
-                                            cur["curadoria_imputacao_integridade"],
-                                            cur["curadoria_decisao_logica"])
-    mart = build_visit_mart(stg_v, stg_a, stg_m, beds, corrections=corrections,
+    state = materialize(curation.curation_state(cur), "curation-state")
+    mart = build_visit_mart(stg_v, stg_a, stg_m, beds, corrections=state.drop("decisao"),
                             curated=cur["curadoria_conversao"], cid_seed=cid_seed)
-    mart = store(mart, "marts", "atendimentos_pa", cluster=("SERVICO", "CONVENIO", "COR_CLASSIF"))
-    pct = store(percentiles_mart(mart, percentile_method), "marts", "percentis_jornada")
-    store(volumes_mart(mart), "marts", "volume_jornada")
-    rank = store(ranking_mart(mart), "marts", "ranking_especialidades")
+    mart = _store(spark, root, out, mart, "marts", "atendimentos_pa", cluster=MART_CLUSTER)
+    _dependents(spark, root, out, mart, mart, stg_v, stg_a, stg_m, cur, detected_at, percentile_method)
+    _applied(state, root)
+    out["ready"] = ready
+    return out
+
+
+MART_CLUSTER = ("SERVICO", "CONVENIO", "COR_CLASSIF")
+
+
+def _store(spark, root: str, out: dict, df: DataFrame, layer: str, name: str, period: str = "competencia", cluster=()) -> DataFrame:
+    from wardflow.sources import reports
+    path = reports.layer_path(root, layer, name)
+    reports.write_mart(df, path, partition=period, cluster_by=cluster)
+    out[name] = path
+    return spark.read.parquet(path)
+
+
+def _dependents(spark, root: str, out: dict, mart: DataFrame, rebuilt: DataFrame, stg_v: DataFrame, stg_a: DataFrame,
+                stg_m: DataFrame, cur: dict, detected_at: str, percentile_method: str) -> None:
+    """What is made from the stored visit mart: by-period marts of the ``rebuilt``
+    periods, percentiles and rule counts of all, and new cases for the register."""
+    from wardflow.sources import reports
+    pct = _store(spark, root, out, percentiles_mart(mart, percentile_method), "marts", "percentis_jornada")
+    _store(spark, root, out, volumes_mart(rebuilt), "marts", "volume_jornada")
+    _store(spark, root, out, ranking_mart(rebuilt), "marts", "ranking_especialidades")
+    _store(spark, root, out, calendar_mart(rebuilt), "marts", "dim_competencia")
+    rank = spark.read.parquet(out["ranking_especialidades"])
     counts = quality.count_violations({"stg_atendimentos": stg_v, "stg_internacoes": stg_a, "stg_movimentacoes": stg_m, "atendimentos_pa": mart,
                                        "ranking_especialidades": rank, "percentis_jornada": pct}, declared_rules())
     out["regras"] = reports.layer_path(root, "qualidade", "regras")
     counts.write.mode("overwrite").parquet(out["regras"])
-    store(calendar_mart(mart), "marts", "dim_competencia")
-    violations = run_mart_rules(mart).unionByName(movement_rule(stg_m))
-    batch = register_batch(mart, violations, detected_at)
+    violations = run_mart_rules(rebuilt).unionByName(movement_rule(stg_m))
+    batch = register_batch(rebuilt, violations, detected_at)
     reg_path = reports.layer_path(root, "curadoria", "curadoria_inconsistencias")
-    new = curation.register_new(batch, cur["curadoria_inconsistencias"])
-    reports.append_records(new, reg_path)
+    new = materialize(curation.register_new(batch, cur["curadoria_inconsistencias"]), "register-new")
+    # by period, so that a decision rewrites the period of its case and no other
+    new.hint("rebalance", "competencia").write.mode("append").partitionBy("competencia").parquet(reg_path)
     out["curadoria_inconsistencias"] = reg_path
-    out["ready"] = ready
-    return out
+
+
+# ----------------------------------------------------------------- after decisions
+
+def _state_path(root: str) -> str:
+    from wardflow.sources import reports
+    return reports.layer_path(root, "curadoria_aplicada", "estado")
+
+
+def _applied(state: DataFrame, root: str) -> None:
+    """Note the decisions that the stored marts hold (after the marts, so a job that
+    broke off before it applies them again)."""
+    state.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(_state_path(root))
+
+
+#: Days within which one visit can change another's flags: returns of 48 hours
+#: (two days), the best visit of an admission (one).
+REACH_DAYS = 2
+
+
+def _placed(stg_visits: DataFrame, state: DataFrame) -> DataFrame:
+    """(id, patient, day, competencia) of visits with their corrections."""
+    narrow = stg_visits.select("CD_ATENDIMENTO", "CD_PACIENTE", "DT_ATENDIMENTO", "competencia")
+    fixed = curation.apply_corrections(narrow, state, id_col="CD_ATENDIMENTO")
+    return fixed.select(F.col("CD_ATENDIMENTO").alias("id"), F.col("CD_PACIENTE").alias("patient"), F.col("DT_ATENDIMENTO").alias("day"), "competencia")
+
+
+def _around(placed: DataFrame, before: int = REACH_DAYS, after: int = REACH_DAYS) -> DataFrame:
+    """Distinct (patient, day) within reach of some visits."""
+    days = F.explode(F.sequence(F.date_sub("day", before), F.date_add("day", after)))
+    return placed.select("patient", "day").distinct().where("patient IS NOT NULL AND day IS NOT NULL").select("patient", days.alias("day")).distinct()
+
+
+def touched_periods(stg_visits: DataFrame, old: DataFrame, new: DataFrame, ids: DataFrame) -> DataFrame:
+    """Periods whose mart rows can differ: of the visits ``ids`` (id) whose decisions
+    changed, and of visits of the same patient within reach of them, before and after."""
+    changed = stg_visits.join(ids, stg_visits["CD_ATENDIMENTO"] == ids["id"], "left_semi")
+    places = _around(_placed(changed, old).union(_placed(changed, new)))
+    every = _placed(stg_visits, new)
+    reached = every.join(places, ["patient", "day"], "left_semi").select("id").union(ids.select("id")).distinct()
+    return every.join(reached, "id", "left_semi").select("competencia").distinct()
+
+
+def rebuild_inputs(stg_visits: DataFrame, stg_adm: DataFrame, stg_mov: DataFrame, state: DataFrame,
+                   periods: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The staged rows that the mart rows of ``periods`` follow from: their visits, rows of
+    the same ids, visits of their patients within reach, and the admissions of all
+    these with their movements."""
+    every = _placed(stg_visits, state)
+    own = every.join(every.join(periods, "competencia", "left_semi").select("id").distinct(), "id", "left_semi")
+    places = materialize(_around(own), "rebuild-places")
+    chosen = own.unionByName(every.join(places, ["patient", "day"], "left_semi"))
+    chosen = materialize(chosen.distinct(), "rebuild-visits")
+    keys = chosen.select(F.col("id").alias("CD_ATENDIMENTO"), "competencia").distinct()
+    visits = stg_visits.join(keys, ["CD_ATENDIMENTO", "competencia"], "left_semi")
+    days = _around(chosen, 0, 1)
+    admissions = stg_adm.join(days, (stg_adm["COD_PACIENTE"] == days["patient"]) & (F.to_date(stg_adm["DT_HR_ATENDIMENTO"]) == days["day"]), "left_semi")
+    return visits, admissions, stg_mov.join(admissions.select("ATENDIMENTO").distinct(), "ATENDIMENTO", "left_semi")
+
+
+def refresh_after_decisions(spark, root: str, beds: DataFrame, cid_seed: DataFrame | None = None,
+                            detected_at: str = "1970-01-01 00:00:00", percentile_method: str = "approx") -> DataFrame:
+    """Bring the stored marts up to the stored decisions; returns the periods rebuilt.
+
+    What changed is the difference between the decisions the marts were built with
+    and those stored now, so it does not matter how often or when decisions were
+    stored.  Only ``touched_periods`` are rebuilt (dynamic partition overwrite); the
+    result is that of a full rebuild.
+    """
+    from wardflow.sources import reports
+    cur = reports.read_curation(spark, root)
+    state = materialize(curation.curation_state(cur), "curation-state")
+    old = reports.read_or_empty(spark, _state_path(root), state.schema)
+    ids = materialize(curation.changed_visits(old, state), "changed-visits")
+    stg_v, stg_a, stg_m = (spark.read.parquet(reports.layer_path(root, "staging", f"stg_{n}")) for n in ("atendimentos", "internacoes", "movimentacoes"))
+    periods = materialize(touched_periods(stg_v, old, state, ids), "touched-periods")
+    if periods.isEmpty():
+        return periods
+    out: dict = {}
+    visits, admissions, movements = rebuild_inputs(stg_v, stg_a, stg_m, state, periods)
+    part = build_visit_mart(visits, admissions, movements, beds, corrections=state.drop("decisao"),
+                            curated=cur["curadoria_conversao"], cid_seed=cid_seed)
+    # read to its end before the partitions it replaces are written
+    part = materialize(part.join(periods, "competencia", "left_semi"), "rebuilt-mart")
+    mart = _store(spark, root, out, part, "marts", "atendimentos_pa", cluster=MART_CLUSTER)
+    _dependents(spark, root, out, mart, mart.join(periods, "competencia", "left_semi"), stg_v, stg_a, stg_m, cur, detected_at, percentile_method)
+    _applied(state, root)
+    return periods

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.operators import layouts
-from wardflow.plans.bindings import ED_INPUTS, ed_raw_tables
+from wardflow.plans import domain, review
+from wardflow.plans.bindings import DETECTED_AT, ED_INPUTS, ED_MART_COLS, ed_raw_tables
 from wardflow.session import materialize
 from wardflow.sources import control, reports
 from wardflow.streaming import ingest
@@ -143,4 +144,106 @@ def arrivals_raw(spark, sf):
     return out
 
 
-QUERIES = {f.__name__: f for f in (gate_starts, load_audit, arrivals_raw)}
+# ----------------------------------------------------------------- review
+
+def _second(c: str) -> Column:
+    """Second of the day, which the bindings' reviewers decide by."""
+    return F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+
+
+def _reviews(root: str, spark) -> DataFrame:
+    """A decision on every pending case, derived from its visit's arrival: each of the
+    19 fields, both flags, both conversion decisions, and some that are rejected."""
+    register = reports.read_curation(spark, root)["curadoria_inconsistencias"].where("status = 'pendente'")
+    visits = spark.read.parquet(reports.layer_path(root, "staging", "stg_atendimentos")).select(
+        F.col("CD_ATENDIMENTO").alias("v"), F.col("CD_PACIENTE").alias("p"), F.col("DT_HR_TOTEM_RECEP").alias("t"), F.col("DT_ATENDIMENTO").alias("d"))
+    cases = register.join(visits, register["nr_atendimento"] == visits["v"]).withColumn("k", _second("t"))
+
+    def later(minutes: int) -> Column:
+        return F.date_format(F.col("t") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(minutes), F.lit(0)), "dd/MM/yyyy HH:mm:ss")
+    values = {
+        "CD_PACIENTE": (F.col("p") + 1).cast("string"), "IDADE": F.when(F.col("k") % 2 == 0, "33").otherwise("abc"), "SEXO": F.lit("X"),
+        "CEP": F.lit("01000"), "CIDADE": F.lit("OUTRA"), "UF": F.lit("RJ"), "CONVENIO": F.lit("CORRIGIDO"), "SERVICO": F.lit("CARDIOLOGIA"),
+        "COR_CLASSIF": F.lit("VERDE"), "PRESTADOR": F.lit("DR C"), "ESPECIALIDADE": F.lit("GERAL"), "CID": F.lit("view - DESCRICAO"),
+        "MOTIVO_ALTA": F.lit("EVASAO"), "DT_ATENDIMENTO": F.date_add("d", 1).cast("string"), "DT_HR_TOTEM_RECEP": later(-3),
+        "DT_HR_CLASSIF_RISCO": later(9), "INI_ATD_MEDICO": later(31), "FIM_ATD_MEDICO": later(44), "DT_HR_ALTA": later(200)}
+    field = F.get(F.array(*[F.lit(f) for f in values]), (F.col("k") % len(values)).cast("int"))
+    value = F.get(F.array(*values.values()), (F.col("k") % len(values)).cast("int"))
+    conversion = F.col("tipo") == "conversao"
+    return cases.select(
+        F.sha2(F.concat(F.lit("d|"), "id_inconsistencia"), 256).alias("id_decisao"), "id_inconsistencia", "tipo",
+        F.when(F.col("k") % 23 == 0, " ").otherwise("ana").alias("decidido_por"),
+        (F.lit("2026-01-02 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("k"))).cast("timestamp").alias("decidido_em"),
+        field.alias("campo_afetado"), F.lit("?").alias("valor_original"), value.alias("valor_imputado"),
+        F.when(F.col("k") % 2 == 0, "conversao").otherwise("evasao").alias("flag_prevalece"), F.lit("revisto").alias("justificativa"),
+        F.when(conversion, F.get(F.array(*[F.lit(x) for x in ("confirmado", "descartado", "talvez")]), (F.col("k") % 3).cast("int"))).alias("decisao"),
+        F.when(conversion, F.col("nr_atendimento").cast("string")).alias("atend_internacao"), F.lit("L1").alias("leito"),
+        F.lit("U1").alias("unidade"), F.lit("UTI").alias("tipo_leito"))
+
+
+def review_round(spark, sf, root: str, refresh: bool = True) -> None:
+    """Raw reports of several periods under ``root``, the transform job, decisions on
+    its cases stored twice, and the marts brought up to them: in the touched
+    periods, or (``refresh`` False) by the whole job again."""
+    visits, admissions, movements, beds, cid = ed_raw_tables(spark, sf, period_of("ts"))
+    for name, raw in (("atendimentos", visits), ("internacoes", admissions), ("movimentacoes", movements)):
+        reports.write_raw(raw, reports.layer_path(root, "raw", name))
+    domain.transform_ready_periods(spark, root, beds, cid, detected_at=DETECTED_AT)
+    decisions = materialize(_reviews(root, spark), "reviews")
+    review.store_decisions(spark, root, decisions)
+    again = review.store_decisions(spark, root, decisions)
+    if not all(rows.isEmpty() for rows in again.values()):
+        raise AssertionError("the same decisions changed something")
+    if refresh:
+        domain.refresh_after_decisions(spark, root, beds, cid, detected_at=REVIEWED_AT)
+    else:
+        domain.transform_ready_periods(spark, root, beds, cid, detected_at=REVIEWED_AT)
+
+
+REVIEWED_AT = "2026-01-03 00:00:00"   # fixed detection time of the run after the decisions
+
+
+def _reviewed(spark, sf) -> str:
+    inputs = [f"{sf.rstrip('/')}/{t}.parquet" for t in ED_INPUTS]
+    return control.derived(spark, "review", inputs, lambda folder: review_round(spark, sf, folder))
+
+
+CURATED_COLS = ("SEXO", "CEP", "CIDADE", "UF", "CONVENIO", "ESPECIALIDADE", "CID", "MOTIVO_ALTA", "DT_ATENDIMENTO", "DT_HR_CLASSIF_RISCO",
+                "INI_ATD_MEDICO", "FIM_ATD_MEDICO")
+
+
+def ed_curated_mart(spark, sf):
+    """The visit mart after the review: corrections of all 19 fields, both override
+    flags and confirmed conversions, in several periods, rebuilt where they reach."""
+    mart = spark.read.parquet(reports.layer_path(_reviewed(spark, sf), "marts", "atendimentos_pa"))
+    nullable_ints = {"atend_internacao", "minutos_espera_medica", "minutos_duracao_classificacao",
+                     "minutos_duracao_atendimento_medico", "minutos_permanencia_total", "IDADE"}
+    # nullable integers leave as DOUBLE, so every engine hands pandas one dtype
+    return mart.select(*[F.col(c).cast("double").alias(c) if c in nullable_ints else F.col(c) for c in ED_MART_COLS],
+                       *[F.col(c).cast("timestamp_ntz").alias(c) if c == "DT_ATENDIMENTO" else F.col(c) for c in CURATED_COLS],
+                       F.col("competencia").cast("timestamp_ntz").alias("competencia"))
+
+
+def review_register(spark, sf):
+    """The register after the round trip: decided cases reviewed, rejected decisions'
+    cases still pending, and the cases that the corrected rows brought."""
+    reg = reports.read_curation(spark, _reviewed(spark, sf))["curadoria_inconsistencias"]
+    return reg.select("id_inconsistencia", "tipo", "teste", "nr_atendimento", F.col("competencia").cast("timestamp_ntz").alias("competencia"),
+                      "servico", F.col("detectado_em").cast("timestamp_ntz").alias("detectado_em"), "status")
+
+
+def review_decisions(spark, sf):
+    """The stored decisions of the round trip, by table, with what they decide."""
+    root = _reviewed(spark, sf)
+    cur = reports.read_curation(spark, root)
+    rejected = spark.read.parquet(reports.layer_path(root, "curadoria", "rejeitadas"))
+
+    def rows(table: str, df: DataFrame, what: Column, value: Column) -> DataFrame:
+        return df.select(F.lit(table).alias("tabela"), what.alias("sobre"), value.alias("valor"), F.col("competencia").cast("timestamp_ntz").alias("competencia"))
+    return (rows("imputacao", cur["curadoria_imputacao_integridade"], F.col("id_inconsistencia"), F.concat_ws("=", "campo_afetado", "valor_imputado"))
+            .unionByName(rows("logica", cur["curadoria_decisao_logica"], F.col("id_inconsistencia"), F.col("flag_prevalece")))
+            .unionByName(rows("conversao", cur["curadoria_conversao"], F.col("CD_ATENDIMENTO"), F.concat_ws("/", "decisao", "destino", "unidade", "tipo")))
+            .unionByName(rows("rejeitadas", rejected, F.col("id_inconsistencia"), F.col("problemas"))))
+
+
+QUERIES = {f.__name__: f for f in (gate_starts, load_audit, arrivals_raw, ed_curated_mart, review_register, review_decisions)}

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
+from wardflow.plans.oracle import _ED_RULES, ED_BASE, ED_COLS, ED_DOUBLE, STATUS_CASE, TIPO_CASE
+
 #: The rendered reports by period; visits are those of the company, each once.
 LAKE = """
 e AS (SELECT *, CAST(floor(value / 5) AS BIGINT) - 2 AS idade,
@@ -50,3 +54,86 @@ UNION ALL SELECT 'atendimentos_2024_02.csv', 'recusado', -1, false, 'desconhecid
 UNION ALL SELECT 'atendimentos.csv', 'sem_competencia', -1, false, ''
 UNION ALL SELECT 'relatorio_2024_01.csv', 'sem_destino', -1, false, ''""",
 }
+
+
+# ------------------------------------------------------------------ review
+
+def _by_date(sql: str) -> str:
+    """The domain CTEs with the period of the events' days and the plain fields."""
+    sql = sql.replace("  SELECT event_id AS atend_PA, user_id AS CD_PACIENTE,",
+                      "  SELECT CAST(make_date(year(ts), (day(ts) - 1) // 8 + 1, 1) AS TIMESTAMP) AS per, NULL AS flag, NULL AS decisao,\n"
+                      "    CASE WHEN value < 250 THEN 'F' ELSE 'M' END AS SEXO, '0' AS CEP, 'CIDADE' AS CIDADE, 'SP' AS UF,\n"
+                      "    event_id AS atend_PA, user_id AS CD_PACIENTE,")
+    sql = sql.replace("TIMESTAMP '2024-01-01 00:00:00' AS competencia", "x.per AS competencia, x.SEXO, x.CEP, x.CIDADE, x.UF, x.CID, x.esp AS ESPECIALIDADE,\n"
+                      "  x.MOTIVO_ALTA, CAST(x.DT_ATENDIMENTO AS TIMESTAMP) AS DT_ATENDIMENTO")
+    sql = sql.replace("CASE WHEN va.ATENDIMENTO IS NOT NULL THEN 1 ELSE 0 END AS fl_conversao",
+                      "CASE x.flag WHEN 'conversao' THEN 1 WHEN 'evasao' THEN 0\n"
+                      "    ELSE (va.ATENDIMENTO IS NOT NULL OR coalesce(x.decisao = 'confirmado', false))::INT END AS fl_conversao")
+    return sql.replace("CASE WHEN x.MOTIVO_ALTA = 'EVASAO' THEN 1 ELSE 0 END AS fl_evasao",
+                       "CASE x.flag WHEN 'evasao' THEN 1 WHEN 'conversao' THEN 0 ELSE coalesce(x.MOTIVO_ALTA = 'EVASAO', false)::INT END AS fl_evasao")
+
+
+FIRST = _by_date(ED_BASE.strip())
+#: The CTEs from the visits on, over corrected visits.
+_SECOND_NAMES = ("lastvis", "links", "valid", "susp", "seen", "later", "ret", "mart", "vs")
+SECOND = FIRST[FIRST.index("lastvis AS ("):]
+for _n in _SECOND_NAMES:
+    SECOND = re.sub(rf"\b{_n}\b", f"{_n}2", SECOND)
+
+_FIELDS = {
+    "CD_PACIENTE": "CAST(p + 1 AS VARCHAR)", "IDADE": "CASE WHEN k % 2 = 0 THEN '33' ELSE 'abc' END", "SEXO": "'X'", "CEP": "'01000'", "CIDADE": "'OUTRA'",
+    "UF": "'RJ'", "CONVENIO": "'CORRIGIDO'", "SERVICO": "'CARDIOLOGIA'", "COR_CLASSIF": "'VERDE'", "PRESTADOR": "'DR C'", "ESPECIALIDADE": "'GERAL'",
+    "CID": "'view - DESCRICAO'", "MOTIVO_ALTA": "'EVASAO'", "DT_ATENDIMENTO": "CAST(d + 1 AS VARCHAR)",
+    **{f: f"strftime(t + INTERVAL ({m}) MINUTE, '%d/%m/%Y %H:%M:%S')" for f, m in
+       (("DT_HR_TOTEM_RECEP", -3), ("DT_HR_CLASSIF_RISCO", 9), ("INI_ATD_MEDICO", 31), ("FIM_ATD_MEDICO", 44), ("DT_HR_ALTA", 200))}}
+
+
+def _cases(mart: str, detected: str) -> str:
+    rules = "\nUNION ALL\n".join(f"SELECT '{n}' AS teste, atend_PA AS nr_atendimento, competencia, SERVICO AS servico FROM {mart} WHERE {c}" for n, c in _ED_RULES)
+    return f"""SELECT DISTINCT sha256(concat_ws('|', teste, CAST(nr_atendimento AS VARCHAR), CAST(CAST(competencia AS DATE) AS VARCHAR))) AS id_inconsistencia,
+  {TIPO_CASE} AS tipo, teste, nr_atendimento, competencia, coalesce(nullif(servico, ''), 'NAO_IDENTIFICADO') AS servico,
+  TIMESTAMP '{detected}' AS detectado_em, {STATUS_CASE} AS status FROM ({rules}
+UNION ALL SELECT 'fl_suspeito_conversao', atend_PA, competencia, SERVICO FROM {mart} WHERE fl_suspeito_conversao = 1
+UNION ALL SELECT 'dbt_utils_unique_combination_of_columns_atendimentos_pa_atend_PA__competencia', atend_PA, competencia, min(SERVICO)
+  FROM {mart} GROUP BY atend_PA, competencia HAVING count(*) > 1)"""
+
+
+def _fixed(column: str, field: str, typed: str) -> str:
+    return f"coalesce({typed.format(f'c.{field}')}, vs.{column}) AS {column}"
+
+
+_STAMP = "try_strptime({}, '%d/%m/%Y %H:%M:%S')"
+_CORRECTED = ", ".join(_fixed(column, field, typed) for column, field, typed in (
+    ("CD_PACIENTE", "CD_PACIENTE", "try_cast({} AS BIGINT)"), ("IDADE", "IDADE", "try_cast({} AS BIGINT)"), ("SEXO", "SEXO", "{}"), ("CEP", "CEP", "{}"),
+    ("CIDADE", "CIDADE", "{}"), ("UF", "UF", "{}"), ("CONVENIO", "CONVENIO", "{}"), ("SERVICO", "SERVICO", "{}"), ("cor", "COR_CLASSIF", "{}"),
+    ("prest", "PRESTADOR", "('x - ' || {})"), ("esp", "ESPECIALIDADE", "{}"), ("CID", "CID", "{}"), ("code", "CID", "split_part({}, ' - ', 1)"),
+    ("MOTIVO_ALTA", "MOTIVO_ALTA", "{}"), ("DT_ATENDIMENTO", "DT_ATENDIMENTO", "try_cast({} AS DATE)"), ("arr", "DT_HR_TOTEM_RECEP", _STAMP),
+    ("fim_cls", "DT_HR_CLASSIF_RISCO", _STAMP), ("ini_med", "INI_ATD_MEDICO", _STAMP), ("fim_med", "FIM_ATD_MEDICO", _STAMP), ("alta", "DT_HR_ALTA", _STAMP)))
+_KEPT = "vs.per, vs.atend_PA, vs.ini_cls, vs.cad_ini, vs.cad_fim"
+
+REVIEW = f"""{FIRST},
+reg1 AS MATERIALIZED ({_cases("mart", "2026-01-01 00:00:00")}),
+seen1 AS (SELECT reg1.*, vs.CD_PACIENTE AS p, vs.arr AS t, vs.DT_ATENDIMENTO AS d, hour(vs.arr) * 3600 + minute(vs.arr) * 60 + second(vs.arr) AS k
+  FROM reg1 JOIN vs ON reg1.nr_atendimento = vs.atend_PA WHERE status = 'pendente'),
+said AS MATERIALIZED (SELECT *, CASE k % 19 {" ".join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(_FIELDS))} END AS campo,
+  CASE k % 19 {" ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(_FIELDS.values()))} END AS valor,
+  CASE WHEN k % 2 = 0 THEN 'conversao' ELSE 'evasao' END AS flag, CASE k % 3 WHEN 0 THEN 'confirmado' WHEN 1 THEN 'descartado' ELSE 'talvez' END AS decisao,
+  concat_ws(',', CASE WHEN k % 23 = 0 THEN 'autor_ausente' END,
+    CASE WHEN k % 23 <> 0 AND tipo = 'conversao' AND k % 3 = 2 THEN 'decisao_desconhecida' END) AS problemas FROM seen1),
+good AS (SELECT * FROM said WHERE problemas = ''),
+c AS (SELECT nr_atendimento, {", ".join(f"max(CASE WHEN campo = '{f}' THEN valor END) FILTER (tipo IN ('integridade', 'sequencia_temporal')) AS {f}" for f in _FIELDS)},
+  max(flag) FILTER (tipo = 'logica_negocio') AS flag, max(decisao) FILTER (tipo = 'conversao') AS decisao FROM good GROUP BY nr_atendimento),
+vs2 AS (SELECT {_KEPT}, c.flag, c.decisao, {_CORRECTED} FROM vs LEFT JOIN c ON vs.atend_PA = c.nr_atendimento),
+{SECOND}"""
+
+_WITH = "WITH " + REVIEW + "\n"
+SQL["ed_curated_mart"] = _WITH + "SELECT " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in ED_DOUBLE else c for c in ED_COLS) + (
+    ", SEXO, CEP, CIDADE, UF, CONVENIO, ESPECIALIDADE, CID, MOTIVO_ALTA, DT_ATENDIMENTO, DT_HR_CLASSIF_RISCO, INI_ATD_MEDICO, FIM_ATD_MEDICO FROM mart2")
+SQL["review_register"] = _WITH + f"""SELECT id_inconsistencia, tipo, teste, nr_atendimento, competencia, servico, detectado_em,
+  CASE WHEN id_inconsistencia IN (SELECT id_inconsistencia FROM good) THEN 'revisado' ELSE status END AS status FROM reg1
+UNION ALL SELECT * FROM ({_cases("mart2", "2026-01-03 00:00:00")}) WHERE id_inconsistencia NOT IN (SELECT id_inconsistencia FROM reg1)"""
+SQL["review_decisions"] = _WITH + """SELECT 'imputacao' AS tabela, id_inconsistencia AS sobre, campo || '=' || valor AS valor, competencia
+FROM good WHERE tipo IN ('integridade', 'sequencia_temporal')
+UNION ALL SELECT 'logica', id_inconsistencia, flag, competencia FROM good WHERE tipo = 'logica_negocio'
+UNION ALL SELECT 'conversao', CAST(nr_atendimento AS VARCHAR), decisao || '/L1/U1/UTI', competencia FROM good WHERE tipo = 'conversao'
+UNION ALL SELECT 'rejeitadas', id_inconsistencia, problemas, competencia FROM said WHERE problemas <> ''"""
