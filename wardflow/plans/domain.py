@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardflow.functions import columns as C
-from wardflow.operators import curation, journey, link, quality, ranking, tables
+from wardflow.operators import curation, journey, link, quality, ranking, states, tables
 from wardflow.session import materialize
 
 # fixed values: admission origins that count as a conversion of the ED visit
@@ -253,6 +253,13 @@ def percentiles_mart(mart: DataFrame, method: str = "approx", cube: bool = False
                                     method=method, cube=cube)
 
 
+def states_mart(mart: DataFrame) -> DataFrame:
+    """Counts of every duration per six keys and step: any percentile of any subset or
+    filter of the keys follows from them (``operators.states``), and a period's are made
+    again without the others'."""
+    return states.duration_states(mart, PERCENTILE_KEYS, PERCENTILE_STEPS)
+
+
 def volumes_mart(mart: DataFrame) -> DataFrame:
     return journey.step_volumes(mart, list(VOLUME_KEYS), VOLUME_MILESTONES)
 
@@ -397,6 +404,7 @@ def _dependents(spark, root: str, out: dict, mart: DataFrame, rebuilt: DataFrame
     periods, percentiles and rule counts of all, and new cases for the register."""
     from wardflow.sources import reports
     pct = _store(spark, root, out, percentiles_mart(mart, percentile_method), "marts", "percentis_jornada")
+    _store(spark, root, out, states_mart(rebuilt), "marts", "estados_jornada")
     _store(spark, root, out, volumes_mart(rebuilt), "marts", "volume_jornada")
     _store(spark, root, out, ranking_mart(rebuilt), "marts", "ranking_especialidades")
     _store(spark, root, out, calendar_mart(rebuilt), "marts", "dim_competencia")

@@ -12,7 +12,7 @@ import os
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.operators import layouts
+from wardflow.operators import layouts, states
 from wardflow.plans import domain, review
 from wardflow.plans.bindings import DETECTED_AT, ED_INPUTS, ED_MART_COLS, ed_raw_tables
 from wardflow.session import materialize
@@ -246,4 +246,30 @@ def review_decisions(spark, sf):
             .unionByName(rows("rejeitadas", rejected, F.col("id_inconsistencia"), F.col("problemas"))))
 
 
-QUERIES = {f.__name__: f for f in (gate_starts, load_audit, arrivals_raw, ed_curated_mart, review_register, review_decisions)}
+# ----------------------------------------------------------------- percentiles of any subset
+
+def _states(spark, sf) -> DataFrame:
+    """The stored states of the reviewed lake: those of the first run, replaced in
+    the periods that the decisions touched."""
+    return spark.read.parquet(reports.layer_path(_reviewed(spark, sf), "marts", "estados_jornada"))
+
+
+def states_cube(spark, sf):
+    """P50 and P90 of the 7 steps for every combination of kept and rolled-up keys
+    (a ``Todas`` row per dimension), from the stored states; the payer, of which there
+    are very many, is merged away."""
+    keys = [k for k in domain.PERCENTILE_KEYS if k != "CONVENIO"]
+    rolled = states.rolled_up(states.merged(_states(spark, sf), keys), keys)
+    return states.percentiles(rolled, [*keys, states.ROLLED], {"p50": 0.5, "p90": 0.9})
+
+
+def states_filtered(spark, sf):
+    """Interpolated percentiles (K8) by colour and period of two services outside the
+    night, from the same states."""
+    some = _states(spark, sf).where("SERVICO IN ('CLINICA MEDICA', 'CARDIOLOGIA') AND turno <> 'Madrugada'")
+    out = states.percentiles(states.merged(some, ["COR_CLASSIF", "competencia"]), ["COR_CLASSIF", "competencia"], {"p50": 0.5, "p90": 0.9}, "interpolated")
+    return out.withColumns({"competencia": F.col("competencia").cast("timestamp_ntz"), "p50": F.round("p50", 6), "p90": F.round("p90", 6)})
+
+
+QUERIES = {f.__name__: f for f in (gate_starts, load_audit, arrivals_raw, ed_curated_mart, review_register, review_decisions,
+                                states_cube, states_filtered)}

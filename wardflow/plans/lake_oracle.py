@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from wardflow.plans.oracle import _ED_RULES, ED_BASE, ED_COLS, ED_DOUBLE, STATUS_CASE, TIPO_CASE
+from wardflow.plans.oracle import _ED_RULES, ED_BASE, ED_COLS, ED_DOUBLE, ED_PCT_STEPS, STATUS_CASE, TIPO_CASE
 
 #: The rendered reports by period; visits are those of the company, each once.
 LAKE = """
@@ -137,3 +137,18 @@ FROM good WHERE tipo IN ('integridade', 'sequencia_temporal')
 UNION ALL SELECT 'logica', id_inconsistencia, flag, competencia FROM good WHERE tipo = 'logica_negocio'
 UNION ALL SELECT 'conversao', CAST(nr_atendimento AS VARCHAR), decisao || '/L1/U1/UTI', competencia FROM good WHERE tipo = 'conversao'
 UNION ALL SELECT 'rejeitadas', id_inconsistencia, problemas, competencia FROM said WHERE problemas <> ''"""
+
+# ------------------------------------------------------------------ percentiles of any subset
+
+_KEYS = ("SERVICO", "competencia", "turno", "COR_CLASSIF", "grupo_cid")
+SQL["states_cube"] = (_WITH.rstrip() + ",\nk AS (SELECT * REPLACE (strftime(competencia, '%Y-%m-%d') AS competencia) FROM mart2),\ng AS (SELECT "
+    + ", ".join(_KEYS) + ", " + ", ".join(f"grouping({k}) AS g_{k}" for k in _KEYS) + ", "
+    + ", ".join(f"quantile_disc({c}, 0.5) AS a{i}, quantile_disc({c}, 0.9) AS b{i}" for i, (_, c) in enumerate(ED_PCT_STEPS, 1))
+    + " FROM k GROUP BY CUBE (" + ", ".join(_KEYS) + "))\n"
+    + "\nUNION ALL\n".join("SELECT " + ", ".join(f"CASE WHEN g_{k} = 1 THEN 'Todas' ELSE {k} END AS {k}" for k in _KEYS)
+        + ", (" + " + ".join(f"{1 << j} * g_{k}" for j, k in enumerate(_KEYS)) + f")::INT AS agregado, '{n}' AS nome_etapa, "
+        + f"CAST(a{i} AS DOUBLE) AS p50, CAST(b{i} AS DOUBLE) AS p90, {i} AS ordem FROM g" for i, (n, _) in enumerate(ED_PCT_STEPS, 1)))
+SQL["states_filtered"] = (_WITH.rstrip() + ",\nk AS (SELECT * FROM mart2 WHERE SERVICO IN ('CLINICA MEDICA', 'CARDIOLOGIA') AND turno <> 'Madrugada')\n"
+    + "\nUNION ALL\n".join(f"SELECT COR_CLASSIF, competencia, '{n}' AS nome_etapa, round(quantile_cont({c}, 0.5), 6) AS p50, "
+                            f"round(quantile_cont({c}, 0.9), 6) AS p90, {i} AS ordem FROM k GROUP BY COR_CLASSIF, competencia"
+                            for i, (n, c) in enumerate(ED_PCT_STEPS, 1)))
