@@ -131,3 +131,8 @@ def test_states_give_the_percentiles_of_a_scan(spark, method, exact):
     cube = cube.select(F.when(F.col("gs") == 1, "Todas").otherwise(F.col("s")).alias("s"), F.when(F.col("gt") == 1, "Todas").otherwise(F.col("t")).alias("t"),
                        (F.col("gs").cast("int") + 2 * F.col("gt").cast("int")).alias("agregado"), "nome_etapa", "p50", "p90")
     assert rows_of(rolled, ["s", "t", "agregado"]) == rows_of(cube, ["s", "t", "agregado"])
+
+
+def test_every_declared_check_finds_its_fault(spark):
+    got = {r.teste: r.casos for r in lake.rule_faults(spark, SF).collect()}
+    assert len(got) == 53 and all(n > 0 for n in got.values())

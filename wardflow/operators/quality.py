@@ -136,3 +136,32 @@ def count_violations(tables: Mapping[str, DataFrame], rules: Mapping[str, TableR
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def count_by_period(tables: Mapping[str, DataFrame], rules: Mapping[str, TableRules], periods: Mapping[str, str]) -> DataFrame:
+    """``(teste, competencia, casos)`` for every rule of every table and each period
+    it holds (``periods``: the period column by table).  Counts of one period follow from
+    its rows alone, so they are made again only where a period was; repeated keys
+    are those repeated inside a period."""
+    out = None
+    for table, r in rules.items():
+        if table not in periods:
+            continue
+        period = periods[table]
+        df = tables[table]
+        checks = ([not_null_rule(c, table) for c in r.not_null if c != period]
+                  + [accepted_values_rule(c, v, table) for c, v in (r.accepted or {}).items()] + list(r.own))
+        counted = df.groupBy(F.col(period).alias("competencia")).agg(
+            *[F.count_if(F.coalesce(x.violation, F.lit(False))).alias(f"c{i}") for i, x in enumerate(checks)])
+        listed = F.array(*[F.struct(F.lit(x.name).alias("teste"), F.col(f"c{i}").alias("casos")) for i, x in enumerate(checks)])
+        parts = [counted.select("competencia", F.inline(listed)).select("teste", "competencia", "casos")]
+        for name, keys in (r.unique or {}).items():
+            inside = list(dict.fromkeys([*keys, period]))
+            some = F.lit(True)
+            for k in keys:
+                some = some & F.col(k).isNotNull()
+            groups = df.where(some).groupBy(*inside).agg((F.count(F.lit(1)) > 1).cast("long").alias("t"))
+            parts.append(groups.groupBy(F.col(period).alias("competencia")).agg(F.sum("t").alias("casos")).select(F.lit(name).alias("teste"), "competencia", "casos"))
+        for p in parts:
+            out = p if out is None else out.unionByName(p)
+    return out

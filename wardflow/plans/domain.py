@@ -403,6 +403,7 @@ def _dependents(spark, root: str, out: dict, mart: DataFrame, rebuilt: DataFrame
     """What is made from the stored visit mart: by-period marts of the ``rebuilt``
     periods, percentiles and rule counts of all, and new cases for the register."""
     from wardflow.sources import reports
+    from wardflow.sources.merge import merge_by_key
     pct = _store(spark, root, out, percentiles_mart(mart, percentile_method), "marts", "percentis_jornada")
     _store(spark, root, out, states_mart(rebuilt), "marts", "estados_jornada")
     _store(spark, root, out, volumes_mart(rebuilt), "marts", "volume_jornada")
@@ -413,6 +414,11 @@ def _dependents(spark, root: str, out: dict, mart: DataFrame, rebuilt: DataFrame
                                        "ranking_especialidades": rank, "percentis_jornada": pct}, declared_rules())
     out["regras"] = reports.layer_path(root, "qualidade", "regras")
     counts.write.mode("overwrite").parquet(out["regras"])
+    # the history keeps a row per rule and period; those of other periods stay as they are
+    history = quality.count_by_period({"atendimentos_pa": rebuilt, "ranking_especialidades": rank.join(rebuilt.select("competencia").distinct(), "competencia", "left_semi")},
+                                      declared_rules(), {"atendimentos_pa": "competencia", "ranking_especialidades": "competencia"})
+    out["historico"] = reports.layer_path(root, "qualidade", "historico")
+    merge_by_key(history, out["historico"], "teste string, competencia date, casos long", ["teste", "competencia"])
     violations = run_mart_rules(rebuilt).unionByName(movement_rule(stg_m))
     batch = register_batch(rebuilt, violations, detected_at)
     reg_path = reports.layer_path(root, "curadoria", "curadoria_inconsistencias")

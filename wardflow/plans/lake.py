@@ -12,9 +12,9 @@ import os
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardflow.operators import layouts, states
+from wardflow.operators import layouts, quality, states
 from wardflow.plans import domain, review
-from wardflow.plans.bindings import DETECTED_AT, ED_INPUTS, ED_MART_COLS, ed_raw_tables
+from wardflow.plans.bindings import DETECTED_AT, ED_INPUTS, ED_MART_COLS, _stored_ed_mart, ed_raw_tables
 from wardflow.session import materialize
 from wardflow.sources import control, reports
 from wardflow.streaming import ingest
@@ -271,5 +271,62 @@ def states_filtered(spark, sf):
     return out.withColumns({"competencia": F.col("competencia").cast("timestamp_ntz"), "p50": F.round("p50", 6), "p90": F.round("p90", 6)})
 
 
-QUERIES = {f.__name__: f for f in (gate_starts, load_audit, arrivals_raw, ed_curated_mart, review_register, review_decisions,
+# ----------------------------------------------------------------- rules
+
+def rule_history(spark, sf):
+    """Stored counts of the mart's checks by rule and period after the review; the
+    periods that the decisions touched were counted again, the others kept."""
+    held = spark.read.parquet(reports.layer_path(_reviewed(spark, sf), "qualidade", "historico"))
+    return held.where("casos > 0").select("teste", F.col("competencia").cast("timestamp_ntz").alias("competencia"), "casos")
+
+
+def _minus(c: str) -> Column:
+    return F.col(c) - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(1), F.lit(0))
+
+
+def rule_faults(spark, sf):
+    """All 53 declared checks on tables into which a fault for each was put, by the
+    minute of a row's time: every rule finds cases."""
+    visits, admissions, _, _, _ = ed_raw_tables(spark, sf)
+    mart, stg_m = _stored_ed_mart(spark, sf)
+
+    def spoil(df: DataFrame, minute: Column, n: int, faults: dict[int, dict[str, Column]], twice: int | None) -> DataFrame:
+        """Rows of minute % n = i get the values of fault i; those of ``twice`` come twice."""
+        df = materialize(df.withColumn("k", minute % n), "rule-faults")
+        changes: dict[str, Column] = {}
+        for i, values in faults.items():
+            for c, v in values.items():
+                changes[c] = F.when(F.col("k") == i, v).otherwise(changes.get(c, F.col(c)))
+        out = df.select(*[changes.get(c, F.col(c)).alias(c) for c in df.columns])
+        return (out if twice is None else out.unionByName(out.where(F.col("k") == twice))).drop("k")
+
+    none = F.lit(None)
+    visit_cols = ("CD_PACIENTE", "CD_ATENDIMENTO", "DT_ATENDIMENTO", "ESPECIALIDADE", "competencia", "DT_HR_TOTEM_RECEP")
+    stg_v = spoil(domain.stage_visits(visits), F.minute("DT_HR_TOTEM_RECEP"), 7, {i: {c: none} for i, c in enumerate(visit_cols)}, 6)
+    adm_cols = ("COD_PACIENTE", "ATENDIMENTO", "DT_HR_ATENDIMENTO", "ORIGEM_ATEND", "competencia")
+    stg_a = spoil(domain.stage_admissions(admissions), F.minute("DT_HR_ATENDIMENTO"), 6, {i: {c: none} for i, c in enumerate(adm_cols)}, 5)
+    moves = spoil(stg_m, F.substring("HORA", 4, 2).cast("int"), 3, {0: {"ATENDIMENTO": none}, 1: {"COMPETENCIA": none}, 2: {"DESTINO": none}}, None)
+    flags = list(domain.FLAGS)
+    before = {11: ("INI_ATD_MEDICO", "DT_HR_CLASSIF_RISCO"), 12: ("INI_ATD_MEDICO", "FIM_CAD_RECEP"), 13: ("DH_CADASTRO_RECEPCAO", "DT_HR_CLASSIF_RISCO"),
+              14: ("DT_HR_CLASSIF_RISCO", "INICIO_CLASSIFICACAO"), 15: ("DT_HR_CLASSIF_RISCO", "DT_HR_TOTEM_RECEP"), 16: ("INICIO_CLASSIFICACAO", "DT_HR_TOTEM_RECEP"),
+              18: ("FIM_ATD_MEDICO", "INI_ATD_MEDICO"), 19: ("FIM_CAD_RECEP", "DH_CADASTRO_RECEPCAO"), 21: ("DT_HR_ALTA", "DT_HR_TOTEM_RECEP")}
+    faults = {0: {"atend_PA": none}, **{i + 1: {c: none} for i, c in enumerate(flags)}, 4: {"competencia": none}, **{i + 5: {c: F.lit(2)} for i, c in enumerate(flags)},
+              8: {"turno": F.lit("X")}, 9: {"faixa_etaria": F.lit("X")}, 17: {c: F.lit(1) for c in ("fl_conversao", "fl_evasao")}, 20: {"IDADE": F.lit(-1).cast("long")},
+              **{i: {late: _minus(early)} for i, (late, early) in before.items()}}
+    faults[11]["COR_CLASSIF"] = F.lit("VERDE")
+    spoilt = spoil(mart, F.minute("DT_HR_TOTEM_RECEP"), 22, faults, 10)
+    rank = materialize(domain.ranking_mart(mart), "ranking")
+    own = list(domain.RANKS)
+    changed = {**{c: F.when(F.col("SERVICO") == "CARDIOLOGIA", none).when(F.col("SERVICO") == "PEDIATRIA", 99).otherwise(F.col(c)) for c in own},
+               "total_pontos": F.when(F.col("SERVICO") != "CARDIOLOGIA", F.col("total_pontos")),
+               "competencia": F.when(F.col("SERVICO") != "CIRURGIA GERAL", F.col("competencia")),
+               "SERVICO": F.when(F.col("SERVICO") != "CLINICA MEDICA", F.col("SERVICO"))}
+    rank = rank.select(*[changed.get(c, F.col(c)).alias(c) for c in rank.columns])
+    rank = rank.unionByName(rank.where("SERVICO = 'ORTOPEDIA/TRAUMATOLOGIA'"))
+    pct = domain.percentiles_mart(mart, method="exact").withColumn("p90", F.when(F.col("ordem") == 2, F.col("p50") - 1).otherwise(F.col("p90")))
+    return quality.count_violations({"stg_atendimentos": stg_v, "stg_internacoes": stg_a, "stg_movimentacoes": moves, "atendimentos_pa": spoilt,
+                                     "ranking_especialidades": rank, "percentis_jornada": pct}, domain.declared_rules())
+
+
+QUERIES = {f.__name__: f for f in (rule_history, rule_faults, gate_starts, load_audit, arrivals_raw, ed_curated_mart, review_register, review_decisions,
                                 states_cube, states_filtered)}

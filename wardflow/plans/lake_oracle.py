@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from wardflow.plans import oracle as _oracle
 from wardflow.plans.oracle import _ED_RULES, ED_BASE, ED_COLS, ED_DOUBLE, ED_PCT_STEPS, STATUS_CASE, TIPO_CASE
 
 #: The rendered reports by period; visits are those of the company, each once.
@@ -152,3 +153,39 @@ SQL["states_filtered"] = (_WITH.rstrip() + ",\nk AS (SELECT * FROM mart2 WHERE S
     + "\nUNION ALL\n".join(f"SELECT COR_CLASSIF, competencia, '{n}' AS nome_etapa, round(quantile_cont({c}, 0.5), 6) AS p50, "
                             f"round(quantile_cont({c}, 0.9), 6) AS p90, {i} AS ordem FROM k GROUP BY COR_CLASSIF, competencia"
                             for i, (n, c) in enumerate(ED_PCT_STEPS, 1)))
+
+# ------------------------------------------------------------------ rules
+
+_LATE = ((11, "INI_ATD_MEDICO", "DT_HR_CLASSIF_RISCO"), (12, "INI_ATD_MEDICO", "FIM_CAD_RECEP"), (13, "DH_CADASTRO_RECEPCAO", "DT_HR_CLASSIF_RISCO"),
+         (14, "DT_HR_CLASSIF_RISCO", "INICIO_CLASSIFICACAO"), (15, "DT_HR_CLASSIF_RISCO", "DT_HR_TOTEM_RECEP"), (16, "INICIO_CLASSIFICACAO", "DT_HR_TOTEM_RECEP"),
+         (18, "FIM_ATD_MEDICO", "INI_ATD_MEDICO"), (19, "FIM_CAD_RECEP", "DH_CADASTRO_RECEPCAO"), (21, "DT_HR_ALTA", "DT_HR_TOTEM_RECEP"))
+_FAULTS: dict[str, dict[int, str]] = {"atend_PA": {0: "NULL"}, "competencia": {4: "NULL"}, "turno": {8: "'X'"}, "faixa_etaria": {9: "'X'"}, "IDADE": {20: "-1"},
+                                      "COR_CLASSIF": {11: "'VERDE'"}, "fl_conversao": {1: "NULL", 5: "2", 17: "1"}, "fl_evasao": {2: "NULL", 6: "2", 17: "1"},
+                                      "fl_retorno_48h": {3: "NULL", 7: "2"}}
+for _i, _later, _earlier in _LATE:
+    _FAULTS.setdefault(_later, {})[_i] = f"{_earlier} - INTERVAL 1 MINUTE"
+_RANKS = ("conversao", "alta_na_meta", "tempo_atend_medico", "evasao", "retorno48h")
+SQL["rule_faults"] = f"""WITH {ED_BASE.strip()},
+vf0 AS (SELECT *, minute(arr) % 7 AS k, 1 AS period FROM vs),
+vf AS (SELECT * REPLACE ({", ".join(f"CASE WHEN k <> {i} THEN {c} END AS {c}" for i, c in enumerate(("CD_PACIENTE", "atend_PA", "DT_ATENDIMENTO", "esp", "period", "arr")))})
+  FROM (SELECT * FROM vf0 UNION ALL SELECT * FROM vf0 WHERE k = 6)),
+af0 AS (SELECT *, minute(adm_ts) % 6 AS k, 1 AS period FROM adm),
+af AS (SELECT * REPLACE ({", ".join(f"CASE WHEN k <> {i} THEN {c} END AS {c}" for i, c in enumerate(("COD_PACIENTE", "ATENDIMENTO", "adm_ts", "ORIGEM_ATEND", "period")))})
+  FROM (SELECT * FROM af0 UNION ALL SELECT * FROM af0 WHERE k = 5)),
+mf0 AS (SELECT *, CAST(substr(HORA, 4, 2) AS INT) % 3 AS k, 1 AS period FROM mov),
+mf AS (SELECT * REPLACE (CASE WHEN k <> 0 THEN ATENDIMENTO END AS ATENDIMENTO, CASE WHEN k <> 1 THEN period END AS period, CASE WHEN k <> 2 THEN DESTINO END AS DESTINO) FROM mf0),
+tf AS (SELECT * REPLACE ({", ".join(f"CASE k {' '.join(f'WHEN {i} THEN {v}' for i, v in values.items())} ELSE {c} END AS {c}" for c, values in _FAULTS.items())})
+  FROM (SELECT *, minute(DT_HR_TOTEM_RECEP) % 22 AS k FROM mart UNION ALL SELECT *, 10 FROM mart WHERE minute(DT_HR_TOTEM_RECEP) % 22 = 10)),
+rk0 AS ({_oracle.SQL["ed_ranking"]}),
+rkf AS (SELECT * REPLACE ({", ".join(f"CASE SERVICO WHEN 'CARDIOLOGIA' THEN NULL WHEN 'PEDIATRIA' THEN 99 ELSE {c} END AS {c}" for c in _RANKS)},
+    CASE WHEN SERVICO <> 'CARDIOLOGIA' THEN total_pontos END AS total_pontos, CASE WHEN SERVICO <> 'CIRURGIA GERAL' THEN competencia END AS competencia,
+    CASE WHEN SERVICO <> 'CLINICA MEDICA' THEN SERVICO END AS SERVICO)
+  FROM (SELECT * FROM rk0 UNION ALL SELECT * FROM rk0 WHERE SERVICO = 'ORTOPEDIA/TRAUMATOLOGIA')),
+pcf AS (SELECT * REPLACE (CASE WHEN ordem = 2 THEN p50 - 1 ELSE p90 END AS p90) FROM ({_oracle.SQL["ed_percentiles"]}))
+""" + _oracle.rule_parts("vf", "af", "mf", "tf", "rkf", "pcf", "period IS NULL")
+
+_MART = [(n, c) for n, c in _ED_RULES]
+SQL["rule_history"] = _WITH.rstrip() + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS teste, competencia, count(*) AS casos FROM mart2 WHERE {c} GROUP BY competencia" for n, c in _MART) + """
+UNION ALL SELECT 'dbt_utils_unique_combination_of_columns_atendimentos_pa_atend_PA__competencia', competencia, count(*)
+FROM (SELECT atend_PA, competencia FROM mart2 GROUP BY atend_PA, competencia HAVING count(*) > 1) GROUP BY competencia"""
