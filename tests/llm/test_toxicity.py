@@ -34,6 +34,21 @@ def test_segments(seed):
     assert np.allclose([x[2] for x in got], [x[2] for x in want])
 
 
+@pytest.mark.parametrize("pattern", [(-1, -1, -1, 0.5), (0.5, -0.25), (-0.25, 0.5), (1, -1), (-1, 2, -3, 2)])
+def test_segments_in_linear_time(pattern):
+    """Sums that fall or rise all along, which a scan without links walks over and over."""
+    import time
+    v = np.asarray(pattern * 12, float)
+    assert [x[:2] for x in toxicity.segments(v)] == [x[:2] for x in brute(v.tolist())]
+
+    def seconds(n):
+        t = time.perf_counter()
+        toxicity.segments(np.tile(np.asarray(pattern, float), n))
+        return time.perf_counter() - t
+    assert seconds(400_000) < 8 * max(seconds(100_000), 0.05)  # 4 if linear, 16 if quadratic
+    assert seconds(400_000) < 10
+
+
 def corpus(spark, n=600):
     rng = np.random.default_rng(3)
     rows, labels = [], []

@@ -64,26 +64,31 @@ def segments(values: np.ndarray) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score) of a sequence, in order.
 
     Only runs of positive values can begin or end one, so the scan steps over
-    runs; each run joins the candidates on a stack as Ruzzo and Tompa describe.
+    runs; each run joins the candidates as Ruzzo and Tompa describe. A candidate
+    keeps a link to the last one before it of a smaller sum, so the search for the
+    candidate to join skips what an earlier search has passed, and candidates that
+    nothing can join any more are given out at once: the scan is linear in time.
     """
     up = values > 0
     if not up.any():
         return []
     edge = np.flatnonzero(np.diff(np.concatenate(([False], up, [False])).astype(np.int8)))
     total = np.concatenate(([0.0], np.cumsum(values)))
-    stack: list[tuple[int, int, float, float]] = []  # start, end, sum before, sum after
-    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-        item = (a, b, float(total[a]), float(total[b]))
-        while True:
-            j = len(stack) - 1
-            while j >= 0 and stack[j][2] >= item[2]:
-                j -= 1
-            if j < 0 or stack[j][3] >= item[3]:
-                stack.append(item)
-                break
-            item = (stack[j][0], item[1], stack[j][2], item[3])
+    out: list[tuple[int, int, float]] = []
+    stack: list[tuple[int, int, float, float, int]] = []  # start, end, sum before, sum after, link
+    for start, end in zip(edge[::2].tolist(), edge[1::2].tolist()):
+        before, after, j = float(total[start]), float(total[end]), len(stack) - 1
+        while j >= 0 and stack[j][2] >= before:
+            j = stack[j][4]
+        while j >= 0 and stack[j][3] < after:  # joined; what has a smaller sum before it is behind its link
+            start, _, before, _, link = stack[j]
             del stack[j:]
-    return [(a, b, after - before) for a, b, before, after in stack]
+            j = link
+        if j < 0:
+            out += [(a, b, y - x) for a, b, x, y, _ in stack]
+            stack.clear()
+        stack.append((start, end, before, after, j))
+    return out + [(a, b, y - x) for a, b, x, y, _ in stack]
 
 
 class Model:
