@@ -72,3 +72,12 @@ def test_index_and_files(spark, tmp_dir):
 
 def test_empty(spark):
     assert warc.read_records(warc.write_bundles(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_one_payload_on_most_pages(spark):
+    """Copies of one payload are spread over tasks, and refer to the least id."""
+    rows = [(i, f"u{i}", "same body" if i % 3 else f"own {i}") for i in range(600)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    got = warc.read_records(warc.write_bundles(frame)).collect()
+    assert {(r.record_type, r.refers_to_page) for r in got if int(r.page) % 3} == {("response", None), ("revisit", "1")}
+    assert sum(r.record_type == "revisit" for r in got) == 399 and len(got) == 600

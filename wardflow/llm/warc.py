@@ -163,9 +163,11 @@ def write_bundles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     an empty archive.
 
     The rows are stored once with a number each, so that equal rows can be told
-    apart. Finding the responses is a grouped minimum (partial per task), and
-    only that comes back by a join on the payload's key, whose hot side is the
-    left one that Spark splits.
+    apart. Finding the responses is a grouped minimum (partial per task), stored; the
+    rows that revisit one are found by a join of keys and numbers alone, whose hot
+    side Spark can split, and payloads meet them by the row's number, which no two
+    share, so no task gets the copies of one payload. A very long payload is in
+    memory once per task.
     """
     spark = pages.sparkSession
     bounded_batches(spark)
@@ -178,10 +180,12 @@ def write_bundles(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     first = (staged.where(F.col("n_bytes") >= min_revisit_bytes).groupBy(*keys)
              .agg(F.min(F.struct(F.col("id").isNull(), "id", "row", "page", "url")).alias("first"), F.count(F.lit(1)).alias("copies"))
              .where("copies > 1").drop("copies"))
-    again = F.col("first").isNotNull() & (F.col("first.row") != F.col("row"))
-    rows = staged.join(first, keys, "left").select(
-        "page", "row", "url", F.when(again, F.lit("")).otherwise(F.col("payload")).alias("payload"), "sha1", "n_bytes",
-        *[F.when(again, F.col(f"first.{c}")).alias(f"to_{c}") for c in ("page", "row", "url")])
+    first = materialize(first, "warc-responses")
+    again = staged.select("row", *keys).join(first, keys).where(F.col("first.row") != F.col("row"))
+    again = materialize(again.select(F.col("row").alias("of"), *[F.col(f"first.{c}").alias(f"to_{c}") for c in ("page", "row", "url")]), "warc-revisits")
+    rows = staged.join(again, staged["row"] == again["of"], "left").select(
+        "page", "row", "url", F.when(F.col("of").isNotNull(), F.lit("")).otherwise(F.col("payload")).alias("payload"), "sha1", "n_bytes",
+        "to_page", "to_row", "to_url")
 
     def run(batches):
         task = TaskContext.get().partitionId() << 32
