@@ -65,6 +65,9 @@ def brute(doc_rows, items):
             both = len(s & shingles(t))
             if s and 10 * both >= 8 * len(s):
                 out.add((d, i, len(s), both))
+            short, w = (x or "").lower().split(), (t or "").lower().split()
+            if 0 < len(short) < 5 and any(w[k:k + len(short)] == short for k in range(len(w))):
+                out.add((d, i, 1, 1))
     return out
 
 
@@ -84,6 +87,18 @@ def test_contained_items(spark):
     assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted((x for x in rows if x not in bad), key=str)
 
 
+def test_short_items(spark):
+    """Items of one to four words, found where their words stand one after the other."""
+    items = [(1, "forty two"), (2, "Yes."), (3, "to be or not"), (4, " \n"), (5, "one two three four five"), (6, "YES.")]
+    rows = [(1, "The answer is forty\n two"), (2, "forty and two yes. or no"), (3, "TO be OR not to be"), (4, "forty two"), (5, "yes.no to be or"),
+            (6, "zero one two three four five"), (7, "one two three four"), (8, None), (9, "yes."), (9, "yes.")]
+    bench, frame = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(rows, "doc_id long, text string")
+    got = decontaminate.contained_items(frame, bench).collect()
+    want = {(d, 2 if i == 6 else i, n, k) for d, i, n, k in brute(rows, items)}
+    assert {(r.doc_id, r.item_id, r.item_shingles, r.shared_shingles) for r in got} == want and len(got) == len(want)
+    assert {r.item_copies for r in got if r.item_id == 2} == {2}
+
+
 def test_copies_of_items_are_one(spark):
     text = prose(30, 20)
     bench = spark.createDataFrame([(i, text if i else text.upper()) for i in range(50)], "item_id long, text string")

@@ -15,6 +15,11 @@ stored first, so Spark knows their size: it broadcasts them if small and
 otherwise shuffles both sides. The candidates are then verified on the shingles
 themselves.
 
+Items of fewer than five words have no shingle. Such an item is contained if its
+words stand in the document one after the other, and is found by a join of its
+text with the documents' windows of as many words; a width that no item has costs
+nothing.
+
 Only Spark's own functions are used.
 """
 
@@ -33,10 +38,10 @@ def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), SPACES, -1), "")
 
 
-def _windows(words: Column, make) -> Column:
+def _windows(words: Column, make, width: int = WIDTH) -> Column:
     """``make`` of the words of each window, for texts of at least one window."""
-    return F.when(F.size(words) >= WIDTH, F.transform(
-        F.sequence(F.lit(1), F.size(words) - WIDTH + 1), lambda i: make(*[F.element_at(words, i + k) for k in range(WIDTH)])))
+    return F.when(F.size(words) >= width, F.transform(
+        F.sequence(F.lit(1), F.size(words) - width + 1), lambda i: make(*[F.element_at(words, i + k) for k in range(width)])))
 
 
 def _shingles(words: Column) -> Column:
@@ -60,18 +65,20 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     document's text, to tell apart rows with one id).
 
     Text is lower-cased. Items of equal words are one, named by their smallest id
-    (``item_copies`` says how many). Null and empty texts, and texts of fewer than
-    five words on either side, have no shingle: such items are contained nowhere.
-    Null ids are kept, rows that share an id are judged each by its own text, and
+    (``item_copies`` says how many). An item of one to four words counts as one
+    shingle and is contained where its words stand one after the other. Null and empty
+    items are contained nowhere, and null and empty documents contain nothing. A
+    document's words and windows are in memory while it is read. Null ids are kept, rows that share an id are judged each by its own text, and
     wholly repeated rows are reported once. Empty tables give no rows; other
     columns are not read.
     """
     words = F.array_join(_words(F.col(item_text_col)), " ")
     items = (benchmark.select(F.col(item_col).alias("item"), words.alias("words")).groupBy("words")
              .agg(F.min("item").alias("item"), F.count(F.lit(1)).alias("copies"))
-             .withColumn("w", F.split("words", " ")).withColumn("shingles", _shingles(F.col("w")))
-             .where(F.size("shingles") > 0).withColumn("item_no", F.monotonically_increasing_id()))
-    items = materialize(items.select("item_no", "item", "copies", "shingles"), "benchmark-items")
+             .withColumn("w", F.split("words", " ")).withColumn("shingles", _shingles(F.col("w"))))
+    every = materialize(items.where("words <> ''").withColumn("item_no", F.monotonically_increasing_id())
+                        .select("item_no", "item", "copies", "shingles", "words", F.size("w").alias("width")), "benchmark-items")
+    items = every.where(F.col("width") >= WIDTH).select("item_no", "item", "copies", "shingles")
     keys = materialize(sketches(items.select(F.col("item_no").alias("item"), "shingles"), threshold), "benchmark-sketches")
     top = keys.agg(F.max("hash")).first()[0]
     top = -(1 << 63) if top is None else top  # no item, nothing to find
@@ -88,7 +95,14 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     pairs = pairs.select("id", "text_hash", "item_no", _shingles(F.col("words")).alias("has")).join(items, "item_no")
     shared = F.size(F.array_intersect("shingles", "has"))
     found = pairs.select("id", "text_hash", "item", "copies", F.size("shingles").alias("n"), shared.alias("shared"))
-    return (found.where(F.col("shared") >= F.col("n") * threshold - 1e-9).distinct()
+    found = found.where(F.col("shared") >= F.col("n") * threshold - 1e-9)
+    short = every.where(F.col("width") < WIDTH)
+    for width in sorted(r.width for r in short.select("width").distinct().collect()):  # 1 to 4
+        whole = _windows(F.col("words"), lambda *w: F.concat_ws(" ", *w), width)
+        stands = own.select("id", "text_hash", F.explode(F.array_distinct(whole)).alias("words"))
+        hit = stands.join(short.where(F.col("width") == width).select("words", "item", "copies"), "words")
+        found = found.unionByName(hit.select("id", "text_hash", "item", "copies", F.lit(1).alias("n"), F.lit(1).alias("shared")))
+    return (found.distinct()
             .select(F.col("id").alias(id_col), F.col("item").alias(item_col), F.col("copies").alias("item_copies"),
                     F.col("n").cast("long").alias("item_shingles"), F.col("shared").cast("long").alias("shared_shingles"),
                     (F.col("shared") / F.col("n")).alias("containment"), "text_hash"))

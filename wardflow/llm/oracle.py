@@ -55,7 +55,9 @@ ds AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s
        FROM (SELECT *, unnest(range(1, len(ws) - 3)) AS i FROM d WHERE len(ws) >= 5)),
 f AS (SELECT doc_id, item_id, item_copies, count(*) AS shared FROM ds JOIN bs USING (s) GROUP BY ALL)
 SELECT doc_id, item_id, item_copies, n AS item_shingles, shared AS shared_shingles, shared / n AS containment
-FROM f JOIN bn USING (item_id) WHERE 10 * shared >= 8 * n"""
+FROM f JOIN bn USING (item_id) WHERE 10 * shared >= 8 * n
+UNION ALL SELECT DISTINCT doc_id, item_id, item_copies, 1, 1, 1.0 FROM d
+JOIN b ON len(b.ws) BETWEEN 1 AND 4 AND contains(' ' || array_to_string(d.ws, ' ') || ' ', ' ' || array_to_string(b.ws, ' ') || ' ')"""
 
 
 
@@ -117,9 +119,11 @@ rows AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role
   FROM hit, range(2) AS t(copy) WHERE k <> 0 AND (copy = 0 OR k = 3)),
 placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM rows),
 seen AS (SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
-    CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'blank'
+    CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank'
          WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
-         WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 'truncated' END AS fault FROM placed),
+         WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*$') THEN 'truncated' END AS fault FROM placed),
 f AS (SELECT *, coalesce(fault IN ('blank', 'duplicate'), false) AS gone, (coalesce(fault, '') = 'truncated')::INT AS cut FROM seen),
 stats AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
     count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
