@@ -3,6 +3,7 @@ import os
 import random
 import re
 import sys
+import time
 
 from pyspark.sql import functions as F
 
@@ -151,3 +152,41 @@ def test_driver_table_spans(spark):
         assert r.base_sha256 == hashlib.sha256(base_spans(texts[r.doc_id] or "").encode()).hexdigest()
 
 
+
+
+def test_masks_in_blocks(spark, monkeypatch):
+    """Spans that overlap, touch and cross blocks, against masking in plain Python."""
+    r, rows = random.Random(3), []
+    for i in range(60):
+        text = "".join(r.choice("ab é\n🙂") for _ in range(r.choice((0, 1, 7, 8, 9, 40))))
+        spans = sorted((a, r.randint(0, 3), min(len(text), a + r.randint(1, 12))) for a in (r.randrange(len(text)) for _ in range(r.randint(0, 6)) if text))
+        rows.append((i, text, spans))
+    want = {}
+    for i, text, spans in rows:
+        out, at = "", 0
+        for a, _, b in spans:
+            if a >= at:
+                out += text[at:a] + "[X]"
+            at = max(at, b)
+        want[i] = out + text[at:]
+    frame = spark.createDataFrame(rows, "i int, t string, s array<struct<start:int,kind:int,end:int>>")
+    for piece, block in ((16, 4), (8, 8), (1000, 3)):
+        cut = secret_scan._blocks(F.col("t"), F.lit(0), F.col("s"), piece, lambda p, at, some: secret_scan._blocks(
+            p, at, some, block, lambda x, begin, own: secret_scan._masked(x, begin, own, "[X]")))
+        assert {x.i: x.m for x in frame.select("i", cut.alias("m")).collect()} == want
+
+
+def test_many_secrets_in_one_text(spark):
+    """Twice the text with twice the secrets takes about twice the time; names may clash."""
+    def seconds(n):
+        text = " ".join(f"words before password={'x9' * 8}{k:06d} and after" for k in range(n))
+        frame = spark.createDataFrame([(1, text, "s", "b")], "doc_id long, text string, secret_spans string, __base string")
+        t = time.perf_counter()
+        got = secret_scan.redact(frame)
+        row = got.first()
+        assert got.columns == frame.columns and row.secret_spans == "s" and row["__base"] == "b"
+        assert row.text.count("[secret]") == n and "x9x9" not in row.text
+        return time.perf_counter() - t
+    seconds(10)
+    first, second = seconds(4_000), seconds(8_000)
+    assert second < 3 * first + 2

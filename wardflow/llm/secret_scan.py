@@ -214,13 +214,46 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                       listing(F.col("secret_spans")).alias("spans"))
 
 
+#: Code points of the pieces, and of the blocks in them, that ``redact`` masks one by one.
+PIECE, BLOCK = 1 << 20, 1 << 12
+
+
+def _masked(text: Column, begin: Column, spans: Column, mask: str) -> Column:
+    """A block of text that begins at ``begin`` of the whole, with the spans that start
+    in it replaced, and without what earlier ones cover."""
+    end = begin + F.length(text)
+    reached = F.greatest(begin, F.coalesce(F.array_max(F.transform(F.filter(spans, lambda s: s["start"] < begin), lambda s: s["end"])), begin))
+    own = F.filter(spans, lambda s: (s["start"] >= begin) & (s["start"] < end))
+
+    def plain(a: Column, b: Column) -> Column:
+        return F.substring(text, a - begin + 1, F.greatest(b - a, F.lit(0)))
+    return F.aggregate(own, F.struct(F.lit("").alias("out"), reached.alias("at")), lambda a, s: F.struct(
+        F.when(s["start"] >= a["at"], F.concat(a["out"], plain(a["at"], s["start"]), F.lit(mask))).otherwise(a["out"]).alias("out"),
+        F.greatest(a["at"], s["end"]).alias("at")), lambda a: F.concat(a["out"], plain(a["at"], end)))
+
+
+def _blocks(text: Column, begin: Column, spans: Column, size: int, each) -> Column:
+    """``each`` of the blocks of a text that begins at ``begin``, joined. A block gets
+    the spans that reach into it."""
+    def one(i: Column) -> Column:
+        at = begin + i * size
+        near = F.filter(spans, lambda s: (s["end"] > at) & (s["start"] < at + size))
+        return _let(F.substring(text, i * size + 1, F.lit(size)), lambda part: _let(near, lambda some: each(part, at, some)))
+    last = F.floor((F.length(text) - 1) / size).cast("int")
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), one), "")
+
+
 def redact(docs: DataFrame, text_col: str = "text", mask: str = "[secret]") -> DataFrame:
     """``docs`` with every span (overlapping ones as one) replaced by ``mask``; a
-    null text stays null, and other columns are as they were."""
-    text, spans = F.col(text_col), F.col("secret_spans")
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    cut = F.aggregate(spans, start, lambda a, s: F.struct(
-        F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mask)))
-        .otherwise(a["out"]).alias("out"), F.greatest(a["at"], s["end"]).alias("at")),
-        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return scan(docs, text_col).withColumn(text_col, F.when(F.size(spans) > 0, cut).otherwise(text)).drop("secret_spans")
+    null text stays null, and other columns are as they were, whatever their names.
+
+    A text is cut into pieces and those into blocks, and each block is built once,
+    so a very long text with very many secrets takes time in proportion to both.
+    """
+    names = docs.columns
+    held = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    name = f"c{names.index(text_col)}"
+    text, spans = F.col(name), F.col("secret_spans")
+    cut = _blocks(text, F.lit(0), spans, PIECE, lambda piece, at, some: _blocks(
+        piece, at, some, BLOCK, lambda part, begin, own: _masked(part, begin, own, mask)))
+    return scan(held, name).withColumn(name, F.when(F.size(spans) > 0, cut).otherwise(text)).drop("secret_spans").toDF(*names)
