@@ -27,9 +27,12 @@ def _same(frame: DataFrame, like: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that are text of one of the languages; ``lang`` becomes the one identified."""
-    kept = identify(docs, "text", declared=F.col("lang"), host=F.col("source")).where("language_kept")
-    return _same(kept.withColumn("lang", F.col("language")), docs)
+    """Rows that are text of one of the languages; ``lang`` becomes the one identified.
+    All other columns come back as they were, whatever their names."""
+    own = [f"c{i}" for i in range(len(docs.columns))]
+    name = dict(zip(docs.columns, own))
+    kept = identify(docs.toDF(*own), name["text"], declared=F.col(name["lang"]), host=F.col(name["source"])).where("language_kept")
+    return kept.withColumn(name["lang"], F.col("language")).select(*own).toDF(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
