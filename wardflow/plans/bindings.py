@@ -556,7 +556,10 @@ LINE_ORDER = [("l_shipdate", "desc"), ("l_linenumber", "desc"), ("l_partkey", "d
 
 
 def last_movement(spark, sf):
-    li, o = T(spark, sf, "lineitem"), T(spark, sf, "orders")
+    return _last_movements(spark, sf, T(spark, sf, "orders"), T(spark, sf, "lineitem"))
+
+
+def _last_movements(spark, sf, o: DataFrame, li: DataFrame) -> DataFrame:
     s, n, r = T(spark, sf, "supplier"), T(spark, sf, "nation"), T(spark, sf, "region")
     last = link.top1(li, ["l_orderkey"], LINE_ORDER)
     # movement ⟕ dimension replaces the unit column (J2)
@@ -664,9 +667,11 @@ def hour_weekday(spark, sf):
 
 
 def destination_by_severity(spark, sf):
-    lm = last_movement(spark, sf).select("o_orderkey", F.col("r_name").alias("Tipo"))
-    o = T(spark, sf, "orders").select("o_orderkey", F.col("o_orderpriority").alias("COR_CLASSIF"),
-                                      F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("fl_conversao"))
+    # only converted visits count: their movements alone are ranked
+    converted = T(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
+    moves = T(spark, sf, "lineitem").join(converted, F.col("l_orderkey") == converted["o_orderkey"], "left_semi")
+    lm = _last_movements(spark, sf, converted, moves).select("o_orderkey", F.col("r_name").alias("Tipo"))
+    o = converted.select("o_orderkey", F.col("o_orderpriority").alias("COR_CLASSIF"), F.lit(1).alias("fl_conversao"))
     return insights.destination_by_severity(o.join(lm, "o_orderkey", "left"))
 
 
