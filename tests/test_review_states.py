@@ -136,3 +136,19 @@ def test_states_give_the_percentiles_of_a_scan(spark, method, exact):
 def test_every_declared_check_finds_its_fault(spark):
     got = {r.teste: r.casos for r in lake.rule_faults(spark, SF).collect()}
     assert len(got) == 53 and all(n > 0 for n in got.values())
+
+
+def test_interleaved_order_skips_on_every_key(spark, tmp_dir):
+    rows = [(a, b, c, "2025-01") for a in "abcdefgh" for b in "ijklmnop" for c in "qrstuvwx"] + [(None, "i", "q", "2025-01")]
+    df = spark.createDataFrame(rows, "a string, b string, c string, competencia string")
+
+    def shares(path):
+        back = spark.read.parquet(path).withColumn("f", F.col("_metadata.file_path"))
+        assert sorted(map(str, back.select("a", "b", "c").collect())) == sorted(map(str, df.select("a", "b", "c").collect()))
+        total = back.select("f").distinct().count()
+        spans = {k: [tuple(r) for r in back.groupBy("f").agg(F.min(k), F.max(k)).select(f"min({k})", f"max({k})").collect()] for k in "abc"}
+        return {k: sum(sum(lo <= v <= hi for lo, hi in s) for v in {r["abc".index(k)] for r in rows} - {None}) / 8 / total for k, s in spans.items()}
+    reports.write_mart(df, f"{tmp_dir}/sorted", cluster_by=["a", "b", "c"], parts=16)
+    reports.write_mart(df, f"{tmp_dir}/woven", cluster_by=["a", "b", "c"], interleave=True, parts=16)
+    plain, woven = shares(f"{tmp_dir}/sorted"), shares(f"{tmp_dir}/woven")
+    assert max(plain.values()) > 0.9 and max(woven.values()) <= 0.6

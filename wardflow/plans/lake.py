@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wardflow.operators import layouts, quality, states
 from wardflow.plans import domain, review
 from wardflow.plans.bindings import DETECTED_AT, ED_INPUTS, ED_MART_COLS, _stored_ed_mart, ed_raw_tables
-from wardflow.session import materialize
+from wardflow.session import materialize, scratch_path
 from wardflow.sources import control, reports
 from wardflow.streaming import ingest
 
@@ -271,6 +271,28 @@ def states_filtered(spark, sf):
     return out.withColumns({"competencia": F.col("competencia").cast("timestamp_ntz"), "p50": F.round("p50", 6), "p90": F.round("p90", 6)})
 
 
+# ----------------------------------------------------------------- clustered marts
+
+def mart_skipping(spark, sf):
+    """The domain mart written on a space-filling order of its three filter keys: for each
+    key its values and rows read back, and whether the least and greatest values
+    of the files leave out at least a quarter of them for a value, on average."""
+    mart, _ = _stored_ed_mart(spark, sf)
+    path = scratch_path(spark, "clustered")
+    reports.write_mart(mart, path, cluster_by=domain.MART_CLUSTER, interleave=True, parts=64)
+    back = spark.read.parquet(path).withColumn("__file", F.col("_metadata.file_path"))
+    out = None
+    for key in domain.MART_CLUSTER:
+        files = back.groupBy("__file").agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+        values = back.groupBy(F.col(key).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        admit = files.join(values, F.col("v").between(F.col("lo"), F.col("hi")), "right").groupBy("v", "n").agg(F.count("lo").alias("files"))
+        total = files.agg(F.count(F.lit(1)).alias("total"))   # one row
+        part = admit.join(F.broadcast(total)).groupBy(F.lit(key).alias("chave")).agg(
+            F.count(F.lit(1)).alias("valores"), F.sum("n").alias("linhas"), (F.avg(F.col("files") / F.col("total")) <= 0.75).cast("int").alias("pula"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ----------------------------------------------------------------- rules
 
 def rule_history(spark, sf):
@@ -328,5 +350,5 @@ def rule_faults(spark, sf):
                                      "ranking_especialidades": rank, "percentis_jornada": pct}, domain.declared_rules())
 
 
-QUERIES = {f.__name__: f for f in (rule_history, rule_faults, gate_starts, load_audit, arrivals_raw, ed_curated_mart, review_register, review_decisions,
+QUERIES = {f.__name__: f for f in (mart_skipping, rule_history, rule_faults, gate_starts, load_audit, arrivals_raw, ed_curated_mart, review_register, review_decisions,
                                 states_cube, states_filtered)}

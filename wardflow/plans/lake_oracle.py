@@ -189,3 +189,6 @@ SQL["rule_history"] = _WITH.rstrip() + "\n" + "\nUNION ALL\n".join(
     f"SELECT '{n}' AS teste, competencia, count(*) AS casos FROM mart2 WHERE {c} GROUP BY competencia" for n, c in _MART) + """
 UNION ALL SELECT 'dbt_utils_unique_combination_of_columns_atendimentos_pa_atend_PA__competencia', competencia, count(*)
 FROM (SELECT atend_PA, competencia FROM mart2 GROUP BY atend_PA, competencia HAVING count(*) > 1) GROUP BY competencia"""
+
+SQL["mart_skipping"] = "WITH " + ED_BASE.strip() + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{k}' AS chave, count(DISTINCT {k}) AS valores, count(*) AS linhas, 1 AS pula FROM mart" for k in ("SERVICO", "CONVENIO", "COR_CLASSIF"))

@@ -158,13 +158,42 @@ def overwrite_period(df: DataFrame, root: str, partition: str = PERIOD) -> None:
      .partitionBy(partition).parquet(root))
 
 
+def interleaved(df: DataFrame, keys: Sequence[str], bits: int = 6, column: str = "__z") -> DataFrame:
+    """``df`` with the place of each row on a space-filling curve over ``keys``: the bits
+    of the keys' ranks by turns, so that rows near each other in every key are near
+    each other in the order, and no key comes before the others.
+
+    A key's ranks are 2^bits ranges of its distinct values, found by a range
+    partitioning of them (no task sees them all) and stored, so that one value has one
+    rank wherever it is read.
+    """
+    from wardflow.session import materialize
+    place = F.lit(0)
+    for k, key in enumerate(keys):
+        ranges = df.select(F.col(key).alias("__v")).distinct().repartitionByRange(1 << bits, "__v")
+        ranges = materialize(ranges.select("__v", F.spark_partition_id().alias("__part")), "mart-ranges")
+        # few values fill few ranges: spread them over all bits, else they would only order what the other keys leave
+        used = (ranges.agg(F.max("__part")).first()[0] or 0) + 1
+        ranges = ranges.select("__v", F.floor(F.col("__part") * (1 << bits) / used).cast("int").alias(f"__r{k}"))
+        df = df.join(ranges, df[key].eqNullSafe(ranges["__v"])).drop("__v")
+        for bit in range(bits):
+            one = F.shiftright(F.col(f"__r{k}"), bit).bitwiseAND(F.lit(1))
+            place = place + F.shiftleft(one, bit * len(keys) + (len(keys) - 1 - k))
+    return df.withColumn(column, place).drop(*[f"__r{k}" for k in range(len(keys))])
+
+
 def write_mart(df: DataFrame, root: str, partition: str = PERIOD,
-               cluster_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+               cluster_by: Sequence[str] = (), mode: str = "overwrite", interleave: bool = False, parts: int | None = None) -> None:
     """Mart partitioned by period; optionally clustered (range partition +
-    sort inside each period) so Parquet min/max statistics can skip."""
+    sort inside each period) so Parquet min/max statistics can skip.  Sorted, the
+    first key skips best and the last hardly; with ``interleave`` all keys skip alike.
+    ``parts``: number of ranges (default: Spark's)."""
     out = df.hint("rebalance", partition)   # few files per period, a large period over many tasks
     if cluster_by:
-        out = df.repartitionByRange(partition, *cluster_by).sortWithinPartitions(partition, *cluster_by)
+        order = [partition, *(["__z"] if interleave else cluster_by)]
+        placed = interleaved(df, cluster_by) if interleave else df
+        ranged = placed.repartitionByRange(parts, *order) if parts else placed.repartitionByRange(*order)
+        out = ranged.sortWithinPartitions(*order).drop("__z")
     (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition).parquet(root))
 
