@@ -172,3 +172,15 @@ def test_whole_pipeline_runs(spark):
 
     got = pipeline.run(spark, SF)
     assert got.count() > 0 and "sequence_id" in got.columns
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline as pipeline
+
+    names = ("language_kept", "language_p", "secret_spans", "__base", "__tokens", "__said", "__host", "__text")
+    docs = edge(spark).withColumns({n: F.lit(f"own {n}") for n in names})
+    for stage in (pipeline.language_id, pipeline.secret_scans):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(r.language == "zz" and all(r[n] == f"own {n}" for n in names) for r in rows)
