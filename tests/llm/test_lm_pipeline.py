@@ -94,6 +94,39 @@ def check(frame, rows, training, got):
     assert len(got) == len(want)
 
 
+def test_scores_are_those_of_a_plain_loop():
+    """Token by token in double precision: gates, class and word softmax, state carried."""
+    rng = np.random.default_rng(8)
+    net = lm.Network(np.unique(rng.integers(1, 1 << 62, 300).astype(np.uint64)), np.arange(300, 0, -1)[:300], 50.0)
+    for k, v in net.p.items():
+        net.p[k] = (v + rng.standard_normal(v.shape) * (1.5 if k in ("c", "w") else 0.4)).astype(np.float32)
+    sizes = [1, 70, 0 + 2, 33, 200]
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    ids = rng.integers(0, len(net.names), at[-1])
+    p, s = {k: v.astype(float) for k, v in net.p.items()}, lm.STATE
+
+    def share(logits, i):
+        return logits[i] - np.log(np.exp(logits - logits.max()).sum()) - logits.max()
+    want = []
+    for a, b in zip(at, at[1:]):
+        state, before, total = np.zeros(s), net.start, 0.0
+        for token in ids[a:b]:
+            x, h = p["x"][before], state @ p["h"]
+            gates = 1 / (1 + np.exp(-(x[:2 * s] + h[:2 * s])))
+            new = np.tanh(x[2 * s:] + gates[s:] * h[2 * s:])
+            state = new + gates[:s] * (state - new)
+            kind = net.kind[token]
+            lo, hi = net.first[kind], net.first[kind + 1]
+            total += share(state @ p["c"] + p["cb"], kind) + share(p["w"][lo:hi] @ state + p["wb"][lo:hi], token - lo)
+            before = token
+        want.append(total)
+    assert np.allclose(lm.score_documents(net, ids, at), want, rtol=1e-4, atol=1e-3)
+    far = np.asarray([[0.0, -200.0], [-150.0, -149.0], [1.0, 2.0]], np.float32)  # rows too far apart for one top
+    work = far.copy()
+    total, top = lm._exponentials(work)
+    assert np.allclose(np.log(total) + top, np.logaddexp(far[:, 0], far[:, 1]), atol=1e-5)
+
+
 def test_tasks_begin_from_common_parameters(spark):
     """Tasks of one text each learn the same, whichever worker ran another before."""
     one, many = small_net()[0], small_net()[0]

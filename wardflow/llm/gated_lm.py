@@ -59,6 +59,19 @@ def word_ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray | np.float32]:
+    """exp(logits - top) in place; the sum of each row and ``top``, one number for all
+    rows, or each row's own where the logits lie too far apart for that."""
+    top = logits.max()
+    if top - logits.min() > 60:
+        top = logits.max(axis=1)
+        logits -= top[:, None]
+    else:
+        logits -= top
+    np.exp(logits, out=logits)
+    return logits @ np.ones(logits.shape[1], np.float32), top
+
+
 class Network:
     """Parameters of one network; ``words`` are hashes by class, the unknown word
     last among equals. Ids are places in ``words``; ``start`` precedes a text."""
@@ -70,7 +83,7 @@ class Network:
         mass, names = mass[order], names[order]
         share = (np.cumsum(mass) - mass / 2) / mass.sum()
         kind = np.minimum((share * CLASSES).astype(np.int64), CLASSES - 1)
-        kind = np.unique(kind, return_inverse=True)[1]
+        kind = np.unique(kind, return_inverse=True)[1].astype(np.int16)  # sorted by radix
         self.names, self.kind = names, kind
         self.first = np.concatenate((np.searchsorted(kind, np.arange(kind[-1] + 1)), [len(kind)]))
         self.unknown = int(np.flatnonzero(order == len(words))[0])
@@ -109,12 +122,22 @@ class Network:
         kept = []
         states = np.empty((*before.shape, s), np.float32)
         for t in range(len(before)):
-            prev = np.where(fresh[t][:, None], np.float32(0), state)
+            prev = state
+            if fresh[t].any():
+                prev = np.where(fresh[t][:, None], np.float32(0), state)
             a = prev @ wh
-            gates = 1 / (1 + np.exp(-(x[t, :, :2 * s] + a[:, :2 * s])))
+            gates = a[:, :2 * s] + x[t, :, :2 * s]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
             z, r = gates[:, :s], gates[:, s:]
-            new = 2 / (1 + np.exp(-2 * (x[t, :, 2 * s:] + r * a[:, 2 * s:]))) - 1
-            state = new + z * (prev - new)
+            new = r * a[:, 2 * s:]
+            new += x[t, :, 2 * s:]
+            np.tanh(new, out=new)
+            state = prev - new
+            state *= z
+            state += new
             states[t] = state
             kept.append((prev, z, r, new, a[:, 2 * s:]))
         return states, state, kept
@@ -123,40 +146,44 @@ class Network:
         """Natural log-probabilities of the targets, and with ``gradient`` those by
         parameter and state. ``states``: positions x state."""
         p = self.p
+        order = np.argsort(self.kind[target], kind="stable")  # a class is a slice from here on
+        states, target = states[order], target[order]
         kind = self.kind[target]
         rows = np.arange(len(target))
-        logits = states @ p["c"] + p["cb"]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        logp = logits[rows, kind] - np.log(total)
+        e = states @ p["c"]
+        e += p["cb"]
+        chosen = e[rows, kind]
+        total, top = _exponentials(e)
+        logp = chosen - top - np.log(total)
         grads = {}
         if gradient:
             e /= total[:, None]
             e[rows, kind] -= 1
             grads = {"c": states.T @ e, "cb": e.sum(axis=0), "w": np.zeros_like(p["w"]), "wb": np.zeros_like(p["wb"])}
             back = e @ p["c"].T
-        order = np.argsort(kind, kind="stable")
-        bounds = np.searchsorted(kind[order], np.arange(len(self.first)))
+        bounds = np.searchsorted(kind, np.arange(len(self.first)))
         for k in range(len(self.first) - 1):
             a, b = self.first[k], self.first[k + 1]
-            at = order[bounds[k]:bounds[k + 1]]
-            if b - a < 2 or not len(at):
+            u, v = bounds[k], bounds[k + 1]
+            if b - a < 2 or u == v:
                 continue
-            own = states[at]
-            inner = own @ p["w"][a:b].T + p["wb"][a:b]
-            inner -= inner.max(axis=1, keepdims=True)
-            place = target[at] - a
-            row = np.arange(len(at))
-            ei = np.exp(inner)
-            ti = ei.sum(axis=1)
-            logp[at] += inner[row, place] - np.log(ti)
+            own, place, row = states[u:v], target[u:v] - a, rows[:v - u]
+            inner = own @ p["w"][a:b].T
+            inner += p["wb"][a:b]
+            chosen = inner[row, place]
+            ti, top = _exponentials(inner)
+            logp[u:v] += chosen - top - np.log(ti)
             if gradient:
-                ei /= ti[:, None]
-                ei[row, place] -= 1
-                grads["w"][a:b], grads["wb"][a:b] = ei.T @ own, ei.sum(axis=0)
-                back[at] += ei @ p["w"][a:b]
-        return logp, grads, back if gradient else None
+                inner /= ti[:, None]
+                inner[row, place] -= 1
+                grads["w"][a:b], grads["wb"][a:b] = inner.T @ own, inner.sum(axis=0)
+                back[u:v] += inner @ p["w"][a:b]
+        out = np.empty_like(logp)
+        out[order] = logp
+        if gradient:
+            unsorted = np.empty_like(back)
+            unsorted[order] = back
+        return out, grads, unsorted if gradient else None
 
     def backward(self, before, fresh, kept, back, grads):
         s, wh = STATE, self.p["h"]
