@@ -189,17 +189,32 @@ class Network:
         s, wh = STATE, self.p["h"]
         dx = np.empty((*before.shape, 3 * s), np.float32)
         dh, dwh = np.zeros_like(back[0]), np.zeros_like(wh)
-        da = np.empty((before.shape[1], 3 * s), np.float32)
+        da, work = np.empty((before.shape[1], 3 * s), np.float32), np.empty((before.shape[1], s), np.float32)
         for t in range(len(before) - 1, -1, -1):
             prev, z, r, new, an = kept[t]
-            d = back[t] + dh
-            dn = d * (1 - z) * (1 - new * new)
-            dz = d * (prev - new) * z * (1 - z)
-            dr = dn * an * r * (1 - r)
-            da[:, :s], da[:, s:2 * s], da[:, 2 * s:] = dz, dr, dn * r
+            d = dh
+            d += back[t]
+            keep = 1 - z
+            dn = d * keep
+            np.multiply(new, new, out=work)
+            np.subtract(1, work, out=work)
+            dn *= work
+            np.subtract(prev, new, out=work)
+            work *= d
+            work *= z
+            np.multiply(work, keep, out=da[:, :s])
+            np.multiply(dn, an, out=work)
+            work *= r
+            np.subtract(1, r, out=keep)
+            np.multiply(work, keep, out=da[:, s:2 * s])
+            np.multiply(dn, r, out=da[:, 2 * s:])
             dx[t, :, :2 * s], dx[t, :, 2 * s:] = da[:, :2 * s], dn
             dwh += prev.T @ da
-            dh = np.where(fresh[t][:, None], np.float32(0), d * z + da @ wh.T)
+            dh = da @ wh.T
+            d *= z
+            dh += d
+            if fresh[t].any():
+                dh[fresh[t]] = 0
         grads["h"] = dwh
         token = before.ravel()
         order = np.argsort(token, kind="stable")
@@ -264,7 +279,7 @@ def train_documents(net: Network, ids: np.ndarray, at: np.ndarray, memory: dict)
         token, dx = net.backward(before, fresh, kept, (back * scale).reshape(*before.shape, STATE), grads)
         grads["h"] = grads["h"] / scale  # already scaled through ``back``
         for k, g in grads.items():
-            g = np.clip(g * scale, -1, 1).astype(np.float32)
+            g = np.clip(g * scale, -1, 1)
             m = memory.setdefault(k, np.full_like(net.p[k], 1e-6))
             m += g * g
             net.p[k] -= RATE * g / np.sqrt(m)
