@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardflow.operators import layouts, quality, states
@@ -284,11 +284,16 @@ def mart_skipping(spark, sf):
     out = None
     for key in domain.MART_CLUSTER:
         files = back.groupBy("__file").agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+        # a file admits the values from its least to its greatest: their number is a difference of ranks
         values = back.groupBy(F.col(key).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-        admit = files.join(values, F.col("v").between(F.col("lo"), F.col("hi")), "right").groupBy("v", "n").agg(F.count("lo").alias("files"))
-        total = files.agg(F.count(F.lit(1)).alias("total"))   # one row
-        part = admit.join(F.broadcast(total)).groupBy(F.lit(key).alias("chave")).agg(
-            F.count(F.lit(1)).alias("valores"), F.sum("n").alias("linhas"), (F.avg(F.col("files") / F.col("total")) <= 0.75).cast("int").alias("pula"))
+        ranked = values.withColumn("r", F.row_number().over(Window.partitionBy(F.lit(key)).orderBy("v")))   # a key's values
+        low, high = ranked.select(F.col("v").alias("lo"), F.col("r").alias("a")), ranked.select(F.col("v").alias("hi"), F.col("r").alias("b"))
+        admits = files.join(low, "lo").join(high, "hi").agg(F.sum(F.col("b") - F.col("a") + 1).alias("s"), F.count(F.lit(1)).alias("f"))
+        share = admits.select(F.lit(key).alias("chave"), (F.col("s") / F.col("f")).alias("s"))
+        total = values.groupBy(F.lit(key).alias("chave")).agg(F.count(F.lit(1)).alias("valores"), F.sum("n").alias("linhas"))
+        both = total.withColumn("s", F.lit(None).cast("double")).unionByName(share, allowMissingColumns=True)
+        part = both.groupBy("chave").agg(F.max("valores").alias("valores"), F.max("linhas").alias("linhas"), F.max("s").alias("s"))
+        part = part.select("chave", "valores", "linhas", (F.col("s") / F.col("valores") <= 0.75).cast("int").alias("pula"))
         out = part if out is None else out.unionByName(part)
     return out
 
