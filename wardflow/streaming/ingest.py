@@ -29,7 +29,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,29 +87,30 @@ def _with_file(df: DataFrame) -> DataFrame:
                            "__mtime": F.col("_metadata.file_modification_time")})
 
 
-def _routed(batch: DataFrame) -> DataFrame:
-    """Position, dataset, period and report of every row.  A report is a file, or
-    the folder of ``part-*`` files a writer such as Spark produces."""
-    name = F.element_at(F.split("__path", "/"), -1)
-    return batch.withColumns({
-        "__pos": F.monotonically_increasing_id(),   # still the plain file scan: ids follow the file order
-        "__dataset": route_source("__path"), PERIOD: period_from_path("__path"),
-        "__folder": F.when(name.startswith("part-"), F.regexp_replace("__path", "/[^/]*$", "")),
-    }).withColumn("__report", F.coalesce("__folder", "__path"))
+def _folder(path: str = "__path") -> Column:
+    """The folder of a ``part-*`` file, such as a writer like Spark puts there: the
+    folder is the report.  NULL for a file that is a report itself."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return F.when(name.startswith("part-"), F.regexp_replace(path, "/[^/]*$", ""))
+
+
+def _numbered(scan: DataFrame) -> DataFrame:
+    """Rows of a plain file scan with their position: ids follow the file order."""
+    return scan.withColumn("__pos", F.monotonically_increasing_id())
 
 
 def _reject(rejected: DataFrame, sink: str, epoch: int) -> None:
     """Paths of rejected files, one folder per micro-batch: a retry overwrites it."""
-    (rejected.select("__path").distinct().write.mode("overwrite")
+    (rejected.select("__path").write.mode("overwrite")
      .parquet(os.path.join(sink, "_rejeitados", f"lote={epoch}")))
 
 
 # ---------------------------------------------------------------- text reports
 
-def _headers(lines: DataFrame) -> DataFrame:
-    """(__path, names): the first line of each file, as column names."""
-    first = lines.where(F.col("__blk") == 0).groupBy("__path").agg(F.min_by("value", "__pos").alias("h"), F.min("__pos").alias("__first"))
-    return first.select("__path", "__first", plain(F.split("h", ",")).alias("names"))
+def _headers(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """(__path, __first, names): the first line of each file, as column names."""
+    first = lines.join(files.select("__path", "__first"), "__path").where(F.col("__pos") == F.col("__first"))
+    return first.select("__path", "__first", plain(F.split("value", ",")).alias("names"))
 
 
 def _refusals(headers: DataFrame, contracts: dict[str, Contract]) -> DataFrame:
@@ -125,11 +126,14 @@ MOST_COLUMNS = 128
 
 def _by_name(lines: DataFrame, headers: DataFrame, contract: Contract) -> DataFrame:
     """The stored columns of tabular report lines, found by the names in each file's
-    header; columns that a file lacks are null."""
-    rows = lines.join(headers, "__path").where(F.col("__pos") != F.col("__first"))
-    rows = rows.withColumn("__cells", csv_cells("value", MOST_COLUMNS))
-    return rows.select(*[F.get("__cells", F.array_position("names", c).cast("int") - 1).alias(c) for c in contract.stored],
-                       PERIOD, *ROW_ORDER)
+    header; columns that a file lacks are null.  Lines are parsed as far as the widest
+    header goes: the parser's time follows the cells it is asked for."""
+    widest = headers.agg(F.max(F.size("names"))).first()[0] or 1
+    # where a column is follows from the file alone: looked up once a file, not once a line
+    places = headers.select("__path", "__first", *[(F.array_position("names", c).cast("int") - 1).alias(f"__at{i}") for i, c in enumerate(contract.stored)])
+    rows = lines.join(materialize(places, "ingest-places"), "__path").where(F.col("__pos") != F.col("__first"))
+    rows = rows.withColumn("__cells", csv_cells("value", min(widest, MOST_COLUMNS)))
+    return rows.select(*[F.get("__cells", f"__at{i}").alias(c) for i, c in enumerate(contract.stored)], PERIOD, *ROW_ORDER)
 
 
 def _movements(lines: DataFrame) -> DataFrame:
@@ -157,48 +161,60 @@ class Arrivals:
 
     def __call__(self, batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        routed = _routed(batch)
         # a part file that arrives late belongs to a report whose other files
         # were loaded before: the period is overwritten, so read the whole folder
-        folders = [r[0] for r in routed.select("__folder").where("__folder IS NOT NULL").distinct().collect()]  # reports of the batch
+        paths = batch.select("__path").distinct().select("__path", _folder().alias("__folder"))
+        found = paths.groupBy("__folder").agg(F.count(F.lit(1))).collect()  # reports of the batch
+        folders = [r[0] for r in found if r[0] is not None]
+        lines = _numbered(batch)
         if folders:
-            routed = routed.where("__folder IS NULL").unionByName(_routed(self.read_folders(spark, folders)))
-        routed = routed.drop("__folder")
+            again = _numbered(self.read_folders(spark, folders))
+            lines = again if len(folders) == len(found) else lines.where(_folder().isNull()).unionByName(again)
+        # one pass over the files; what follows reads the stored columns it needs
+        lines = lines.withColumn("__to", F.coalesce(route_source("__path"), F.lit("rejeitar")))
+        path = scratch_path(spark, "ingest")
+        lines.write.partitionBy("__to").parquet(path)
+        stored = spark.read.schema(lines.schema).parquet(path)
+        files = materialize(self._files(stored), "ingest-files")
         headers = refused = None
         if self.contracts is not None:  # two rows a file; stored, since the lines below are joined with them
-            headers = materialize(_headers(routed), "ingest-headers")
+            tabular = F.col("__to").isin(list(self.contracts))
+            headers = materialize(_headers(stored.where(tabular), files.where("__first IS NOT NULL")), "ingest-headers")
             refused = _refusals(headers, self.contracts)
-        mine = control.record(self._reports(routed, refused), self.sink, "relatorios", self.writer, epoch)
+        mine = control.record(self._reports(files, refused), self.sink, "relatorios", self.writer, epoch)
         # Chosen by aggregates over the reports (one row each) joined back, never a
         # window over a period.
         known = control.recorded(spark, self.sink, "relatorios", REPORTS).where("recusa IS NULL")
         newest = (known.join(mine.select("dataset", PERIOD).distinct(), ["dataset", PERIOD], "left_semi")
                        .groupBy("dataset", PERIOD).agg(F.max_by("relatorio", F.struct("versao", "relatorio")).alias("__newest")))
         newest = materialize(newest, "ingest-newest").select(F.col("dataset").alias("__dataset"), PERIOD, "__newest")
-        chosen = F.col("__report") == F.col("__newest")
-        to = F.when(F.col("__dataset").isNull() | F.col(PERIOD).isNull(), "rejeitar").when(chosen, F.col("__dataset"))
-        # one pass over the files; the loads then read their own partition
-        path = scratch_path(spark, "ingest")
-        (routed.join(newest, ["__dataset", PERIOD], "left").withColumn("__to", to).where("__to IS NOT NULL")
-               .drop("__newest", "__mtime").write.partitionBy("__to").parquet(path))
-        kept = [T.StructField(f.name, f.dataType) for f in routed.schema.fields if f.name != "__mtime"]
-        stored = spark.read.schema(T.StructType([*kept, T.StructField("__to", T.StringType())])).parquet(path)
+        chosen = materialize(files.join(newest, ["__dataset", PERIOD]).where(F.col("__report") == F.col("__newest"))
+                             .select("__path", "__dataset", PERIOD, "__report", "n"), "ingest-chosen")
+        kept = [c for c in stored.columns if c not in ("__to", "__mtime", PERIOD)]
         counts = [self._left_out(mine, newest)]
         for name in SOURCES:
-            part = stored.where(F.col("__to") == name).drop("__to")
-            if not part.isEmpty():
-                counts += self._load(name, part, headers)
+            own = chosen.where(F.col("__dataset") == name)
+            if not own.isEmpty():
+                part = stored.where(F.col("__to") == name).select(*kept).join(own.select("__path", PERIOD), "__path")
+                counts += self._load(name, part, own, headers)
         audit = control.record(reduce(DataFrame.unionByName, counts), self.sink, "cargas", self.writer, epoch)
         for r in audit.groupBy("dataset", "motivo").agg(F.sum("linhas").alias("n")).collect():  # some dozen rows
             LOG.info("%s lote %s: %s %s", r.dataset, epoch, r.n, r.motivo)
-        rejected = stored.where(F.col("__to") == "rejeitar")
+        rejected = files.where(F.col("__dataset").isNull() | F.col(PERIOD).isNull())
         if not rejected.isEmpty():
             _reject(rejected, self.sink, epoch)
         self._start(spark, mine, epoch)
 
-    def _reports(self, routed: DataFrame, refused: DataFrame | None) -> DataFrame:
+    def _files(self, stored: DataFrame) -> DataFrame:
+        """A row per file of the batch: its dataset, period and report, which follow from
+        its name, its time and rows, and the position of its first row."""
+        first = F.min(F.when(F.col("__blk") == 0, F.col("__pos")))
+        files = stored.groupBy("__path").agg(F.max("__mtime").alias("m"), F.count(F.lit(1)).alias("n"), first.alias("__first"))
+        return files.withColumns({"__dataset": route_source("__path"), PERIOD: period_from_path("__path"),
+                                  "__report": F.coalesce(_folder(), "__path")})
+
+    def _reports(self, files: DataFrame, refused: DataFrame | None) -> DataFrame:
         """A row per report of the batch, in the form of REPORTS."""
-        files = routed.groupBy("__dataset", PERIOD, "__report", "__path").agg(F.max("__mtime").alias("m"), F.count(F.lit(1)).alias("n"))
         files = files.join(refused, "__path", "left") if refused is not None else files.withColumn("recusa", F.lit(None).cast("string"))
         got = files.groupBy("__dataset", PERIOD, "__report").agg(F.max("m").cast("timestamp").alias("versao"), F.sum("n").alias("linhas"),
                                                                  F.array_join(F.array_sort(F.collect_set("recusa")), "; ").alias("recusa"))
@@ -213,15 +229,15 @@ class Arrivals:
         out = known.select("dataset", PERIOD, "relatorio", reason.alias("motivo"), "linhas").where("motivo IS NOT NULL")
         return out.unionByName(mine.select("dataset", PERIOD, "relatorio", F.lit("lidas").alias("motivo"), "linhas"))
 
-    def _load(self, name: str, part: DataFrame, headers: DataFrame | None) -> list[DataFrame]:
-        """Store the newest reports of a dataset; their counts, as in LOADS."""
+    def _load(self, name: str, lines: DataFrame, files: DataFrame, headers: DataFrame | None) -> list[DataFrame]:
+        """Store the newest reports of a dataset, the ``lines`` of ``files``; their counts, as in LOADS."""
         load = self.loaders.get(name)
-        read = part.groupBy(PERIOD).agg(F.first("__report").alias("relatorio"), F.count(F.lit(1)).alias("linhas"))
-        lines = part.drop("__dataset", "__report")
+        read = files.groupBy(PERIOD).agg(F.first("__report").alias("relatorio"), F.sum("n").alias("linhas"))
         if self.contracts is None:
             rows = lines
         elif name in self.contracts:
-            rows = materialize(_by_name(lines, headers, self.contracts[name]), f"ingest-{name}")
+            headers = headers.join(files.select("__path", PERIOD), "__path")
+            rows = materialize(_by_name(lines, headers.drop(PERIOD), self.contracts[name]), f"ingest-{name}")
         else:
             rows = materialize(_movements(lines), "movements")
         counts = {"outra_empresa": None, "gravadas": None}
@@ -241,7 +257,7 @@ class Arrivals:
                       else joined.withColumn(reason, F.lit(0).cast("long")))
         rest = F.col("linhas") - F.coalesce("outra_empresa", F.lit(0)) - F.coalesce("gravadas", F.lit(0))
         if self.contracts is not None and name in self.contracts:
-            joined = joined.join(headers.join(part.select("__path", PERIOD).distinct(), "__path").groupBy(PERIOD).agg(F.count(F.lit(1)).alias("cabecalho")),
+            joined = joined.join(headers.groupBy(PERIOD).agg(F.count(F.lit(1)).alias("cabecalho")),
                                  PERIOD, "left")
             rest = rest - F.col("cabecalho")
         else:
