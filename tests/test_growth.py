@@ -2,6 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from wardflow import session
+from wardflow.operators import link, quality
+from wardflow.plans import domain
 from wardflow.sources.contracts import Contract
 from wardflow.streaming import ingest
 
@@ -39,3 +42,52 @@ def test_arriving_files_are_read_as_text_once(spark, tmp_dir):
     load(batch, 0)
     assert read.value == 2   # a header and a row
     assert [tuple(r) for r in spark.read.parquet(f"{tmp_dir}/raw/internacoes").select("ATENDIMENTO", "ORIGEM_ATEND").collect()] == [("7", "X")]
+
+
+def _tasks(df) -> int:
+    return df.rdd.getNumPartitions()
+
+
+def test_spread_follows_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_A_TASK", 100)
+    rows = spark.range(1050)
+    assert _tasks(session.spread(rows, "id")) == 11
+    assert _tasks(session.spread(rows, "id", rows=0)) == 1
+    assert session.spread(rows, "id").agg(F.sum("id"), F.count("id")).first() == (1050 * 1049 // 2, 1050)
+
+
+def _combined_first(df) -> bool:
+    """Whether rows are aggregated in the tasks that read them, before any shuffle."""
+    lines = _plan(df).splitlines()
+    return any("partial_" in x for i, x in enumerate(lines) if not any("Exchange" in y for y in lines[i:]))
+
+
+def test_unique_rule_holds_no_split_of_keys(spark, monkeypatch):
+    """The keys are shuffled into tasks of bounded size before they are counted."""
+    monkeypatch.setattr(session, "ROWS_A_TASK", 2)
+    rows = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 1), (None, 1), (2, None), (3, 3)], "a int, b int")
+    got = quality.duplicate_keys(rows, ["a", "b"], "u")
+    assert "hashpartitioning(a#" in _plan(got) and ", 4), REPARTITION_BY_NUM" in _plan(got)
+    assert not _combined_first(got)
+    assert [tuple(r) for r in got.collect()] == [("u", "1|1", 2)]
+
+
+def test_register_batch_holds_no_split_of_visits(spark, monkeypatch):
+    """The grain rule and the lookup of periods aggregate tasks of bounded size."""
+    monkeypatch.setattr(session, "ROWS_A_TASK", 2)
+    mart = spark.createDataFrame([(1, "2024-01-01", "A", 0), (1, "2024-01-01", "A", 0), (2, "2024-01-01", "B", 1), (3, "2024-02-01", None, 0), (3, "2024-01-01", None, 0)],
+                                 "atend_PA long, competencia string, SERVICO string, fl_suspeito_conversao int").withColumn("competencia", F.col("competencia").cast("date"))
+    none = mart.select(F.lit("regra").alias("teste"), F.col("atend_PA").alias("nr_atendimento"), F.lit(None).cast("date").alias("competencia"), F.lit(None).cast("string").alias("servico"))
+    got = domain.register_batch(mart, none.where("nr_atendimento = 3").limit(1), "2026-01-01 00:00:00")
+    assert _plan(got).count("REPARTITION_BY_NUM") == 2
+    found = sorted((r.teste[:4], r.nr_atendimento, str(r.competencia), r.servico) for r in got.collect())
+    assert found == [("dbt_", 1, "2024-01-01", "A"), ("fl_s", 2, "2024-01-01", "B"), ("regr", 3, "2024-01-01", "NAO_IDENTIFICADO")]
+
+
+def test_return_days_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_A_TASK", 2)
+    rows = spark.createDataFrame([(1, 7, "a", "2024-01-01"), (2, 7, "a", "2024-01-03"), (3, 7, "b", "2024-01-02"), (4, None, "a", "2024-01-02")],
+                                 "id long, p long, c string, d string").withColumn("d", F.col("d").cast("date"))
+    got = link.returning_ids(rows, id_col="id", patient="p", code="c", day="d")
+    assert "REPARTITION_BY_NUM" in _plan(got)
+    assert [r[0] for r in got.collect()] == [1]
