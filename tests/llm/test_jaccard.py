@@ -83,6 +83,37 @@ def test_batches_of_another_reading(spark, monkeypatch):
     assert got(frame) == brute(rows)
 
 
+def test_few_pairs_of_many_near_copies(spark, monkeypatch):
+    """Far fewer pairs are compared than a group of near copies has, linked or not."""
+    r = random.Random(3)
+    base = [f"b{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 400):
+        text = list(base)
+        for k in r.sample(range(150), r.randrange(1, 8)):
+            text[k] = f"x{i}.{k}"
+        rows.append((i, " ".join(text)))
+    compared, seen = jaccard._Space.compare, []
+
+    def counted(self, pairs, name):
+        seen.append(pairs.count())
+        return compared(self, pairs, name)
+    monkeypatch.setattr(jaccard._Space, "compare", counted)
+    assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)) == brute(rows)
+    assert sum(seen) < len(rows) * (len(rows) - 1) // 2 // 4
+
+
+def test_sizes_that_can_link(spark):
+    """The bounds on the sizes of partners drop no pair on the border, whichever is greater."""
+    rows = []
+    for n in (5, 9, 10, 14, 24, 45, 50):   # words; all end alike, so the shared shingles lie anywhere in the order
+        tail = [f"t{n}.{i}" for i in range(n)]
+        rows += [(len(rows) + k, " ".join([f"h{n}.{i}" for i in range(k)] + tail)) for k in range(n // 3 + 1)]
+        rows += [(len(rows) + k, " ".join(tail[:k] + [f"m{n}.{k}"] + tail[k + 1:])) for k in range(n)]
+    rows = [(i, t) for i, (_, t) in enumerate(rows)]
+    assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
+
+
 def test_edges(spark):
     rows = [(i, t) for i, t, *_ in edge_rows()]
     assert got(edge(spark)) == brute(rows)

@@ -10,15 +10,18 @@ so the space is cut twice:
   d(X, Y) <= r, the two share at least ceil(0.8 |X|) shingles, so one of the
   first |X| - ceil(0.8 |X|) + 1 of X in that order is among the first of Y. X is
   therefore replicated to just those regions: no linked pair is lost, and no
-  other region need see X.
+  other region need see X. If the first shingle that X and Y share is the j-th of
+  X, they share |X| - j + 1 at most, which bounds |Y|: X meets only members of the
+  region whose sizes are within its bound, and it within theirs.
 * **Document pivots.** Within a region, one document is the pivot and the others
   are compared with it. It is chosen in two steps, per batch of documents and
   then among those batch pivots, so a region that a third of all documents share
   sends one entry per batch and is never in one task. Members within r of their
   pivot are connected, which settles most regions without a pair among their
-  members. A region that still holds several components gets a pivot for each
-  component, and finally the pairs left. A round's links are merged into
-  components before the next round looks for what is left.
+  members. In a region that still holds several components, the few members
+  nearest to those they link with become pivots for all others, and finally the
+  pairs left are compared. A round's links are merged into components before the next round looks
+  for what is left.
 * **Triangle-inequality windows.** |X D Y|, the size of the symmetric difference,
   is a metric too. Each class carries its distances to the parts of a fixed
   division of all shingles (how many of each it holds; the division is halved
@@ -37,7 +40,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardflow.llm.common import bounded_batches, lower_ascii, mix, ragged, shingle_hashes, span_hashes, text_buffer, word_spans
@@ -51,8 +54,12 @@ PERCENT = 80
 FREQUENT = 1 << 18
 #: Parts of the shingle space, for the windows: 2^LEAST_BITS at least.
 LEAST_BITS = 7
-#: Region entries (16 bytes) that one group of the second step holds, about.
+#: Region entries (24 bytes) that one group of the second step holds, about.
 GROUP_ENTRIES = 500_000
+#: Pivots of a region and size class in the second round.
+HUBS = 8
+#: Sizes in one size class differ by this factor at most.
+SIZE_CLASS = 1.12
 #: Bits of the filter that keeps uninvolved documents from the second reading.
 FILTER_BITS = 1 << 25
 
@@ -100,6 +107,12 @@ def _prefix(u: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarr
     return u[:size]
 
 
+def _partner(n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The greatest size of a set that links with one of ``n`` shingles, if the first
+    shingle they share is at ``place`` (from 0) of the latter."""
+    return np.minimum(((100 + PERCENT) * (n - place) - PERCENT * n) // PERCENT, 100 * n // PERCENT)
+
+
 def _parts(u: np.ndarray) -> np.ndarray:
     """How many shingles lie in each part; parts are the leading bits of the hash."""
     bits = max(LEAST_BITS, int(max(len(u) - 1, 1) // 8).bit_length())
@@ -122,8 +135,9 @@ def connected(edges: DataFrame, name: str) -> DataFrame:
         labels = step.select("node", F.col("next").alias("label"))
 
 
-def _linked(shared: Column, a: Column, b: Column) -> Column:
-    return 100 * shared >= PERCENT * (a + b - shared)
+def _spare(shared: Column, a: Column, b: Column) -> Column:
+    """How far two sets are from the border of being linked: not below 0 if they are."""
+    return 100 * shared - PERCENT * (a + b - shared)
 
 
 class _Space:
@@ -159,51 +173,60 @@ class _Space:
         scratch = scratch_path(self.spark, "jaccard-entries"), scratch_path(self.spark, "jaccard-between")
         inside, between = self._regions(*scratch)
         both = inside.union(between)
-        self.first = materialize(both.select(*_pairs("cls", "pivot")).distinct(), "jaccard-candidates")
-        self.members = materialize(both.select("s", "cls").union(both.select("s", F.col("pivot").alias("cls"))).distinct(), "jaccard-members")
+        meet = both.where("pn <= u AND n <= pu")
+        self.first = materialize(meet.select(*_pairs("cls", "pivot", "n", "pn")).distinct(), "jaccard-candidates")
+        self.members = materialize(both.select("s", "cls", "n", "u").union(both.select("s", "pivot", "pn", "pu")).distinct(), "jaccard-members")
         for path in scratch:
             discard(self.spark, path)
 
     def _regions(self, entries_path: str, between_path: str) -> tuple[DataFrame, DataFrame]:
-        """(s, cls, pivot): of the members of each region within a batch, and of
-        the batch pivots of each region. Both come from one reading, stored once:
+        """(s, cls, n, u, pivot, pn, pu): of the members of each region within a batch,
+        and of the batch pivots of each region; ``n`` is the size, ``u`` the bound on
+        sizes that it can link with there. Both come from one reading, stored once:
         another reading may cut other batches, with other pivots."""
-        listed = self.classes.select("cls", "regions")
+        listed = self.classes.select("cls", "n", "regions")
         total = self.classes.agg(F.sum(F.size("regions"))).first()[0] or 0
         buckets = max(1, -(-int(total) // GROUP_ENTRIES))
 
+        def unpacked(size: np.ndarray) -> list[pa.Array]:
+            return [pa.array(size >> 32), pa.array(size & 0xFFFFFFFF)]
+
         def entries(batches):
             for b in batches:
-                cls = np.repeat(np.asarray(b.column(0)), np.diff(np.asarray(b.column(1).offsets)))
-                regions = np.asarray(b.column(1).flatten())
+                sizes = np.diff(np.asarray(b.column(2).offsets))
+                cls, n = np.repeat(np.asarray(b.column(0)), sizes), np.repeat(np.asarray(b.column(1)), sizes)
+                regions = np.asarray(b.column(2).flatten())
+                place = np.arange(len(regions)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                size = n << 32 | _partner(n, place)
                 order = np.lexsort((cls, regions))
-                cls, regions = cls[order], regions[order]
+                cls, regions, size = cls[order], regions[order], size[order]
                 head = np.concatenate(([True], regions[1:] != regions[:-1])) if len(regions) else np.zeros(0, bool)
-                pivot = cls[head][np.cumsum(head) - 1] if len(cls) else cls
-                rest = [pa.array(x[~head]) for x in (regions, cls, pivot)]
-                none = len(rest[0])
-                yield pa.RecordBatch.from_arrays([*rest, pa.nulls(none, pa.int64()), pa.nulls(none, pa.binary())], names)
-                regions, cls = regions[head], cls[head]
+                at = np.flatnonzero(head)[np.cumsum(head) - 1] if len(cls) else np.zeros(0, np.int64)
+                rest, none = ~head, pa.nulls(int((~head).sum()), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(regions[rest]), pa.array(cls[rest]), *unpacked(size[rest]), pa.array(cls[at][rest]),
+                                                  *unpacked(size[at][rest]), none, pa.nulls(len(none), pa.binary())], names)
+                regions, cls, size = regions[head], cls[head], size[head]
                 to = mix(regions.view(np.uint64)) % np.uint64(buckets)
                 order = np.argsort(to, kind="stable")
-                pair = np.stack((regions[order], cls[order]), 1)
+                entry = np.stack((regions[order], cls[order], size[order]), 1)
                 at = np.flatnonzero(np.concatenate(([True], np.diff(to[order]) != 0))) if len(order) else np.zeros(0, np.int64)
-                blobs = [x.tobytes() for x in np.split(pair, at[1:])] if len(at) else []
-                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(at), pa.int64())] * 3, pa.array(to[order][at].view(np.int64)),
+                blobs = [x.tobytes() for x in np.split(entry, at[1:])] if len(at) else []
+                yield pa.RecordBatch.from_arrays([*[pa.nulls(len(at), pa.int64())] * 7, pa.array(to[order][at].view(np.int64)),
                                                   pa.array(blobs, pa.binary())], names)
 
         def join_pivots(t: pa.Table) -> pa.Table:
-            pair = np.concatenate([np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 2) for x in t.column("entries")])
-            pair = pair[np.lexsort((pair[:, 1], pair[:, 0]))]
-            head = np.concatenate(([True], pair[1:, 0] != pair[:-1, 0]))
-            pivot = pair[head, 1][np.cumsum(head) - 1]
-            more = (pair[:, 1] != pivot)
-            return pa.table({"s": pair[more, 0], "cls": pair[more, 1], "pivot": pivot[more]})
-
-        schema, names = "s long, cls long, pivot long", ["s", "cls", "pivot", "bucket", "entries"]
+            entry = np.concatenate([np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 3) for x in t.column("entries")])
+            entry = entry[np.lexsort((entry[:, 1], entry[:, 0]))]
+            head = np.concatenate(([True], entry[1:, 0] != entry[:-1, 0]))
+            pivot = entry[np.flatnonzero(head)[np.cumsum(head) - 1]][~head]
+            entry = entry[~head]
+            return pa.table([pa.array(entry[:, 0]), pa.array(entry[:, 1]), *unpacked(entry[:, 2]), pa.array(pivot[:, 1]), *unpacked(pivot[:, 2])], names[:7])
+
+        names = ["s", "cls", "n", "u", "pivot", "pn", "pu", "bucket", "entries"]
+        schema = ", ".join(f"{c} long" for c in names[:7])
         stored = materialize(listed.mapInArrow(entries, f"{schema}, bucket long, entries binary"), "jaccard-entries", entries_path)
         between = stored.where("bucket IS NOT NULL").select("bucket", "entries").groupBy("bucket").applyInArrow(join_pivots, schema)
-        return stored.where("bucket IS NULL").select("s", "cls", "pivot"), materialize(between, "jaccard-between", between_path)
+        return stored.where("bucket IS NULL").select(*names[:7]), materialize(between, "jaccard-between", between_path)
 
     def _sets_of(self, wanted: DataFrame, path: str) -> DataFrame:
         """(cls, u): the whole sets of the classes ``wanted`` (cls), by a second
@@ -235,15 +258,12 @@ class _Space:
                            .select("cls", "u"), "jaccard-sets", path)
 
     def compare(self, pairs: DataFrame, name: str) -> DataFrame:
-        """(a, b, linked) of distinct pairs of classes, a < b: first by the window,
-        then, if the window leaves it open, by the whole sets."""
-        n = self.classes.select("cls", "n")
-        sized = pairs.join(n.toDF("a", "na"), "a").join(n.toDF("b", "nb"), "b")
-        fits = 100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")
+        """(a, b, linked, spare) of distinct pairs of classes, a < b, with their sizes na
+        and nb: first by the window, then, if the window leaves it open, by the whole sets."""
         parts = self.classes.select("cls", "parts")
-        seen = sized.where(fits).join(parts.toDF("a", "pa"), "a").join(parts.toDF("b", "pb"), "b")
+        seen = pairs.join(parts.toDF("a", "pa"), "a").join(parts.toDF("b", "pb"), "b")
 
-        def coarse(p, other):  # sizes of a fitting pair are one halving apart at most
+        def coarse(p, other):  # sizes of a pair are one halving apart at most
             halved = F.transform(F.sequence(F.lit(0), (F.size(p) / 2 - 1).cast("int")),
                                  lambda i: (F.get(p, 2 * i) + F.get(p, 2 * i + 1)).cast("smallint"))
             return F.when(F.size(p) > F.size(other), halved).otherwise(F.col(p))
@@ -251,21 +271,28 @@ class _Space:
                             F.lit(0), lambda acc, d: acc + d)
         # |X D Y| >= apart, so |X n Y| <= (|X| + |Y| - apart) / 2
         most = F.floor((F.col("na") + F.col("nb") - apart) / 2)
-        seen = seen.select("a", "b", "na", "nb", _linked(most, F.col("na"), F.col("nb")).alias("open"))
-        sized = materialize(seen.union(sized.where(~fits).select("a", "b", "na", "nb", F.lit(False))), name)
-        near = sized.where("open")
+        seen = materialize(seen.select("a", "b", "na", "nb", (_spare(most, F.col("na"), F.col("nb")) >= 0).alias("open")), name)
+        near, shut = seen.where("open"), seen.where("NOT open").select("a", "b", F.lit(False).alias("linked"), F.lit(None).cast("long").alias("spare"))
+        if near.isEmpty():
+            return shut
         path = scratch_path(self.spark, "jaccard-sets")
         full = self._sets_of(near.select(F.col("a").alias("cls")).union(near.select("b")).distinct(), path)
         near = near.join(full.toDF("a", "ua"), "a").join(full.toDF("b", "ub"), "b")
         shared = F.size(F.array_intersect("ua", "ub")).cast("long")
-        near = near.select("a", "b", _linked(shared, F.col("na"), F.col("nb")).alias("linked"))
-        compared = materialize(near.union(sized.where("NOT open").select("a", "b", F.lit(False))), name)
+        near = near.select("a", "b", _spare(shared, F.col("na"), F.col("nb")).alias("spare")).select("a", "b", (F.col("spare") >= 0).alias("linked"), "spare")
+        compared = materialize(near.union(shut), name)
         discard(self.spark, path)
         return compared
 
 
-def _pairs(x: str, y: str) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def _pairs(x: str, y: str, nx: str, ny: str) -> list[Column]:
+    first = F.col(x) < F.col(y)
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b"),
+            F.when(first, F.col(nx)).otherwise(F.col(ny)).alias("na"), F.when(first, F.col(ny)).otherwise(F.col(nx)).alias("nb")]
+
+
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(n) / F.log(F.lit(SIZE_CLASS)))
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -283,28 +310,30 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     space = _Space(texts)
     members = space.members
     first = space.compare(space.first, "jaccard-first")
-    tested, links = first, first.where("linked").select("a", "b")
-    for step in ("pivots", "rest"):
+    tested, links = first, first.where("linked").select("a", "b", "spare")
+    for step in ("hubs", "rest"):
         labels = connected(links, f"jaccard-{step}")
-        held = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("s", "cls", F.coalesce("label", "cls").alias("label"))
-        open_regions = held.groupBy("s").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("s")
-        held = materialize(held.join(open_regions, "s", "left_semi").select("s", "cls", "label"), f"jaccard-open-{step}")
+        held = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("s", "cls", "n", "u", F.coalesce("label", "cls").alias("label"))
+        open_regions = held.groupBy("s").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min("n").alias("low")).where("x < y").select("s", "low")
+        held = materialize(held.join(open_regions, "s").where("u >= low").select("s", "cls", "n", "u", "label"), f"jaccard-open-{step}")
         if held.isEmpty():
             break
-        # sizes of linked documents differ by a factor of 1.25 at most: by the triangle
-        # inequality at the empty set, only neighbouring size classes can link
-        sized = held.join(space.classes.select("cls", "n"), "cls").withColumn("w", F.floor(F.log("n") / F.log(F.lit(1.26))))
-        around = F.explode(F.array(*[F.col("w") + k for k in (-1, 0, 1)]))
-        if step == "pivots":  # a pivot for each component of the region and size class
-            other = sized.groupBy("s", F.col("label").alias("to"), "w").agg(F.min("cls").alias("other")).select("s", "to", "other", around.alias("w"))
-            pairs = sized.join(other, ["s", "w"]).where("label <> to").select(*_pairs("cls", "other"))
-        else:  # what is left between components
-            y = sized.select("s", F.col("cls").alias("y"), F.col("label").alias("ly"), around.alias("w"))
-            pairs = sized.join(y, ["s", "w"]).where("label < ly").select(*_pairs("cls", "y"))
+        sized = held.withColumn("w", _size_class(F.col("n")))
+        if step == "hubs":  # the members of the region and size class that are nearest to those they link with
+            nearness = links.select(F.explode(F.array("a", "b")).alias("cls"), "spare").groupBy("cls").agg(F.avg("spare").alias("spare"))
+            rank = F.row_number().over(Window.partitionBy("s", "w").orderBy(F.desc("spare"), "cls"))
+            other = sized.join(nearness, "cls").withColumn("r", rank).where(F.col("r") <= HUBS)
+            other = other.select("s", "w", F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("u").alias("uy"), F.col("label").alias("ly"))
+            order = "label <> ly"
+        else:  # what is left between components, from the greater set to the lesser
+            lesser = F.sequence(_size_class(F.ceil(F.col("n") * PERCENT / 100)), _size_class(F.least("n", "u")))
+            other = sized.select("s", F.explode(lesser).alias("w"), F.col("cls").alias("y"), F.col("n").alias("ny"), F.col("u").alias("uy"), F.col("label").alias("ly"))
+            order = "label <> ly AND n <= ny"
+        pairs = sized.join(other, ["s", "w"]).where(f"{order} AND n <= uy AND ny <= u").select(*_pairs("cls", "y", "n", "ny"))
         pairs = pairs.distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
         found = space.compare(pairs, f"jaccard-{step}")
         tested = tested.union(found)
-        links = links.union(found.where("linked").select("a", "b"))
+        links = links.union(found.where("linked").select("a", "b", "spare"))
     labels = connected(links, "jaccard-last")
     named = space.classes.select("cls", "n", "k1", "k2", "least", "copies").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     alone = named.where("label IS NULL AND copies > 1").select("n", "k1", "k2", F.col("least").alias("component"))
