@@ -114,6 +114,12 @@ def test_sizes_that_can_link(spark):
     assert got(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)) == brute(rows)
 
 
+def test_batches_of_sets_are_small(spark):
+    """The arrays held for a batch are many times its bytes."""
+    assert got(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")) == [(1, 2, 1), (2, 2, 1)]
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 1 << 19
+
+
 def test_edges(spark):
     rows = [(i, t) for i, t, *_ in edge_rows()]
     assert got(edge(spark)) == brute(rows)

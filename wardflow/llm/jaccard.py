@@ -54,8 +54,10 @@ PERCENT = 80
 FREQUENT = 1 << 18
 #: Parts of the shingle space, for the windows: 2^LEAST_BITS at least.
 LEAST_BITS = 7
+#: Bytes of one Arrow batch: some forty bytes of arrays are held for each of them.
+SET_BATCH_BYTES = 1 << 19
 #: Region entries (24 bytes) that one group of the second step holds, about.
-GROUP_ENTRIES = 500_000
+GROUP_ENTRIES = 250_000
 #: Pivots of a region and size class in the second round.
 HUBS = 8
 #: Sizes in one size class differ by this factor at most.
@@ -144,7 +146,7 @@ class _Space:
     """The classes, their regions, and exact comparison of pairs of classes."""
 
     def __init__(self, texts: DataFrame):
-        bounded_batches(texts.sparkSession)
+        bounded_batches(texts.sparkSession, SET_BATCH_BYTES)
         self.spark: SparkSession = texts.sparkSession
         self.texts = texts  # id, text, h
         kind = texts.schema["id"].dataType.simpleString()
